@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from shopgrain.session import stored
+
 BIG_BASKET = 500  # up to here a basket's pairs are cheap to list
 
 
@@ -12,19 +14,23 @@ def co_occurrence(
 ) -> DataFrame:
     """(item_a, item_b, co_occurrence_count) of the item pairs that share >= ``min_count`` baskets.
 
+    ``members`` is a stored table of distinct (basket, item) rows.
+
     Order all baskets by size. Each item sits out of at most its ``min_count - 1`` largest baskets
     (those above ``big_basket``) while pairs are listed. Two items that share ``min_count`` baskets
     still meet: in the smallest basket they share, neither can be sitting out, as it would then sit
     out of every larger shared basket too. Pairs that met get the baskets sat out of added back by
     key lookups, so the counts are exact; a pair that never met is below the threshold.
     """
-    m = members.select(F.col(basket).alias("_b"), F.col(item).alias("_i")).distinct()
+    m = members.select(F.col(basket).alias("_b"), F.col(item).alias("_i"))
+    # An item in fewer baskets than the threshold cannot be in a pair that reaches it.
     frequent = m.groupBy("_i").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= min_count)
     m = m.join(frequent.select("_i"), "_i", "left_semi")
-    big = (
-        m.groupBy("_b").agg(F.count(F.lit(1)).alias("_size")).filter(F.col("_size") > big_basket)
-    )
-    big_members = m.join(big, "_b")
+    big = m.groupBy("_b").agg(F.count(F.lit(1)).alias("_size")).filter(F.col("_size") > big_basket)
+    if min_count < 2 or big.isEmpty():
+        return _meetings(m).filter(F.col("co_occurrence_count") >= min_count)
+
+    big_members = stored(m.join(big, "_b"), "big_baskets")
     largest_first = Window.partitionBy("_i").orderBy(F.col("_size").desc(), "_b")
     # The rank filter is applied in the map tasks too, so a popular item ships few rows.
     sat_out = (
@@ -32,14 +38,7 @@ def co_occurrence(
         .filter(F.col("_rank") <= min_count - 1)
         .select("_b", "_i")
     )
-    listed = m.join(sat_out, ["_b", "_i"], "left_anti")
-    met = (
-        listed.select("_b", F.col("_i").alias("item_a"))
-        .join(listed.select("_b", F.col("_i").alias("item_b")), "_b")
-        .filter(F.col("item_a") < F.col("item_b"))
-        .groupBy("item_a", "item_b")
-        .agg(F.count(F.lit(1)).alias("_met"))
-    )
+    met = stored(_meetings(m.join(sat_out, ["_b", "_i"], "left_anti")), "pairs_met")
     added = (
         _sat_out_by(met, sat_out, "item_a", "item_b")
         .unionByName(_sat_out_by(met, sat_out, "item_b", "item_a"))
@@ -49,7 +48,7 @@ def co_occurrence(
         .groupBy("item_a", "item_b")
         .agg(F.count(F.lit(1)).alias("_added"))
     )
-    count = F.col("_met") + F.coalesce(F.col("_added"), F.lit(0))
+    count = F.col("co_occurrence_count") + F.coalesce(F.col("_added"), F.lit(0))
     return (
         met.join(added, ["item_a", "item_b"], "left")
         .select("item_a", "item_b", count.alias("co_occurrence_count"))
@@ -57,6 +56,17 @@ def co_occurrence(
     )
 
 
+def _meetings(m: DataFrame) -> DataFrame:
+    """Item pairs (a < b) with the number of baskets both are listed in."""
+    return (
+        m.select("_b", F.col("_i").alias("item_a"))
+        .join(m.select("_b", F.col("_i").alias("item_b")), "_b")
+        .filter(F.col("item_a") < F.col("item_b"))
+        .groupBy("item_a", "item_b")
+        .agg(F.count(F.lit(1)).alias("co_occurrence_count"))
+    )
+
+
 def _sat_out_by(met: DataFrame, sat_out: DataFrame, one: str, other: str) -> DataFrame:
     """Each pair with the baskets ``one`` sat out of: fewer than ``min_count`` rows per pair."""
     return met.join(sat_out.withColumnRenamed("_i", one), one).select(

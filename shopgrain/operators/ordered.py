@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from shopgrain.functions.numeric import MONEY
+from shopgrain.functions.numeric import exact_sum, money
 
 HOT_ROWS = 1_000_000  # below this a group is one ordinary window task
 HOT_SHARE = 1 / 2000  # at most 2,000 groups can be hot, which bounds every broadcast below
@@ -38,7 +38,8 @@ def ordered(
     ``order`` lists (column, "asc" | "desc"), NULLs first for asc and last for desc; ``running``
     and ``totals`` map an output name to the money column summed. For ``row_number`` and
     ``running`` the order must be total within a group (end it with a unique key), or the rows of
-    a tie come in any order.
+    a tie come in any order. The rows are read up to four times, so give it a plain scan or a
+    stored table; with no hot group the extra reads end after the group sizes.
     """
     running, totals = dict(running or {}), dict(totals or {})
     cols = df.columns
@@ -64,9 +65,9 @@ def ordered(
     if rank:
         added[rank] = F.rank().over(in_order).cast("bigint")
     for name, value in running.items():
-        added[name] = F.sum(F.col(value).cast(MONEY)).over(so_far)
+        added[name] = exact_sum(value).over(so_far)
     for name, value in totals.items():
-        added[name] = F.sum(F.col(value).cast(MONEY)).over(within)
+        added[name] = exact_sum(value).over(within)
     local = routed.withColumns(added)
 
     # What the earlier ranges of a hot group hold: at most (hot groups x ranges) rows.
@@ -77,7 +78,7 @@ def ordered(
         .groupBy("_hot", "_hr")
         .agg(
             F.count(F.lit(1)).alias("_n"),
-            *[F.sum(F.col(v).cast(MONEY)).alias(f"_s_{n}") for n, v in sums.items()],
+            *[exact_sum(v).alias(f"_s_{n}") for n, v in sums.items()],
         )
     )
     whole = Window.partitionBy("_hot")
@@ -97,14 +98,12 @@ def ordered(
         final[name] = F.col(name) + F.coalesce(F.col("_n0"), F.lit(0))
     for name in running:
         own, prior = F.col(name), F.col(f"_o_{name}")
-        final[name] = F.when(own.isNull(), prior).otherwise(
-            own + F.coalesce(prior, F.lit(0).cast(MONEY))
-        ).cast("double")
+        final[name] = money(
+            F.when(own.isNull(), prior).otherwise(own + F.coalesce(prior, F.lit(0)))
+        )
     for name in totals:
-        final[name] = (
-            F.when(F.col("_hot").isNull() & F.col("_hr").isNull(), F.col(name))
-            .otherwise(F.col(f"_o_{name}"))
-            .cast("double")
+        final[name] = money(
+            F.when(F.col("_hr").isNull(), F.col(name)).otherwise(F.col(f"_o_{name}"))
         )
     return joined.select(*[c.alias(n) for n, c in final.items()])
 

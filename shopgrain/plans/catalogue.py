@@ -1,10 +1,11 @@
 """Product performance, inventory and cross-selling.
 
-Distinct buyers and orders come from nested group-bys (an order has one customer, so orders nest in
-customers) instead of several distinct counts in one aggregate, which would copy every row per
-distinct column. Each level is partially aggregated before its shuffle, so a product, customer or
-order that holds a large share of the rows sends one row per map task. The category is joined on at
-product grain, after the facts are reduced.
+No aggregate here counts several distinct columns beside its sums, which would copy every row with
+all its aggregate buffers per counted column. Sums and distinct keys are reduced apart, or level by
+level where there is one sum (an order has one customer, so orders nest in customers). Every level
+is partially aggregated before its shuffle, so a product, customer or order that holds a large share
+of the rows sends one row per map task. The category is joined on at product grain, after the facts
+are reduced.
 """
 
 from __future__ import annotations
@@ -14,10 +15,13 @@ from datetime import date, datetime
 
 from pyspark.sql import DataFrame, functions as F
 
-from shopgrain.functions import band, mean_of, percent, ratio, rounded_ratio, run_date, run_time
-from shopgrain.functions.numeric import MONEY
+from shopgrain.functions import (
+    band, exact_sum, micros, money, money_mean, percent, ratio, rounded_ratio, run_date, run_time,
+)
 from shopgrain.operators.basket import BIG_BASKET, co_occurrence
+from shopgrain.operators.distinct import distinct_counts
 from shopgrain.operators.incremental import touched_rows
+from shopgrain.session import stored
 
 AsOf = datetime | date | str | None
 CATEGORY = "product_category_name_english"
@@ -62,39 +66,33 @@ def product_performance(
     )
     canceled = F.col("order_status") == "canceled"
     bought_at = "order_purchase_timestamp"
-    per_order = bought.groupBy("product_id", "customer_id", "order_id").agg(
+    per_product = bought.groupBy("product_id").agg(
         F.count(F.lit(1)).alias("items"),
         F.count("price").alias("prices"),
-        F.sum(F.col("price").cast(MONEY)).alias("revenue"),
-        F.sum(F.col("freight_value").cast(MONEY)).alias("freight"),
-        F.count_if(canceled).alias("returned"),
-        F.sum(F.when(canceled, F.col("price").cast(MONEY))).alias("returned_value"),
-        F.min(bought_at).alias("first_sale"),
-        F.max(bought_at).alias("last_sale"),
+        exact_sum("price").alias("revenue"),
+        exact_sum("freight_value").alias("freight"),
+        F.count_if(canceled).alias("return_count"),
+        F.sum(F.when(canceled, micros("price"))).alias("returned"),
+        F.datediff(F.max(bought_at), F.min(bought_at)).alias("product_lifetime_days"),
     )
-    sums = ("items", "prices", "revenue", "freight", "returned", "returned_value")
-    per_customer = per_order.groupBy("product_id", "customer_id").agg(
-        F.count(F.lit(1)).alias("orders"), *_rolled(sums), *_span()
+    counted = distinct_counts(
+        bought, "product_id", {"total_orders": "order_id", "unique_buyers": "customer_id"}
     )
-    per_product = per_customer.groupBy("product_id").agg(
-        F.sum("orders").alias("total_orders"),
-        F.count("customer_id").alias("unique_buyers"),
-        *_rolled(sums),
-        *_span(),
-    )
-    measured = per_product.join(
-        products.select("product_id", F.col(CATEGORY).alias("category")), "product_id"
-    ).select(
-        "product_id",
-        "category",
-        "total_orders",
-        "unique_buyers",
-        F.col("revenue").cast("double").alias("total_revenue"),
-        mean_of("revenue", "prices").alias("avg_selling_price"),
-        ratio("freight", "items").alias("avg_freight_cost"),
-        F.datediff("last_sale", "first_sale").alias("product_lifetime_days"),
-        F.col("returned").alias("return_count"),
-        F.coalesce(F.col("returned_value").cast("double"), F.lit(0.0)).alias("return_value"),
+    measured = (
+        per_product.join(counted, "product_id")
+        .join(products.select("product_id", F.col(CATEGORY).alias("category")), "product_id")
+        .select(
+            "product_id",
+            "category",
+            "total_orders",
+            "unique_buyers",
+            money("revenue").alias("total_revenue"),
+            money_mean("revenue", "prices").alias("avg_selling_price"),
+            ratio(money("freight"), "items").alias("avg_freight_cost"),
+            "product_lifetime_days",
+            "return_count",
+            F.coalesce(money("returned"), F.lit(0.0)).alias("return_value"),
+        )
     )
     return measured.withColumns(
         {
@@ -130,7 +128,7 @@ def inventory_analytics(
         "order_id",
     )
     per_order = bought.groupBy("product_id", "sale_month", "customer_id", "order_id").agg(
-        F.sum(F.col("price").cast(MONEY)).alias("revenue")
+        exact_sum("price").alias("revenue")
     )
     per_customer = per_order.groupBy("product_id", "sale_month", "customer_id").agg(
         F.count(F.lit(1)).alias("orders"), F.sum("revenue").alias("revenue")
@@ -165,8 +163,8 @@ def inventory_analytics(
             "stddev_monthly_orders",
             "peak_monthly_orders",
             "low_monthly_orders",
-            F.col("revenue").cast("double").alias("total_revenue"),
-            mean_of("revenue", "revenue_months").alias("avg_monthly_revenue"),
+            money("revenue").alias("total_revenue"),
+            money_mean("revenue", "revenue_months").alias("avg_monthly_revenue"),
             "total_buyers",
             rounded_ratio("total_orders", "months_active", 2).alias("inventory_turnover_rate"),
             F.round(F.col("avg_monthly_orders") + spread * 2, 0)
@@ -200,12 +198,13 @@ def cross_selling(
 ) -> DataFrame:
     """The ``top`` item pairs by lift among pairs bought together in at least ``min_co`` orders.
 
-    ``items`` holds order_id and ``item_col``; ``products`` one row per ``item_col`` with its
+    Pairs are order-free, and an item counts once per order. ``items`` holds order_id and ``item_col``; ``products`` one row per ``item_col`` with its
     category. ``lift_score`` is ``scale`` times the lift; equal scores are ordered by the pair.
     """
-    members = items.select("order_id", item_col).join(
+    known = items.select("order_id", item_col).join(
         products.select(item_col), item_col, "left_semi"
-    ).distinct()
+    )
+    members = stored(known.distinct(), "baskets")
     pairs = co_occurrence(
         members, "order_id", item_col, min_count=min_co, big_basket=big_basket
     )
@@ -256,11 +255,3 @@ def cross_selling(
             }
         )
     )
-
-
-def _rolled(cols: tuple[str, ...]) -> list:
-    return [F.sum(c).alias(c) for c in cols]
-
-
-def _span() -> list:
-    return [F.min("first_sale").alias("first_sale"), F.max("last_sale").alias("last_sale")]

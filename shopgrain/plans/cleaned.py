@@ -8,7 +8,7 @@ from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from shopgrain.functions import exact_sum, mean_of, ratio, run_time
+from shopgrain.functions import exact_sum, money_mean, ratio, run_time
 from shopgrain.operators.history import latest_per_key, scd2_apply
 from shopgrain.operators.incremental import incremental, touched_rows
 from shopgrain.operators.merge import differs, upsert
@@ -140,7 +140,7 @@ def order_items_silver(
     still come from the whole history. ``splitting`` is passed to ``ordered``.
     """
     sellers = bronze.groupBy("seller_id").agg(
-        mean_of(exact_sum("price"), F.count("price")).alias("avg_seller_price")
+        money_mean(exact_sum("price"), F.count("price")).alias("avg_seller_price")
     )
     items = bronze if touched is None else touched_rows(bronze, touched, "order_id")
     items = ordered(

@@ -8,11 +8,12 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shopgrain.functions import (
-    band, exact_sum, mean_of, percent, rounded_ratio, run_date, run_time,
+    band, exact_sum, money, money_mean, percent, ratio, rounded_ratio, run_date, run_time,
 )
-from shopgrain.functions.numeric import MONEY
+from shopgrain.operators.distinct import distinct_counts
 from shopgrain.operators.incremental import touched_rows
 from shopgrain.operators.ordered import ordered
+from shopgrain.session import stored
 
 AsOf = datetime | date | str | None
 
@@ -77,9 +78,6 @@ def seller_analytics(
     )
     first, last = "first_sale_date", "last_sale_date"
     per_seller = sold.groupBy("seller_id").agg(
-        F.count_distinct("order_id").alias("total_orders"),
-        F.count_distinct("product_id").alias("unique_products_sold"),
-        F.count_distinct("customer_id").alias("unique_customers"),
         exact_sum("price").alias("revenue"),
         F.count("price").alias("prices"),
         exact_sum("freight_value").alias("freight"),
@@ -91,23 +89,33 @@ def seller_analytics(
         F.min("order_purchase_timestamp").alias(first),
         F.max("order_purchase_timestamp").alias(last),
     )
-    measured = per_seller.select(
+    counted = distinct_counts(
+        sold,
+        "seller_id",
+        {
+            "total_orders": "order_id",
+            "unique_products_sold": "product_id",
+            "unique_customers": "customer_id",
+        },
+    )
+    measured = _beside(per_seller, counted, ["seller_id"]).select(
         "seller_id",
         "total_orders",
         "unique_products_sold",
         "unique_customers",
-        F.col("revenue").cast("double").alias("total_revenue"),
-        mean_of("revenue", "prices").alias("avg_order_value"),
-        F.col("freight").cast("double").alias("total_freight_collected"),
-        mean_of("ratios", "n_ratios").alias("avg_freight_ratio"),
-        mean_of("days", "n_days").alias("avg_delivery_days"),
+        money("revenue").alias("total_revenue"),
+        money_mean("revenue", "prices").alias("avg_order_value"),
+        money("freight").alias("total_freight_collected"),
+        money_mean("ratios", "n_ratios").alias("avg_freight_ratio"),
+        ratio("days", "n_days").alias("avg_delivery_days"),
         "delayed_deliveries",
         percent("delayed_deliveries", "total_orders").alias("delayed_rate"),
         F.datediff(last, first).alias("active_days"),
         first,
         last,
     ).withColumn("daily_revenue", rounded_ratio("total_revenue", "active_days", 2))
-    return rank_sellers(measured, cuts=cuts, **splitting).withColumns(
+    ranked = rank_sellers(stored(measured, "sellers"), cuts=cuts, **splitting)
+    return ranked.withColumns(
         {
             "reliability_score": band("delayed_rate", "<=", cuts.delayed_rate, 1),
             "_processed_timestamp": run_time(as_of),
@@ -118,7 +126,7 @@ def seller_analytics(
 def rank_sellers(
     sellers: DataFrame, *, cuts: SellerCuts = SellerCuts(), **splitting: int | float
 ) -> DataFrame:
-    """(Re)compute ``seller_rank`` and ``seller_tier`` over all given sellers."""
+    """(Re)compute ``seller_rank`` and ``seller_tier`` over all rows of a stored seller table."""
     ranked = ordered(
         sellers.drop("seller_rank", "seller_tier"),
         None,
@@ -150,7 +158,7 @@ def geographical_analytics(
     per_order = items.groupBy("order_id").agg(
         F.count(F.lit(1)).alias("items"),
         F.count("price").alias("prices"),
-        F.sum(F.col("price").cast(MONEY)).alias("revenue"),
+        exact_sum("price").alias("revenue"),
     )
     per_customer = (
         orders.select("order_id", "customer_id", "is_delayed", "delivery_delay_days")
@@ -182,24 +190,21 @@ def geographical_analytics(
         .groupBy(*place)
         .agg(F.count("seller_id").alias("active_sellers"))
     )
-    same_place = F.lit(True)
-    for c in place:
-        same_place = same_place & totals[c].eqNullSafe(sellers[c])
-    measured = totals.join(sellers, same_place).select(
-        *[totals[c] for c in place],
+    measured = _beside(totals, sellers, place).select(
+        *place,
         F.col("customers").alias("total_customers"),
         F.col("orders").alias("total_orders"),
-        F.col("revenue").cast("double").alias("total_revenue"),
-        mean_of("revenue", "prices").alias("avg_order_value"),
-        mean_of("delay_days", "timed").alias("avg_delay"),
+        money("revenue").alias("total_revenue"),
+        money_mean("revenue", "prices").alias("avg_order_value"),
+        ratio("delay_days", "timed").alias("avg_delay"),
         F.col("delayed").alias("delayed_orders"),
         "active_sellers",
         percent("delayed", "orders").alias("delay_rate"),
-        F.round(mean_of("revenue", "customers"), 2).alias("revenue_per_customer"),
+        F.round(money_mean("revenue", "customers"), 2).alias("revenue_per_customer"),
     )
     ranked = ordered(
-        measured, "customer_state", [("total_revenue", "desc")], rank="city_rank_in_state",
-        **splitting,
+        stored(measured, "places"), "customer_state", [("total_revenue", "desc")],
+        rank="city_rank_in_state", **splitting,
     )
     return ranked.withColumns(
         {
@@ -229,7 +234,7 @@ def order_lifecycle(
     """
     basket = (
         items.groupBy("order_id", "product_id")
-        .agg(F.sum(F.col("price").cast(MONEY)).alias("price"))
+        .agg(exact_sum("price").alias("price"))
         .groupBy("order_id")
         .agg(F.sum("price").alias("price"), F.count("product_id").alias("items_count"))
     )
@@ -263,9 +268,7 @@ def order_lifecycle(
             *paid,
             "customer_state",
             "customer_city",
-            (F.col("price") * F.col("payments").cast("decimal(9,0)"))
-            .cast("double")
-            .alias("order_value"),
+            money(F.col("price") * F.col("payments").cast("decimal(9,0)")).alias("order_value"),
             "items_count",
         )
     )
@@ -289,6 +292,14 @@ def order_lifecycle(
     )
 
 
+def _beside(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Columns of two aggregates over the same groups, where a NULL group matches itself."""
+    same = F.lit(True)
+    for k in keys:
+        same = same & left[k].eqNullSafe(right[k])
+    return left.join(right, same).drop(*[right[k] for k in keys])
+
+
 def _elapsed(unit: str, start: str, end: str) -> Column:
     """Whole units elapsed, which for days differs from the calendar ``datediff``."""
     return F.timestamp_diff(unit, F.col(start), F.col(end))

@@ -8,9 +8,8 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shopgrain.functions import (
-    band, mean_of, percent, run_date, run_time,
+    band, exact_sum, money, money_mean, percent, ratio, run_date, run_time,
 )
-from shopgrain.functions.numeric import MONEY
 from shopgrain.operators.incremental import incremental
 from shopgrain.plans.cleaned import OTHER_TYPE, STANDARD_TYPES
 
@@ -42,12 +41,12 @@ def daily_sales(
     per_order = items.groupBy("order_id").agg(
         F.count(F.lit(1)).alias("n_items"),
         F.count("price").alias("n_prices"),
-        F.sum(F.col("price").cast(MONEY)).alias("item_price"),
-        F.sum(F.col("freight_value").cast(MONEY)).alias("item_freight"),
+        exact_sum("price").alias("item_price"),
+        exact_sum("freight_value").alias("item_freight"),
     )
     paid = payments.groupBy("order_id").agg(
         F.count(F.lit(1)).alias("n_payments"),
-        F.sum(F.col("payment_value").cast(MONEY)).alias("paid"),
+        exact_sum("payment_value").alias("paid"),
         F.bit_or(_type_bit("payment_type_standardized")).alias("types"),
     )
     joined = grain == "joined"
@@ -92,17 +91,17 @@ def daily_sales(
         "report_date",
         "total_orders",
         "unique_customers",
-        F.col("revenue").cast("double").alias("total_revenue"),
-        mean_of("revenue", "prices").alias("avg_order_value"),
+        money("revenue").alias("total_revenue"),
+        money_mean("revenue", "prices").alias("avg_order_value"),
         F.col("delayed").alias("delayed_orders"),
         percent("delayed", "rows").alias("delay_rate"),
-        F.col("paid").cast("double").alias("total_payments"),
+        money("paid").alias("total_payments"),
         F.bit_count(F.coalesce(F.col("types"), F.lit(0))).cast("bigint").alias(
             "payment_methods_used"
         ),
-        F.round(mean_of("days", "timed"), 1).alias("avg_processing_time_days"),
-        F.col("freight").cast("double").alias("total_freight"),
-        percent("freight", "revenue").alias("freight_percentage"),
+        F.round(ratio("days", "timed"), 1).alias("avg_processing_time_days"),
+        money("freight").alias("total_freight"),
+        percent(money("freight"), money("revenue")).alias("freight_percentage"),
         run_time(as_of).alias("_processed_timestamp"),
         F.lit("INCREMENTAL").alias("_load_type"),
         F.date_format("report_date", "yyyy-MM").alias("_report_year_month"),
@@ -155,7 +154,7 @@ def customer_segmentation(
 ) -> DataFrame:
     """Recency, frequency and money scores (5 best) and the segment of every buying customer."""
     per_order = items.groupBy("order_id").agg(
-        F.count("price").alias("n_prices"), F.sum(F.col("price").cast(MONEY)).alias("spent")
+        F.count("price").alias("n_prices"), exact_sum("price").alias("spent")
     )
     purchases = (
         orders.select("order_id", "customer_id", "order_purchase_timestamp")
@@ -172,8 +171,8 @@ def customer_segmentation(
         "customer_id",
         "last_purchase_date",
         "total_orders",
-        F.col("spent").cast("double").alias("total_spent"),
-        mean_of("spent", "n_prices").alias("avg_order_value"),
+        money("spent").alias("total_spent"),
+        money_mean("spent", "n_prices").alias("avg_order_value"),
         F.datediff(run_date(as_of), "last_purchase_date").alias("days_since_last_purchase"),
     ).withColumns(
         {

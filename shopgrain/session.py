@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that change results (time zone, ANSI) or the physical plan (AQE). Sizes such as
 # shuffle partitions and executor memory belong to the cluster and are left to it.
@@ -48,3 +48,15 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder name below the shared checkpoint folder."""
     return os.path.join(scratch_root(spark), f"{name}-{uuid.uuid4().hex}")
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once below the shared folder and read back.
+
+    For an expensive result that several branches of a plan read: they read files instead of
+    computing it again, lost executors cost nothing but the tasks in flight, and the reader knows
+    the table's size when it picks a join. Runs a job.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
