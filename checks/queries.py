@@ -16,7 +16,7 @@ from shopgrain.operators.quality import frequency, required, tag_rows
 from shopgrain.plans import catalogue, cleaned, partners, sales
 from shopgrain.plans.monitoring import run_report
 from shopgrain.schemas import feed_schema, table_schema
-from shopgrain.session import scratch_path
+from shopgrain.session import scratch_path, stored
 from shopgrain.sources import tables
 from shopgrain.sources.dimensions import category_translations
 from shopgrain.sources.files import read_file_stream
@@ -317,7 +317,7 @@ def _merge_sides(spark, sf):
         "payment_value",
         F.col("order_purchase_timestamp").alias("placed_at"),
     )
-    # 1970-01-01 plus two days or one day, so some source rows are later and some are not.
+    # Seen zero to two days after the purchase against one day: some source rows are later.
     target = orders.filter(F.col("placed_at") < F.lit(CUT).cast("timestamp")).withColumns(
         {
             "seen_at": F.expr("placed_at + (order_id % 3) * INTERVAL '1' DAY"),
@@ -423,7 +423,9 @@ def products_quarantine(spark, sf):
 @_query
 def items_enriched(spark, sf):
     return feeds.ingest_order_items(
-        feed(spark, sf, "src_items"), feed(spark, sf, "src_products"), row_id=False
+        feed(spark, sf, "src_items"),
+        feeds.product_categories(feed(spark, sf, "src_products")),
+        row_id=False,
     ).drop("_ingestion_timestamp")
 
 
@@ -492,8 +494,10 @@ def stream_ingest_items(spark, sf):
     schema = feed_schema("order_items")
     path = _land(spark, sf, "items")
     raw = read_file_stream(spark, path, "parquet", schema)
-    products = feed(spark, sf, "src_products")
-    return _streamed(spark, feeds.ingest_order_items(raw, products), "items_bronze").drop(
+    categories = stored(
+        feeds.product_categories(feed(spark, sf, "src_products")), "product_categories"
+    )
+    return _streamed(spark, feeds.ingest_order_items(raw, categories), "items_bronze").drop(
         "_ingestion_timestamp", "_batch_id"
     )
 

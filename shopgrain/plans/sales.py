@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from shopgrain.functions import (
     band, exact_sum, money, money_mean, percent, ratio, run_date, run_time,
 )
-from shopgrain.operators.incremental import incremental
+from shopgrain.operators.incremental import incremental, touched_rows
 from shopgrain.plans.cleaned import OTHER_TYPE, STANDARD_TYPES
 
 AsOf = datetime | date | str | None
@@ -37,7 +37,11 @@ def daily_sales(
     """
     if grain not in ("joined", "order"):
         raise ValueError(f"unknown grain: {grain}")
-    orders = _after(orders, since, lookback_days)
+    if since is not None:
+        orders = _after(orders, since, lookback_days)
+        # A short list of new orders is broadcast and the history is only scanned, not shuffled.
+        items = touched_rows(items, orders, "order_id")
+        payments = touched_rows(payments, orders, "order_id")
     per_order = items.groupBy("order_id").agg(
         F.count(F.lit(1)).alias("n_items"),
         F.count("price").alias("n_prices"),
@@ -108,9 +112,7 @@ def daily_sales(
     )
 
 
-def _after(orders: DataFrame, since: Column | str | None, lookback_days: int | None) -> DataFrame:
-    if since is None:
-        return orders
+def _after(orders: DataFrame, since: Column | str, lookback_days: int | None) -> DataFrame:
     if lookback_days is None:  # strictly later days, as a range on the bare timestamp
         day = F.lit(since).cast("date") if isinstance(since, str) else since.cast("date")
         return orders.filter(

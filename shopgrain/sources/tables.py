@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shopgrain.operators.merge import upsert
 from shopgrain.schemas import TABLES, table_schema
+from shopgrain.session import stored
 
 
 def ensure_namespaces(spark: SparkSession, names: Iterable[str], use: str | None = None) -> None:
@@ -86,12 +87,16 @@ def merge_partitions(
     """Merge ``source`` into a partitioned table, rewriting only the partitions it touches.
 
     For a ``partition`` that is fixed by the key (an order's purchase month): a matching row can
-    then only be in a partition that occurs in ``source``. The semi join on the partition column
-    prunes the scan, and the dynamic overwrite leaves the other partitions' files alone.
+    then only be in a partition that occurs in ``source``. The names of those partitions (never
+    more than the table has) become a filter that prunes the scan, and the dynamic overwrite leaves
+    the other partitions' files alone. ``source`` is stored first, as it is read twice.
     """
     spark = source.sparkSession
+    source = stored(source, "merge_source")
     target = spark.table(name)
-    touched = target.join(source.select(partition).distinct(), partition, "left_semi")
+    names = [row[0] for row in source.select(partition).distinct().collect()]
+    listed = F.col(partition).isin([n for n in names if n is not None])
+    touched = target.filter(listed | F.col(partition).isNull() if None in names else listed)
     merged = merge(touched, source, keys).select(*target.columns)
     _sized(merged, [partition]).write.option("partitionOverwriteMode", "dynamic").insertInto(name, overwrite=True)
 

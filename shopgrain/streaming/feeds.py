@@ -54,18 +54,22 @@ def ingest_products(
     return valid.drop(CORRUPT), bad
 
 
+def product_categories(products: DataFrame) -> DataFrame:
+    """One category per product, so that no item is doubled; store it where it is large, or each
+    micro-batch reduces the catalogue again."""
+    return products.groupBy("product_id").agg(
+        F.min("product_category_name").alias("product_category_name")
+    )
+
+
 def ingest_order_items(
-    raw: DataFrame, products: DataFrame, *, row_id: bool = True
+    raw: DataFrame, categories: DataFrame, *, row_id: bool = True
 ) -> DataFrame:
     """Items with their product's category; an item of an unknown product keeps NULL.
 
-    The catalogue is reduced to one category per product, so no item is doubled. It carries no
-    broadcast hint: Spark broadcasts it only below its size threshold. ``row_id`` needs ``raw`` to
-    be a parquet source.
+    ``categories`` has one row per product and no broadcast hint: Spark broadcasts it only below
+    its size threshold. ``row_id`` needs ``raw`` to be a parquet source.
     """
-    categories = products.groupBy("product_id").agg(
-        F.min("product_category_name").alias("product_category_name")
-    )
     items = with_ingest_meta(raw, row_id=row_id)
     return items.join(categories, "product_id", "left").withColumn(
         "_enriched_category", F.col("product_category_name")
