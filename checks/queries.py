@@ -423,12 +423,16 @@ def products_quarantine(spark, sf):
 @_query
 def items_enriched(spark, sf):
     return feeds.ingest_order_items(
-        feed(spark, sf, "src_items"),
-        feeds.product_categories(feed(spark, sf, "src_products")),
-        row_id=False,
+        feed(spark, sf, "src_items"), _categories(spark, sf), row_id=False
     ).drop("_ingestion_timestamp")
 
 
+def _categories(spark, sf):
+    return stored(
+        feeds.product_categories(feed(spark, sf, "src_products")), "product_categories"
+    )
+
+
 def _land(spark, sf, name, fmt="parquet", rows=None):
     """A feed as landing files in its own format, written by Spark from the given tables."""
     path = scratch_path(spark, f"landing_{name}")
@@ -494,12 +498,8 @@ def stream_ingest_items(spark, sf):
     schema = feed_schema("order_items")
     path = _land(spark, sf, "items")
     raw = read_file_stream(spark, path, "parquet", schema)
-    categories = stored(
-        feeds.product_categories(feed(spark, sf, "src_products")), "product_categories"
-    )
-    return _streamed(spark, feeds.ingest_order_items(raw, categories), "items_bronze").drop(
-        "_ingestion_timestamp", "_batch_id"
-    )
+    enriched = feeds.ingest_order_items(raw, _categories(spark, sf))
+    return _streamed(spark, enriched, "items_bronze").drop("_ingestion_timestamp", "_batch_id")
 
 
 @_query

@@ -14,7 +14,8 @@ def co_occurrence(
 ) -> DataFrame:
     """(item_a, item_b, co_occurrence_count) of the item pairs that share >= ``min_count`` baskets.
 
-    ``members`` is a stored table of distinct (basket, item) rows.
+    ``members`` holds distinct (basket, item) rows and is read several times: give it a stored table,
+    best without the items that are in fewer than ``min_count`` baskets.
 
     Order all baskets by size. Each item sits out of at most its ``min_count - 1`` largest baskets
     (those above ``big_basket``) while pairs are listed. Two items that share ``min_count`` baskets
@@ -23,20 +24,19 @@ def co_occurrence(
     key lookups, so the counts are exact; a pair that never met is below the threshold.
     """
     m = members.select(F.col(basket).alias("_b"), F.col(item).alias("_i"))
-    # An item in fewer baskets than the threshold cannot be in a pair that reaches it.
-    frequent = m.groupBy("_i").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= min_count)
-    m = m.join(frequent.select("_i"), "_i", "left_semi")
-    big = m.groupBy("_b").agg(F.count(F.lit(1)).alias("_size")).filter(F.col("_size") > big_basket)
+    sizes = m.groupBy("_b").agg(F.count(F.lit(1)).alias("_size"))
+    big = stored(sizes.filter(F.col("_size") > big_basket), "big_baskets")
     if min_count < 2 or big.isEmpty():
         return _meetings(m).filter(F.col("co_occurrence_count") >= min_count)
 
-    big_members = stored(m.join(big, "_b"), "big_baskets")
+    big_members = stored(m.join(big, "_b"), "big_basket_items")
     largest_first = Window.partitionBy("_i").orderBy(F.col("_size").desc(), "_b")
     # The rank filter is applied in the map tasks too, so a popular item ships few rows.
-    sat_out = (
+    sat_out = stored(
         big_members.withColumn("_rank", F.row_number().over(largest_first))
         .filter(F.col("_rank") <= min_count - 1)
-        .select("_b", "_i")
+        .select("_b", "_i"),
+        "sat_out",
     )
     met = stored(_meetings(m.join(sat_out, ["_b", "_i"], "left_anti")), "pairs_met")
     added = (

@@ -36,3 +36,11 @@ def distinct_counts(df: DataFrame, by: str | Sequence[str], counts: Mapping[str,
             ]
         )
     )
+
+
+def beside(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Columns of two aggregates over the same groups; a NULL group matches itself."""
+    same = F.lit(True)
+    for k in keys:
+        same = same & left[k].eqNullSafe(right[k])
+    return left.join(right, same).drop(*[right[k] for k in keys])

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from shopgrain.session import stored
+
 EPOCH = "1970-01-01"
 
 
@@ -34,6 +36,7 @@ def incremental(
 
 
 def touched_rows(history: DataFrame, batch: DataFrame, key: str | Sequence[str]) -> DataFrame:
-    """Full history of every key that occurs in ``batch``."""
+    """Full history of every key that occurs in ``batch``. The distinct keys are stored first: few
+    are broadcast by their real size, many are joined so that a hot key can be split."""
     keys = [key] if isinstance(key, str) else list(key)
-    return history.join(batch.select(*keys).distinct(), keys, "left_semi")
+    return history.join(stored(batch.select(*keys).distinct(), "touched"), keys, "left_semi")

@@ -55,6 +55,9 @@ def ordered(
         base.join(F.broadcast(cuts), same_group, "left")
         .withColumn("_r", F.when(F.col("_hot_n").isNull(), 0).otherwise(range_of))
         .drop("_hot", "_hot_n", "_cuts")
+        # Explicit: partitions the input already has on the group would satisfy the windows and
+        # leave all ranges of a hot group in one task.
+        .repartition("_g", "_r")
     )
     within = Window.partitionBy("_g", "_r")
     in_order = within.orderBy(*keys)

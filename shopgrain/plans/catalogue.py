@@ -1,11 +1,11 @@
 """Product performance, inventory and cross-selling.
 
 No aggregate here counts several distinct columns beside its sums, which would copy every row with
-all its aggregate buffers per counted column. Sums and distinct keys are reduced apart, or level by
-level where there is one sum (an order has one customer, so orders nest in customers). Every level
-is partially aggregated before its shuffle, so a product, customer or order that holds a large share
-of the rows sends one row per map task. The category is joined on at product grain, after the facts
-are reduced.
+all its aggregate buffers per counted column: sums and distinct keys are reduced apart. Each is
+partially aggregated before its shuffle, so a hot product sends one row per map task. No aggregate
+right after the join on order_id groups by order_id, as it would keep that join's partitions and so
+keep adaptive execution from splitting a hot order. The category is joined on at product grain,
+after the facts are reduced.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from shopgrain.functions import (
     band, exact_sum, micros, money, money_mean, percent, ratio, rounded_ratio, run_date, run_time,
 )
 from shopgrain.operators.basket import BIG_BASKET, co_occurrence
-from shopgrain.operators.distinct import distinct_counts
+from shopgrain.operators.distinct import beside, distinct_counts
 from shopgrain.operators.incremental import touched_rows
 from shopgrain.session import stored
 
@@ -127,16 +127,11 @@ def inventory_analytics(
         ),
         "order_id",
     )
-    per_order = bought.groupBy("product_id", "sale_month", "customer_id", "order_id").agg(
-        exact_sum("price").alias("revenue")
-    )
-    per_customer = per_order.groupBy("product_id", "sale_month", "customer_id").agg(
-        F.count(F.lit(1)).alias("orders"), F.sum("revenue").alias("revenue")
-    )
-    per_month = per_customer.groupBy("product_id", "sale_month").agg(
-        F.sum("orders").alias("orders"),
-        F.sum("revenue").alias("revenue"),
-        F.count("customer_id").alias("buyers"),
+    month = ["product_id", "sale_month"]
+    per_month = beside(
+        bought.groupBy(*month).agg(exact_sum("price").alias("revenue")),
+        distinct_counts(bought, month, {"orders": "order_id", "buyers": "customer_id"}),
+        month,
     )
     per_product = per_month.groupBy("product_id").agg(
         F.count("sale_month").alias("months_active"),
@@ -205,14 +200,19 @@ def cross_selling(
         products.select(item_col), item_col, "left_semi"
     )
     members = stored(known.distinct(), "baskets")
-    pairs = co_occurrence(
-        members, "order_id", item_col, min_count=min_co, big_basket=big_basket
-    )
-    popular = (
+    popular = stored(
         members.groupBy(item_col)
         .agg(F.count(F.lit(1)).alias("orders"))
         .filter(F.col("orders") >= min_co)
-        .join(products.select(item_col, category_col), item_col)
+        .join(products.select(item_col, category_col), item_col),
+        "popular",
+    )
+    pairs = co_occurrence(
+        members.join(popular.select(item_col), item_col, "left_semi"),
+        "order_id",
+        item_col,
+        min_count=min_co,
+        big_basket=big_basket,
     )
     n_orders = members.agg(F.count_distinct("order_id").cast("double")).scalar()
 

@@ -13,6 +13,7 @@ from shopgrain.operators.history import latest_per_key, scd2_apply
 from shopgrain.operators.incremental import incremental, touched_rows
 from shopgrain.operators.merge import differs, upsert
 from shopgrain.operators.ordered import ordered
+from shopgrain.session import stored
 
 AsOf = datetime | date | str | None
 
@@ -153,7 +154,7 @@ def order_items_silver(
         **splitting,
     )
     variance = F.col("price") - F.col("avg_seller_price")
-    return items.join(sellers, "seller_id", "left").select(
+    return items.join(stored(sellers, "seller_prices"), "seller_id", "left").select(
         "order_id",
         "order_item_id",
         "product_id",

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from shopgrain.functions import (
     band, exact_sum, money, money_mean, percent, ratio, rounded_ratio, run_date, run_time,
 )
-from shopgrain.operators.distinct import distinct_counts
+from shopgrain.operators.distinct import beside, distinct_counts
 from shopgrain.operators.incremental import touched_rows
 from shopgrain.operators.ordered import ordered
 from shopgrain.session import stored
@@ -98,7 +98,7 @@ def seller_analytics(
             "unique_customers": "customer_id",
         },
     )
-    measured = _beside(per_seller, counted, ["seller_id"]).select(
+    measured = beside(per_seller, counted, ["seller_id"]).select(
         "seller_id",
         "total_orders",
         "unique_products_sold",
@@ -190,7 +190,7 @@ def geographical_analytics(
         .groupBy(*place)
         .agg(F.count("seller_id").alias("active_sellers"))
     )
-    measured = _beside(totals, sellers, place).select(
+    measured = beside(totals, sellers, place).select(
         *place,
         F.col("customers").alias("total_customers"),
         F.col("orders").alias("total_orders"),
@@ -292,14 +292,6 @@ def order_lifecycle(
     )
 
 
-def _beside(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Columns of two aggregates over the same groups, where a NULL group matches itself."""
-    same = F.lit(True)
-    for k in keys:
-        same = same & left[k].eqNullSafe(right[k])
-    return left.join(right, same).drop(*[right[k] for k in keys])
-
-
 def _elapsed(unit: str, start: str, end: str) -> Column:
     """Whole units elapsed, which for days differs from the calendar ``datediff``."""
     return F.timestamp_diff(unit, F.col(start), F.col(end))

@@ -16,6 +16,8 @@ ENGINE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a skewed join even where the next step then needs another shuffle.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
@@ -53,9 +55,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once below the shared folder and read back.
 
-    For an expensive result that several branches of a plan read: they read files instead of
-    computing it again, lost executors cost nothing but the tasks in flight, and the reader knows
-    the table's size when it picks a join. Runs a job.
+    For a reduced result that several branches of a plan read, or that rows with hot keys are joined
+    to. Branches read files instead of computing it again, and lost executors cost only the tasks in
+    flight. A join sees the real size, so it broadcasts only what is small, and adaptive execution
+    can split a hot key: it does so only where both join sides come straight from a shuffle, which
+    an aggregate in the same plan does not. Runs a job.
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)

@@ -1,0 +1,229 @@
+"""Streams over landing files: same rows as the batch form, restart, rate limit, quarantine."""
+
+import json
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from shopgrain.operators.history import latest_per_key
+from shopgrain.schemas import feed_schema
+from shopgrain.sources.files import (
+    CORRUPT, evolve, infer_schema, read_file_stream, with_ingest_meta,
+)
+from shopgrain.streaming import feeds
+from shopgrain.streaming.sinks import TRIGGERS, run_to_end, start_append
+
+
+def drain(stream, tmp_path, name="out", **kw):
+    run_to_end(start_append(stream, str(tmp_path / name), str(tmp_path / f"{name}_cp"), **kw))
+    return stream.sparkSession.read.parquet(str(tmp_path / name))
+
+
+def payments(spark, data):
+    return spark.createDataFrame(
+        data,
+        "order_id BIGINT, payment_sequential INT, payment_type STRING, payment_installments INT, "
+        "payment_value DOUBLE, at STRING",
+    ).select("*", F.col("at").cast("timestamp").alias("order_purchase_timestamp")).drop("at")
+
+
+def test_payments_are_cleaned_and_partitioned_by_day(spark, tmp_path):
+    raw = payments(spark, [
+        (1, 1, " Credit_Card ", 1, 5.0, "2020-01-01 23:59:59"), (2, 1, None, 1, None, "2020-01-02"),
+        (3, 1, "PIX", 1, -4.0, "2020-01-02"), (None, 1, "pix", 1, 1.0, "2020-01-02"),
+    ])
+    raw.write.parquet(str(tmp_path / "in"))
+    stream = read_file_stream(spark, str(tmp_path / "in"), "parquet", feed_schema("payments"))
+    got = drain(feeds.ingest_payments(stream), tmp_path, partition_by=["_payment_date"])
+    want = [(1, "credit_card", 5.0, "2020-01-01"), (2, "not_defined", 0.0, "2020-01-02"),
+            (3, "pix", 0.0, "2020-01-02")]
+    assert rows(got, "order_id", "payment_type", "payment_value",
+                F.col("_payment_date").cast("string")) == want
+    assert (tmp_path / "out" / "_payment_date=2020-01-02").is_dir()
+    assert rows(feeds.clean_payments(raw), "order_id", "payment_type", "payment_value",
+                F.col("_payment_date").cast("string")) == want
+
+
+def test_a_restart_takes_only_new_files(spark, tmp_path):
+    path = str(tmp_path / "in")
+    payments(spark, [(1, 1, "pix", 1, 1.0, "2020-01-01")]).write.parquet(path)
+    schema = feed_schema("payments")
+
+    def ingest():
+        stream = read_file_stream(spark, path, "parquet", schema)
+        return drain(feeds.ingest_payments(stream), tmp_path)
+
+    assert rows(ingest(), "order_id") == [(1,)]
+    payments(spark, [(2, 1, "pix", 1, 1.0, "2020-01-01")]).write.mode("append").parquet(path)
+    assert rows(ingest(), "order_id") == [(1,), (2,)]
+    assert rows(ingest(), "order_id") == [(1,), (2,)]
+
+
+def test_rate_limit_makes_small_batches(spark, tmp_path):
+    path = str(tmp_path / "in")
+    df = payments(spark, [(i, 1, "pix", 1, 1.0, "2020-01-01") for i in range(6)])
+    df.repartition(3).write.parquet(path)
+    stream = read_file_stream(spark, path, "parquet", feed_schema("payments"), max_files=1)
+    query = run_to_end(
+        start_append(feeds.ingest_payments(stream), str(tmp_path / "o"), str(tmp_path / "c"))
+    )
+    assert sum(p["numInputRows"] > 0 for p in query.recentProgress) == 3
+    assert spark.read.parquet(str(tmp_path / "o")).count() == 6
+
+
+def test_orders_carry_their_file_and_tolerate_missing_columns(spark, tmp_path):
+    path = str(tmp_path / "in")
+    spark.createDataFrame([(1, "shipped")], "order_id BIGINT, order_status STRING").write.parquet(path)
+    stream = read_file_stream(spark, path, "parquet", feed_schema("orders"), max_files=1000)
+    got = drain(feeds.ingest_orders(stream), tmp_path)
+    r = got.first()
+    assert r.order_id == 1 and r.payment_value is None and r._ingestion_timestamp is not None
+    assert r._source_file.startswith("file:") and path in r._source_file
+
+
+CUSTOMERS = [
+    {"customer_id": 1, "customer_city": "a", "_last_updated": "2020-01-01T00:00:00Z"},
+    {"customer_id": 1, "customer_city": "b", "_last_updated": "2020-01-02T00:00:00Z"},
+    {"customer_id": 1, "customer_city": "b", "_last_updated": "2020-01-02T00:00:00Z"},
+    {"customer_id": 2, "customer_city": "c", "_last_updated": "2020-01-01T00:00:00Z"},
+]
+
+
+@pytest.fixture
+def customers(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "1.json").write_text("\n".join(json.dumps(c) for c in CUSTOMERS))
+    return lambda: read_file_stream(spark, str(tmp_path / "in"), "json", feed_schema("customers"))
+
+
+def test_customer_versions(customers, tmp_path):
+    got = drain(feeds.ingest_customers(customers()), tmp_path)
+    assert rows(got, "customer_id", "customer_city") == [(1, "a"), (1, "b"), (2, "c")]
+    latest = latest_per_key(got, "customer_id", "_last_updated")
+    assert rows(latest, "customer_id", "customer_city") == [(1, "b"), (2, "c")]
+    batch = feeds.ingest_customers(
+        got.drop("_ingestion_timestamp").unionByName(got.drop("_ingestion_timestamp"))
+    )
+    assert batch.count() == 3
+
+
+def test_one_row_per_customer(customers, tmp_path):
+    got = drain(feeds.ingest_customers(customers(), one_per_customer=True), tmp_path)
+    assert [r[0] for r in rows(got, "customer_id")] == [1, 2]
+
+
+def test_copies_in_a_later_batch_are_dropped(customers, spark, tmp_path):
+    drain(feeds.ingest_customers(customers()), tmp_path)
+    (tmp_path / "in" / "2.json").write_text("\n".join(json.dumps(c) for c in CUSTOMERS[:2]))
+    got = drain(feeds.ingest_customers(customers()), tmp_path)
+    assert got.count() == 3
+
+
+def test_latest_customers_revises_itself(spark, customers, tmp_path):
+    """Update mode: a later version replaces what was sent before (memory sink, tests only)."""
+
+    def run():
+        query = (
+            feeds.latest_customers(customers()).writeStream.format("memory").outputMode("update")
+            .queryName("latest_customers_test")
+            .trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
+        return rows(spark.table("latest_customers_test"), "customer_id", "customer_city")
+
+    assert run() == [(1, "b"), (2, "c")]
+    (tmp_path / "in" / "2.json").write_text(
+        json.dumps({"customer_id": 2, "customer_city": "d", "_last_updated": "2020-02-01T00:00:00Z"})
+    )
+    assert run() == [(1, "b"), (2, "d")]
+    batch = spark.read.schema(feed_schema("customers")).json(str(tmp_path / "in"))
+    assert rows(feeds.latest_customers(batch), "customer_id", "customer_city") == [(1, "b"), (2, "d")]
+
+
+def test_products_are_split_and_unreadable_lines_kept(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    header = ",".join(feed_schema("products").fieldNames())
+    lines = ['1,livros,n,d,"a,b",100,1,2,3', "2,,n,d,a,100,1,2,3", ",livros,n,d,a,100,1,2,3",
+             "x7,livros,n,d,a,heavy,1,2,3"]
+    (tmp_path / "in" / "p.csv").write_text("\n".join([header, *lines]) + "\n")
+    raw = read_file_stream(
+        spark, str(tmp_path / "in"), "csv", feed_schema("products"), keep_corrupt=True
+    )
+    valid, bad = feeds.ingest_products(raw)
+    good = drain(valid, tmp_path, "good")
+    assert rows(good, "product_id", "product_photos", "_validation_status") == [(1, "a,b", "PASSED")]
+    assert CORRUPT not in good.columns
+    held = drain(bad, tmp_path, "bad").withColumn("why", F.concat_ws(";", "_broken_rules"))
+    assert rows(held, "product_id", "why", "_validation_status") == [
+        (2, "product_category_name is missing", "FAILED"),
+        (None, "product_id is missing", "FAILED"),
+        (None, "product_id is missing;line is unreadable", "FAILED"),
+    ]
+    assert rows(held.filter(F.col(CORRUPT).isNotNull()), CORRUPT) == [(lines[3],)]
+
+
+def test_csv_types_are_inferred_once_and_columns_added(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "p.csv").write_text("product_id,note\n1,a\n2,b\n")
+    landed = infer_schema(spark, str(tmp_path / "in"), ratio=1.0)
+    assert landed.simpleString() == "struct<product_id:int,note:string>"
+    grown = evolve(feed_schema("products"), landed)
+    assert grown.fieldNames() == [*feed_schema("products").fieldNames(), "note"]
+    stream = read_file_stream(spark, str(tmp_path / "in"), "csv", landed)
+    assert rows(drain(with_ingest_meta(stream), tmp_path), "product_id", "note") == [(1, "a"), (2, "b")]
+
+
+def test_items_get_one_category_and_a_stable_id(spark, tmp_path):
+    schema = feed_schema("order_items")
+    data = [(1, 1, 10, 7, None, 5.0, 1.0), (1, 2, 11, 7, None, 5.0, 1.0), (2, 1, 10, 7, None, 5.0, 1.0)]
+    spark.createDataFrame(data, schema).coalesce(1).write.parquet(str(tmp_path / "in"))
+    products = spark.createDataFrame(
+        [(10, "b"), (10, "a")], "product_id BIGINT, product_category_name STRING"
+    )
+    categories = feeds.product_categories(products)
+
+    def ingest(name):
+        stream = read_file_stream(spark, str(tmp_path / "in"), "parquet", schema)
+        return drain(feeds.ingest_order_items(stream, categories), tmp_path, name)
+
+    first = ingest("one")
+    assert rows(first, "order_id", "order_item_id", "_enriched_category") == [
+        (1, 1, "a"), (1, 2, None), (2, 1, "a"),
+    ]
+    ids = rows(first, "_batch_id")
+    assert len(set(ids)) == 3 and rows(ingest("two"), "_batch_id") == ids
+
+
+def test_feed_formats_are_checked(spark, tmp_path):
+    with pytest.raises(ValueError):
+        read_file_stream(spark, str(tmp_path), "xml", feed_schema("payments"))
+    with pytest.raises(RuntimeError, match="spark-avro"):
+        read_file_stream(spark, str(tmp_path), "avro", feed_schema("payments"))
+
+
+def test_a_continuous_query_runs_until_stopped(spark, tmp_path):
+    payments(spark, [(1, 1, "pix", 1, 1.0, "2020-01-01")]).write.parquet(str(tmp_path / "in"))
+    stream = read_file_stream(spark, str(tmp_path / "in"), "parquet", feed_schema("payments"))
+    query = start_append(
+        feeds.ingest_payments(stream), str(tmp_path / "o"), str(tmp_path / "c"),
+        every=TRIGGERS["payments"], name="payments_test",
+    )
+    try:
+        query.processAllAvailable()
+        assert query.isActive and query.name == "payments_test"
+    finally:
+        query.stop()
+    assert spark.read.parquet(str(tmp_path / "o")).count() == 1
+
+
+def test_stream_into_a_table(spark, tmp_path):
+    payments(spark, [(1, 1, "pix", 1, 1.0, "2020-01-01")]).write.parquet(str(tmp_path / "in"))
+    stream = read_file_stream(spark, str(tmp_path / "in"), "parquet", feed_schema("payments"))
+    query = start_append(
+        feeds.ingest_payments(stream), str(tmp_path / "o"), str(tmp_path / "c"),
+        table="payments_bronze_test",
+    )
+    run_to_end(query)
+    assert spark.table("payments_bronze_test").count() == 1
+    spark.sql("DROP TABLE payments_bronze_test")
