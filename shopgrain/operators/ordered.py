@@ -68,9 +68,9 @@ def ordered(
     if rank:
         added[rank] = F.rank().over(in_order).cast("bigint")
     for name, value in running.items():
-        added[name] = exact_sum(value).over(so_far)
+        added[name] = exact_sum(value, so_far)
     for name, value in totals.items():
-        added[name] = exact_sum(value).over(within)
+        added[name] = exact_sum(value, within)
     local = routed.withColumns(added)
 
     # What the earlier ranges of a hot group hold: at most (hot groups x ranges) rows.

@@ -16,7 +16,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, functions as F
 
 from shopgrain.functions import (
-    band, exact_sum, micros, money, money_mean, percent, ratio, rounded_ratio, run_date, run_time,
+    band, exact_sum, money, money_mean, percent, ratio, rounded_ratio, run_date, run_time,
 )
 from shopgrain.operators.basket import BIG_BASKET, co_occurrence
 from shopgrain.operators.distinct import beside, distinct_counts
@@ -72,7 +72,7 @@ def product_performance(
         exact_sum("price").alias("revenue"),
         exact_sum("freight_value").alias("freight"),
         F.count_if(canceled).alias("return_count"),
-        F.sum(F.when(canceled, micros("price"))).alias("returned"),
+        exact_sum(F.when(canceled, F.col("price"))).alias("returned"),
         F.datediff(F.max(bought_at), F.min(bought_at)).alias("product_lifetime_days"),
     )
     counted = distinct_counts(

@@ -30,7 +30,8 @@ CATEGORY_TRANSLATIONS = (
 
 
 def category_translations(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        CATEGORY_TRANSLATIONS,
-        "product_category_name STRING, product_category_name_english STRING",
+    """The translations as a literal relation, whose size Spark knows."""
+    values = ", ".join(f"('{name}', '{english}')" for name, english in CATEGORY_TRANSLATIONS)
+    return spark.sql(
+        f"SELECT * FROM VALUES {values} AS t(product_category_name, product_category_name_english)"
     )
