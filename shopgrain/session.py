@@ -18,9 +18,11 @@ ENGINE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a skewed join even where the next step then needs another shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
+_local_root: str | None = None
+_written: list[str] = []
+
 
 def build_session(app: str = "shopgrain", master: str | None = None, **conf: str) -> SparkSession:
     """A session with ``ENGINE_CONF``; keyword ``conf`` uses ``__`` for the dots in setting names."""
@@ -37,19 +39,37 @@ def build_session(app: str = "shopgrain", master: str | None = None, **conf: str
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a local one is set only where none is named."""
+    """The shared folder the cluster names in ``spark.checkpoint.dir``.
+
+    Where it is unset, a local run gets a temporary folder; on a cluster that is an error, as
+    executors on other machines would not see it.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="shopgrain-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
-    return root
+    if root:
+        return root
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    global _local_root
+    _local_root = _local_root or tempfile.mkdtemp(prefix="shopgrain-")
+    return _local_root
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder name below the shared checkpoint folder."""
-    return os.path.join(scratch_root(spark), f"{name}-{uuid.uuid4().hex}")
+    """A fresh folder name below the shared folder."""
+    path = os.path.join(scratch_root(spark), f"{name}-{uuid.uuid4().hex}")
+    _written.append(path)
+    return path
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Delete the folders this process named below the shared folder; call it when the results
+    that read them are written. Returns how many there were."""
+    conf = spark._jsc.hadoopConfiguration()
+    removed = 0
+    while _written:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
+        removed += path.getFileSystem(conf).delete(path, True)
+    return removed
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -45,8 +46,8 @@ def append(df: DataFrame, name: str, *, partition_by: Sequence[str] = ()) -> Non
     """Append by column name; a new table is created with ``partition_by``."""
     spark = df.sparkSession
     if spark.catalog.tableExists(name):
-        parts = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
-        _sized(df.select(*spark.table(name).columns), parts).write.insertInto(name)
+        columns = spark.table(name).columns
+        _sized(df.select(*columns), _partitions(spark, name)).write.insertInto(name)
     else:
         _writer(df, partition_by).saveAsTable(name)
 
@@ -61,20 +62,28 @@ def read_evolving(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", "true").parquet(path)
 
 
-def refresh(df: DataFrame, name: str, *, partition_by: Sequence[str] = ()) -> None:
-    """Replace a table's rows and schema. ``df`` may read the table: the new state is written
-    beside it first and the names are swapped after."""
+def refresh(
+    df: DataFrame, name: str, *, partition_by: Sequence[str] = (), reads_itself: bool = True
+) -> None:
+    """Replace a table's rows, and its columns where they differ.
+
+    A new state computed from the old one (``reads_itself``) is stored in the shared folder first;
+    if the overwrite is interrupted, the new state is still there.
+    """
     spark = df.sparkSession
     if not spark.catalog.tableExists(name):
         _writer(df, partition_by).saveAsTable(name)
         return
-    staged, previous = f"{name}__next", f"{name}__previous"
-    spark.sql(f"DROP TABLE IF EXISTS {staged}")
-    spark.sql(f"DROP TABLE IF EXISTS {previous}")
-    _writer(df, partition_by).saveAsTable(staged)
-    spark.sql(f"ALTER TABLE {name} RENAME TO {previous}")
-    spark.sql(f"ALTER TABLE {staged} RENAME TO {name}")
-    spark.sql(f"DROP TABLE {previous}")
+    if reads_itself:
+        df = stored(df, "refresh")
+    table = spark.table(name)
+    if {(f.name, f.dataType) for f in table.schema} == {(f.name, f.dataType) for f in df.schema}:
+        with _overwriting(spark, "static"):
+            _sized(df.select(*table.columns), _partitions(spark, name)).write.insertInto(
+                name, overwrite=True
+            )
+    else:
+        _writer(df, partition_by).mode("overwrite").saveAsTable(name)
 
 
 def merge_partitions(
@@ -98,7 +107,24 @@ def merge_partitions(
     listed = F.col(partition).isin([n for n in names if n is not None])
     touched = target.filter(listed | F.col(partition).isNull() if None in names else listed)
     merged = merge(touched, source, keys).select(*target.columns)
-    _sized(merged, [partition]).write.option("partitionOverwriteMode", "dynamic").insertInto(name, overwrite=True)
+    with _overwriting(spark, "dynamic"):
+        _sized(merged, [partition]).write.insertInto(name, overwrite=True)
+
+
+@contextmanager
+def _overwriting(spark: SparkSession, mode: str) -> Iterator[None]:
+    """An insert into a table takes the overwrite mode from the session, not from its options."""
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, mode)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def _partitions(spark: SparkSession, name: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
 
 
 def _writer(df: DataFrame, partition_by: Sequence[str]):

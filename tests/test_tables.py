@@ -6,16 +6,15 @@ from pyspark.sql import functions as F
 
 from shopgrain.operators.merge import upsert_all
 from shopgrain.schemas import TABLES, table_schema
-from shopgrain.session import scratch_path, scratch_root, stored
+from shopgrain.session import release_scratch, scratch_path, scratch_root, stored
 from shopgrain.sources import tables
 
 
 @pytest.fixture
 def name(spark, request):
-    table = f"t_{request.node.name}"
+    table = f"t_{request.node.originalname}"
     yield table
-    for t in (table, f"{table}__next", f"{table}__previous"):
-        spark.sql(f"DROP TABLE IF EXISTS {t}")
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
 
 
 def months(spark, data):
@@ -56,7 +55,17 @@ def test_refresh_may_read_its_own_table_and_change_the_schema(spark, name):
     tables.refresh(months(spark, [(1, "a", "m"), (2, "b", "m")]), name)
     tables.refresh(spark.table(name).filter("k = 2").withColumn("more", F.lit(5)), name)
     assert rows(spark.table(name), "k", "more") == [(2, 5)]
-    assert not spark.catalog.tableExists(f"{name}__previous")
+
+
+def test_refresh_of_a_partitioned_table(spark, name):
+    spark.sql(f"CREATE TABLE {name} (k INT, v STRING, month STRING) USING parquet PARTITIONED BY (month)")
+    for k in (1, 2, 3):
+        new = months(spark, [(k, "a", f"m{k % 2}")])
+        tables.refresh(spark.table(name).unionByName(new), name, partition_by=["month"])
+    assert rows(spark.table(name), "k", "month") == [(1, "m1"), (2, "m0"), (3, "m1")]
+    assert rows(spark.table(name).filter("month = 'm0'"), "k") == [(2,)]
+    tables.refresh(months(spark, [(9, "a", "m9")]), name, reads_itself=False)
+    assert rows(spark.table(name), "k", "month") == [(9, "m9")]
 
 
 def test_files_may_gain_columns(spark, tmp_path):
@@ -84,6 +93,22 @@ def test_merge_touches_only_its_partitions(spark, name, tmp_path):
     assert spark.table(name).count() == 4
 
 
+@pytest.mark.parametrize("mode", ["static", "dynamic"])
+def test_writes_do_not_lean_on_the_session_overwrite_mode(spark, name, mode):
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, mode)
+    try:
+        tables.append(months(spark, [(1, "a", "x"), (2, "b", "y")]), name, partition_by=["month"])
+        tables.merge_partitions(months(spark, [(2, "B", "y")]), name, ["k"], "month", upsert_all)
+        assert rows(spark.table(name), "k", "v") == [(1, "a"), (2, "B")]
+        tables.refresh(spark.table(name).filter("k = 2"), name, partition_by=["month"])
+        assert rows(spark.table(name), "k", "v") == [(2, "B")]
+        assert spark.conf.get(key) == mode
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_merge_of_a_null_partition(spark, name):
     tables.append(months(spark, [(1, "a", None), (2, "b", "m")]), name, partition_by=["month"])
     tables.merge_partitions(months(spark, [(1, "A", None)]), name, ["k"], "month", upsert_all)
@@ -105,7 +130,15 @@ def test_stored_results_go_below_the_shared_folder(spark):
     root = scratch_root(spark)
     assert all(root in f for f in df.inputFiles())
     assert scratch_path(spark, "a") != scratch_path(spark, "a")
-    assert spark.conf.get("spark.checkpoint.dir") == root and Path(root).is_dir()
+    assert spark.conf.get("spark.checkpoint.dir", root) == root and Path(root).is_dir()
+
+
+def test_scratch_is_released(spark):
+    df = stored(spark.range(3), "three")
+    folder = Path(df.inputFiles()[0].removeprefix("file://")).parent
+    assert folder.is_dir()
+    assert release_scratch(spark) >= 1 and not folder.exists()
+    assert release_scratch(spark) == 0
 
 
 def test_filters_reach_the_scan(spark, tmp_path):
