@@ -34,8 +34,22 @@ def scd2_apply(
     """New state of a type-2 dimension after one batch of ``updates`` (one row per key).
 
     A new key starts version 1; a changed key closes its current version and opens the next; an
-    unchanged key and all closed versions stay as they are. Closed versions skip the join.
+    unchanged key and all closed versions stay as they are.
     """
+    return dim.filter(~F.col("is_current")).unionByName(
+        scd2_current(dim, updates, key, tracked, as_of)
+    )
+
+
+def scd2_current(
+    dim: DataFrame,
+    updates: DataFrame,
+    key: str,
+    tracked: Sequence[str],
+    as_of: datetime | date | str | None = None,
+) -> DataFrame:
+    """The part of the new state that comes from the current versions: those kept, those closed by
+    this batch, and the new ones. Versions closed earlier are neither read nor returned."""
     now = run_time(as_of)
     carried = [c for c in updates.columns if c in dim.columns and c != key]
     incoming = updates.select(
@@ -74,10 +88,7 @@ def scd2_apply(
 
     old_row = F.when(known, row({**{c: F.col(c) for c in dim.columns}, **kept}))
     new_row = F.when(changed, row(opened))
-    current = both.select(
-        F.inline(F.filter(F.array(old_row, new_row), lambda r: r.isNotNull()))
-    )
-    return dim.filter(~F.col("is_current")).unionByName(current)
+    return both.select(F.inline(F.filter(F.array(old_row, new_row), lambda r: r.isNotNull())))
 
 
 def assign_surrogate(

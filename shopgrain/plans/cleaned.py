@@ -9,7 +9,7 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shopgrain.functions import exact_sum, money_mean, ratio, run_time
-from shopgrain.operators.history import latest_per_key, scd2_apply
+from shopgrain.operators.history import latest_per_key, scd2_apply, scd2_current
 from shopgrain.operators.incremental import incremental, touched_rows
 from shopgrain.operators.merge import differs, upsert
 from shopgrain.operators.ordered import ordered
@@ -89,12 +89,19 @@ def orders_silver(
 
 
 def customers_scd2(
-    dim: DataFrame, updates: DataFrame, *, newest: str = "updated_at", as_of: AsOf = None
+    dim: DataFrame,
+    updates: DataFrame,
+    *,
+    newest: str = "updated_at",
+    as_of: AsOf = None,
+    current_only: bool = False,
 ) -> DataFrame:
-    """Type-2 customer history after a feed that may hold several versions of a customer."""
-    return scd2_apply(
-        dim, latest_per_key(updates, "customer_id", newest), "customer_id", TRACKED, as_of
-    )
+    """Type-2 customer history after a feed that may hold several versions of a customer.
+
+    ``current_only`` leaves out the versions closed earlier, for ``tables.write_scd2``."""
+    apply = scd2_current if current_only else scd2_apply
+    latest = latest_per_key(updates, "customer_id", newest)
+    return apply(dim, latest, "customer_id", TRACKED, as_of)
 
 
 def products_silver(

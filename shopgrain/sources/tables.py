@@ -96,9 +96,9 @@ def merge_partitions(
     """Merge ``source`` into a partitioned table, rewriting only the partitions it touches.
 
     For a ``partition`` that is fixed by the key (an order's purchase month): a matching row can
-    then only be in a partition that occurs in ``source``. The names of those partitions (never
-    more than the table has) become a filter that prunes the scan, and the dynamic overwrite leaves
-    the other partitions' files alone. ``source`` is stored first, as it is read twice.
+    then only be in a partition that occurs in ``source``. The names of those partitions (a few
+    values, one per partition) become a filter that prunes the scan, and the dynamic overwrite
+    leaves the other partitions' files alone. ``source`` is stored first, as it is read twice.
     """
     spark = source.sparkSession
     source = stored(source, "merge_source")
@@ -111,6 +111,17 @@ def merge_partitions(
         _sized(merged, [partition]).write.insertInto(name, overwrite=True)
 
 
+def write_scd2(current: DataFrame, name: str) -> None:
+    """Store the result of ``scd2_current`` in a table partitioned by ``is_current``: versions
+    closed by this batch are appended to the closed ones and the current ones are replaced, so the
+    closed history is never rewritten."""
+    spark = current.sparkSession
+    current = stored(current.select(*spark.table(name).columns), "scd2")
+    append(current.filter(~F.col("is_current")), name)
+    with _overwriting(spark, "dynamic"):
+        current.filter("is_current").write.insertInto(name, overwrite=True)
+
+
 @contextmanager
 def _overwriting(spark: SparkSession, mode: str) -> Iterator[None]:
     """An insert into a table takes the overwrite mode from the session, not from its options."""

@@ -79,11 +79,14 @@ class Lake:
             tables.conform(updates, "orders_silver"), "lake.orders_silver", ["order_id"],
             "order_year_month", lambda t, s, _: cleaned.merge_orders(t, s),
         )
-        dim = tables.existing(spark, "lake.customers_scd2")
-        if dim is None:
-            dim = spark.createDataFrame([], table_schema("customers_scd2"))
-        self.put("customers_scd2", cleaned.customers_scd2(
-            dim, self.bronze("customers"), newest="_last_updated", as_of=AS_OF), "refresh")
+        tables.ensure_table(spark, "lake.customers_scd2", "customers_scd2")
+        tables.write_scd2(
+            cleaned.customers_scd2(
+                self.table("customers_scd2"), self.bronze("customers"), newest="_last_updated",
+                as_of=AS_OF, current_only=True,
+            ),
+            "lake.customers_scd2",
+        )
         self.put("products_silver", cleaned.products_silver(
             self.bronze("products"), category_translations(spark), as_of=AS_OF), "refresh")
         self.put("order_items_silver", cleaned.order_items_silver(

@@ -39,6 +39,32 @@ def test_namespaces(spark):
     assert spark.catalog.databaseExists("mart_zone")
 
 
+def test_scd2_table_rewrites_only_current_versions(spark, name, tmp_path):
+    from shopgrain.plans.cleaned import customers_scd2
+
+    place = tmp_path / "dim"
+    tables.ensure_table(spark, name, "customers_scd2", str(place))
+    cols = ("customer_id BIGINT, customer_unique_id STRING, customer_zip_code_prefix INT, "
+            "customer_city STRING, customer_state STRING, customer_phone STRING, "
+            "customer_email STRING, updated_at INT")
+
+    def load(at, *people):
+        feed = spark.createDataFrame([(k, "u", z, "c", "s", "p", "e", at) for k, z in people], cols)
+        tables.write_scd2(
+            customers_scd2(spark.table(name), feed, as_of=f"202{at}-01-01", current_only=True), name
+        )
+        return rows(spark.table(name), "customer_id", "version", "customer_zip_code_prefix", "is_current")
+
+    assert load(0, (1, 10), (2, 20)) == [(1, 1, 10, True), (2, 1, 20, True)]
+    assert load(1, (1, 11), (3, 30)) == [
+        (1, 1, 10, False), (1, 2, 11, True), (2, 1, 20, True), (3, 1, 30, True)]
+    closed = {p: p.stat().st_mtime_ns for p in (place / "is_current=false").glob("*.parquet")}
+    assert load(2, (1, 12), (2, 20)) == [
+        (1, 1, 10, False), (1, 2, 11, False), (1, 3, 12, True), (2, 1, 20, True), (3, 1, 30, True)]
+    after = {p: p.stat().st_mtime_ns for p in (place / "is_current=false").glob("*.parquet")}
+    assert closed and closed.items() <= after.items()
+
+
 def test_existing(spark, name):
     assert tables.existing(spark, name) is None
     tables.append(months(spark, [(1, "a", "m")]), name)
