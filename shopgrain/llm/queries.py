@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shopgrain.llm import lines
+from shopgrain.llm import lines, simhash, substrings
 from shopgrain.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,24 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substrings.drop_repeated_passages(docs).select(
+        "row.doc_id", "n_words", "n_removed", _sha("kept").alias("kept_sha256")
+    )
+
+
+def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prints = simhash.fingerprints(table(spark, sf_dir, "documents"), size=3, seed=42)
+    return simhash.near_duplicates(prints).select(
+        F.col("id").alias("doc_id"),
+        F.lower(F.lpad(F.hex(F.get("prints", F.lit(0))), 16, "0")).alias("fingerprint"),
+        F.col("component").alias("component_id"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op7_line_dedup": op7_line_dedup,
+    "op8_substring_dedup": op8_substring_dedup,
+    "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
