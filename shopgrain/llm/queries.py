@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shopgrain.llm import lines, simhash, substrings
+from shopgrain.llm import lines, packing, simhash, substrings
 from shopgrain.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +17,14 @@ def _sha(col: str):
     return F.sha2(F.col(col).cast("binary"), 256)
 
 
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    packed = packing.pack_documents(
+        table(spark, sf_dir, "documents"), vocabulary, limit=4096, with_ids=False
+    )
+    return packed.withColumnRenamed("id", "doc_id")
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = lines.drop_common_lines(table(spark, sf_dir, "documents"))
     return out.select(
@@ -40,6 +49,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_best_fit_packing": op1_best_fit_packing,
     "op7_line_dedup": op7_line_dedup,
     "op8_substring_dedup": op8_substring_dedup,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
