@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from shopgrain.session import stored
 
@@ -69,7 +70,7 @@ def words_of(text: str | None) -> list[bytes]:
 
 def per_batch(
     df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]]],
-    schema: str,
+    schema: str | StructType,
 ) -> DataFrame:
     """``mapInArrow`` with state that each task makes once."""
 

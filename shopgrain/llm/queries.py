@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shopgrain.llm import lines, packing, simhash, substrings
+from shopgrain.llm import lines, packing, quality, simhash, substrings
 from shopgrain.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,13 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.withColumnRenamed("id", "doc_id")
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return quality.select_quality(docs, labels).select(
+        "row.doc_id", "expected_grade", "tail_probability", "kept"
+    )
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = lines.drop_common_lines(table(spark, sf_dir, "documents"))
     return out.select(
@@ -50,6 +57,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_quality_classifier": op2_quality_classifier,
     "op7_line_dedup": op7_line_dedup,
     "op8_substring_dedup": op8_substring_dedup,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,

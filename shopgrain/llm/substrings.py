@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from shopgrain.llm.common import discard, per_batch, row_key, store, words_of
 
@@ -267,9 +268,9 @@ def drop_repeated_passages(
 
     rows = df.select(F.struct("*").alias("row"), *keys, F.col(text_col).cast("string").alias("t"))
     joined = rows.join(spans, ["k1", "k2"], "left").select("row", "t", "spans")
-    kind = rows.schema["row"].dataType.simpleString()
-    return per_batch(
-        joined, make,
-        f"row {kind}, kept string, n_words long, n_removed long, "
-        "factors array<struct<start:long,length:long>>",
-    )
+    factor = StructType([StructField("start", LongType()), StructField("length", LongType())])
+    out = StructType([
+        joined.schema["row"], StructField("kept", StringType()), StructField("n_words", LongType()),
+        StructField("n_removed", LongType()), StructField("factors", ArrayType(factor)),
+    ])
+    return per_batch(joined, make, out)
