@@ -3,6 +3,18 @@
 _WS = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+_HOST = _LOWER.format("coalesce(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'), '')")
+_CANONICAL = f"""
+    regexp_replace(host, '^www[.]|:(80|443)$', '', 'g')
+    || regexp_replace(regexp_replace(path, '/index[.][a-z]+$', '/'), '/+$', '')
+    || CASE WHEN len(params) > 0 THEN '?' || array_to_string(params, '&') ELSE '' END"""
+_SITES = "'cheap-pills', 'casino-win', 'spam-farm', 'adult-x', 'free-bets', 'ads-track'"
+
+
+def _fits(host: str, path: str) -> str:
+    return f"((host = '{host}' OR host LIKE '%.{host}') AND starts_with(path, '{path}'))"
+
+
 ORACLES: dict[str, str] = {
     "op7_line_dedup": f"""
         WITH lines AS (
@@ -18,4 +30,29 @@ ORACLES: dict[str, str] = {
                sha256(coalesce(string_agg(line, chr(10) ORDER BY pos)
                    FILTER (key NOT IN (SELECT key FROM common)), '')) AS kept_sha256
         FROM keyed GROUP BY doc_id""",
+    "op9_url_filters": f"""
+        WITH parts AS (
+            SELECT page_id, url, {_HOST} AS host,
+                   coalesce(regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's'), '') AS path,
+                   list_sort(list_filter(
+                       string_split(coalesce(regexp_extract(url, '^.*?://[^?#]*[?]([^#]*)', 1, 's'), ''), '&'),
+                       lambda p: p <> '' AND NOT regexp_matches(
+                           p, '^(utm_[a-z]+|ref|fbclid|gclid|sessionid)(=|$)'))) AS params
+            FROM pages),
+        whole AS (
+            SELECT *, {_CANONICAL} AS canonical,
+                   CASE WHEN {_fits("example.net", "/en/")} THEN 'example.net/en/'
+                        WHEN {_fits("example.com", "/de/")} THEN 'example.com/de/'
+                        WHEN {_fits("org", "/fr/")} THEN 'org/fr/'
+                        WHEN {_fits("net", "/")} THEN 'net/' END AS rule
+            FROM parts),
+        listed AS (
+            SELECT DISTINCT canonical FROM whole
+            WHERE list_has_any(string_split(host, '.'), [{_SITES}]) AND canonical <> '')
+        SELECT page_id, host, path, rule,
+               CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block'
+                    WHEN rule IS NOT NULL THEN 'allow'
+                    WHEN canonical IN (SELECT canonical FROM listed) THEN 'block'
+                    ELSE 'allow' END AS verdict
+        FROM whole""",
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shopgrain.llm import lines, packing, quality, simhash, substrings
+from shopgrain.llm import bpe, lines, packing, quality, simhash, substrings, toxicity, urls
 from shopgrain.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,10 @@ def _sha(col: str):
     return F.sha2(F.col(col).cast("binary"), 256)
 
 
+def _held_out(col: str):
+    return F.coalesce(F.crc32(F.col(col).cast("string")) % 5 == 0, F.lit(False))
+
+
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("word_bpe_49k.json")
     packed = packing.pack_documents(
@@ -32,6 +36,29 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    known = labels.where(~_held_out("doc_id"))
+    model = toxicity.train(
+        docs, known.select(F.col("doc_id").alias("id"), F.col("toxic").alias("label"))
+    )
+    return toxicity.score(docs, model).select(
+        "row.doc_id", _held_out("row.doc_id").alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"), "sentences",
+    )
+
+
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = bpe.encode(docs, ranks, public_tokenizers.PATTERN)
+    coded = encoded.select("row.doc_id", F.col("n_tokens"), "ids")
+    return bpe.decode(coded, ranks).select(
+        "row.doc_id", "row.n_tokens", F.sha2("row.ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = lines.drop_common_lines(table(spark, sf_dir, "documents"))
     return out.select(
@@ -46,6 +73,25 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Fixed values of the query: its rules, and the sites whose pages make up the list.
+URL_RULES = [
+    urls.Rule("net", "/", "block"), urls.Rule("example.net", "/en/", "allow"),
+    urls.Rule("example.com", "/de/", "block"), urls.Rule("org", "/fr/", "allow"),
+]
+LISTED_SITES = ["cheap-pills", "casino-win", "spam-farm", "adult-x", "free-bets", "ads-track"]
+
+
+def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    site = F.array_contains(F.split(urls.url_host(F.col("url")), "\\."), F.lit(LISTED_SITES[0]))
+    for name in LISTED_SITES[1:]:
+        site = site | F.array_contains(F.split(urls.url_host(F.col("url")), "\\."), F.lit(name))
+    block_list = pages.where(site).select(urls.canonical_url(F.col("url")).alias("canonical"))
+    return urls.judge(pages, block_list, URL_RULES).select(
+        "row.page_id", "host", "path", "rule", "verdict"
+    )
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     prints = simhash.fingerprints(table(spark, sf_dir, "documents"), size=3, seed=42)
     return simhash.near_duplicates(prints).select(
@@ -58,7 +104,10 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_quality_classifier": op2_quality_classifier,
+    "op3_toxicity": op3_toxicity,
+    "op4_byte_bpe": op4_byte_bpe,
     "op7_line_dedup": op7_line_dedup,
     "op8_substring_dedup": op8_substring_dedup,
+    "op9_url_filters": op9_url_filters,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }

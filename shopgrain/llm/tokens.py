@@ -6,7 +6,7 @@ import base64
 from collections.abc import Callable
 
 import regex
-from tokenizers import Regex, Tokenizer, decoders, models, pre_tokenizers
+from tokenizers import Tokenizer, models, pre_tokenizers
 
 HELD = 1 << 19  # distinct pieces a task remembers before it starts afresh
 
@@ -83,19 +83,35 @@ class ByteEncoder:
         vocab = {shown[token]: rank for token, rank in ranks.items()}
         self.pattern = regex.compile(pattern)
         self.library = Tokenizer(models.BPE(vocab=vocab, merges=merges, ignore_merges=True))
-        self.library.pre_tokenizer = pre_tokenizers.Sequence([
-            pre_tokenizers.Split(Regex(r"[\s\S]+"), "isolated"),
-            pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
-        ])
-        self.library.decoder = decoders.ByteLevel()
-        self.bytes_of = {rank: token for token, rank in ranks.items()}
-        self.memo = Remembered(self._encode)
+        self.library.pre_tokenizer = pre_tokenizers.ByteLevel(
+            add_prefix_space=False, use_regex=False
+        )
+        self.ids = Remembered(lambda piece: packed(self._encode(piece).ids))
+        self.spans = Remembered(lambda piece: (len(piece), self._encode(piece).offsets))
 
-    def _encode(self, piece: str) -> tuple[bytes, bytes]:
-        ids = self.library.encode(piece, add_special_tokens=False).ids
-        return packed(ids), b"".join(map(self.bytes_of.__getitem__, ids))
+    def _encode(self, piece: str):
+        return self.library.encode(piece, add_special_tokens=False)
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
-        memo = self.memo
-        return b"".join([memo[p][0] for p in self.pattern.findall(text)])
+        return b"".join(map(self.ids.__getitem__, self.pattern.findall(text)))
+
+    def offsets(self, text: str) -> list[tuple[int, int]]:
+        """First character and the one after the last of each id; ids that share a character, as
+        where one ends inside it, have it in both spans."""
+        out, base = [], 0
+        for piece in self.pattern.findall(text):
+            size, spans = self.spans[piece]
+            out.extend((base + a, base + b) for a, b in spans)
+            base += size
+        return out
+
+
+class ByteDecoder:
+    """Ids back to the bytes they stand for; an id may hold part of a character."""
+
+    def __init__(self, path: str) -> None:
+        self.bytes_of = {rank: token for token, rank in read_ranks(path).items()}
+
+    def decode(self, ids: list[int]) -> bytes:
+        return b"".join(map(self.bytes_of.__getitem__, ids))
