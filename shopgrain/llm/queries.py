@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shopgrain.llm import bpe, lines, packing, quality, simhash, substrings, toxicity, urls
+from shopgrain.llm import bpe, lines, outliers, packing, quality, simhash, substrings, toxicity, urls
 from shopgrain.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,6 +59,14 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return outliers.judge(docs).select(
+        "row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", "distance",
+    )
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = lines.drop_common_lines(table(spark, sf_dir, "documents"))
     return out.select(
@@ -106,6 +114,7 @@ QUERIES: dict[str, Query] = {
     "op2_quality_classifier": op2_quality_classifier,
     "op3_toxicity": op3_toxicity,
     "op4_byte_bpe": op4_byte_bpe,
+    "op5_quality_rules": op5_quality_rules,
     "op7_line_dedup": op7_line_dedup,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_url_filters": op9_url_filters,
