@@ -10,7 +10,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from shopgrain.llm.common import discard, per_batch, store, words_of
+from shopgrain.llm.common import discard, per_batch, row_key, store, text_of, words_of
 from shopgrain.llm.components import components
 
 BITS = 64
@@ -62,12 +62,13 @@ def fingerprints(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     size: int = 3, seed: int = 42, word_tables: int = 0,
 ) -> DataFrame:
-    """(id, prints): the whole text's fingerprint over ``size``-word shingles, or ``word_tables``
-    fingerprints over its distinct words. A text without words has fingerprint zero."""
+    """(id, k1, k2, prints): per row its ``row_key`` and the whole text's fingerprint over
+    ``size``-word shingles, or ``word_tables`` fingerprints over its distinct words. A text without
+    words has fingerprint zero."""
 
     def make():
         def step(batch: pa.RecordBatch) -> Iterable[pa.RecordBatch]:
-            texts = batch.column(1).to_pylist()
+            texts = batch.column(3).to_pylist()
             rows = [
                 word_fingerprints(t, word_tables, seed) if word_tables
                 else shingle_fingerprint(t, size, seed) for t in texts
@@ -76,12 +77,17 @@ def fingerprints(
             flat = np.concatenate(rows) if rows else np.zeros(0, dtype=np.int64)
             ends = np.arange(0, len(flat) + 1, width, dtype=np.int32)
             prints = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
-            yield pa.RecordBatch.from_arrays([batch.column(0), prints], ["id", "prints"])
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:3], prints], ["id", "k1", "k2", "prints"]
+            )
 
         return step
 
-    src = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t"))
-    return per_batch(src, make, "id long, prints array<long>")
+    src = df.select(
+        F.col(id_col).cast("long").alias("id"), *row_key(F.col(id_col), text_of(text_col)),
+        F.col(text_col).cast("string").alias("t"),
+    )
+    return per_batch(src, make, "id long, k1 long, k2 long, prints array<long>")
 
 
 def _rotated(col: str, segment: int) -> Column:
@@ -117,7 +123,6 @@ def links(prints: DataFrame) -> DataFrame:
             .bitwiseOR(F.shiftrightunsigned("at.turned", rest)).alias("key"),
         )
     )
-    members = store(members, "members")
     counted = members.groupBy("key").count().where("count > 1")
     counted = store(counted, "buckets")
     some = counted.where(F.col("count") <= FULL_BUCKET).select("key")
@@ -140,12 +145,13 @@ def links(prints: DataFrame) -> DataFrame:
         .select("a", F.explode("nodes").alias("b")).where("a <> b")
     )
     found = store(pairs.union(shared).distinct(), "near")
-    discard(members, counted, paired)
+    discard(counted, paired)
     return found
 
 
 def near_duplicates(prints: DataFrame) -> DataFrame:
-    """(id, prints, component): the least id reachable over links, for every row of ``fingerprints``.
+    """``fingerprints`` with ``component``, the least id reachable over links, and ``group``, the same
+    with a stand-in where it is null.
 
     Rows with the same fingerprints are one class before anything is compared. With several tables a
     link in any of them counts. Null ids take part; a component of null ids only has a null
@@ -176,4 +182,23 @@ def near_duplicates(prints: DataFrame) -> DataFrame:
     )
     discard(classes, heads)
     real = F.when(F.col("component") < NO_ID, F.col("component"))
-    return prints.join(named, "prints").select("id", "prints", real.alias("component"))
+    return prints.join(named, "prints").select(
+        *prints.columns, real.alias("component"), F.col("component").alias("group")
+    )
+
+
+def keep_one(df: DataFrame, tables: int = 16, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``df`` that stay when one row of each near-duplicate group does: the one of the
+    least id (null ids come last), then of the least row key. Repeated rows are one group.
+
+    For copies of 80 % of their five-word shingles and more, one fingerprint over shingles differs in
+    some ten bits. ``tables`` fingerprints over distinct words differ in four on average each, and a
+    link needs one of them within two; unrelated texts differ in twenty.
+    """
+    joined = near_duplicates(fingerprints(df, id_col, text_col, word_tables=tables))
+    first = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "k1", "k2")).alias("first")
+    stay = store(
+        joined.groupBy("group").agg(first).select("first.k1", "first.k2"), "survivors"
+    )
+    rows = df.select(F.struct("*").alias("row"), *row_key(F.col(id_col), text_of(text_col)))
+    return rows.join(stay, ["k1", "k2"]).dropDuplicates(["k1", "k2"]).select("row.*")
