@@ -12,7 +12,7 @@ from pyspark.sql.types import (
 )
 
 from shopgrain.llm.common import per_batch
-from shopgrain.llm.tokens import ByteDecoder, ByteEncoder
+from shopgrain.llm.tokens import byte_decoder, byte_encoder
 
 FLUSH = 16 << 20  # bytes of ids or text after which a task hands on what it has
 
@@ -46,7 +46,7 @@ def encode(
         out.add("spans", ArrayType(ArrayType(IntegerType())))
 
     def make():
-        encoder = ByteEncoder(ranks, pattern)
+        encoder = byte_encoder(ranks, pattern)
 
         def step(batch: pa.RecordBatch) -> Iterable[pa.RecordBatch]:
             texts = batch.column(1)
@@ -77,7 +77,7 @@ def decode(df: DataFrame, ranks: str, ids_col: str = "ids") -> DataFrame:
     out = StructType([src.schema["row"], StructField("decoded", BinaryType())])
 
     def make():
-        decoder = ByteDecoder(ranks)
+        decoder = byte_decoder(ranks)
 
         def step(batch: pa.RecordBatch) -> Iterable[pa.RecordBatch]:
             coded = batch.column(1)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
 from shopgrain.llm.common import discard, per_batch, store, words_of
-from shopgrain.llm.tokens import WordEncoder
+from shopgrain.llm.tokens import word_encoder
 
 PARTNERS = 8  # second lengths tried with each first one, and third ones with each pair
 STEPS = 200  # of the least-squares fit
@@ -26,7 +26,7 @@ def token_pieces(
     at most ``length``. Null texts are empty: one piece of the end id."""
 
     def make():
-        encode = WordEncoder(vocabulary)
+        encode = word_encoder(vocabulary)
         end = end_id.to_bytes(4, "little")
 
         def step(batch: pa.RecordBatch) -> Iterable[pa.RecordBatch]:

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Callable
+from functools import cache
 
 import regex
 from tokenizers import Tokenizer, models, pre_tokenizers
@@ -33,13 +35,25 @@ class WordEncoder:
     """Ids of a vocabulary file that drops white space and never joins over it.
 
     Text is cut at ASCII white space. Each distinct piece is encoded once by the library; what it
-    does inside a piece, other white space included, is left to it.
+    does inside a piece, other white space included, is left to it. Plain letters and the marks after
+    them are pieces of their own, and their case does not count: the vocabulary is lower case and
+    never joins letters with such marks.
     """
 
+    _PLAIN = re.compile(rb"([A-Za-z]+)([.,!?;:|#*$%&()]*)")
+
     def __init__(self, path: str) -> None:
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True
-        self.memo = Remembered(self._encode)
+        self.parts = Remembered(self._encode)
+        self.memo = Remembered(self._piece)
+
+    def _piece(self, piece: bytes) -> bytes:
+        plain = self._PLAIN.fullmatch(piece)
+        if plain:
+            letters, marks = plain.groups()
+            return self.parts[letters.lower()] + (self.parts[marks] if marks else b"")
+        return self._encode(piece)
 
     def _encode(self, piece: bytes) -> bytes:
         text = piece.decode("utf-8", "replace")
@@ -115,3 +129,7 @@ class ByteDecoder:
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
+
+
+# One of each per Python worker: tasks that follow each other in a worker share what it remembers.
+word_encoder, byte_encoder, byte_decoder = cache(WordEncoder), cache(ByteEncoder), cache(ByteDecoder)
