@@ -14,7 +14,7 @@ from pyspark.sql.types import (
     ArrayType, DoubleType, IntegerType, StringType, StructField, StructType,
 )
 
-from shopgrain.llm.common import per_batch
+from shopgrain.llm.common import per_batch, store
 from shopgrain.llm.quality import bounded_sample
 from shopgrain.llm.tokens import Remembered
 
@@ -61,87 +61,111 @@ class NoisyOr:
 
 
 def fit(
-    sentence_of: np.ndarray, features: np.ndarray, doc_of: np.ndarray, labels: np.ndarray,
-    steps: int = 150, rate: float = 0.2, decay: float = 1e-5, least_docs: int = 5,
-    least_signal: float = 4.0,
+    codes: np.ndarray, features: np.ndarray, sentence_of: np.ndarray, doc_of: np.ndarray,
+    labels: np.ndarray, steps: int = 150, rate: float = 0.2, decay: float = 1e-5,
 ) -> NoisyOr:
     """Maximum likelihood of the document labels, by Adam over the whole sample.
 
-    ``features`` and ``sentence_of`` list the feature occurrences, ``doc_of`` the document of each
-    sentence. Only features in ``least_docs`` documents whose log-odds between the labels is
-    ``least_signal`` standard errors from zero take part: the many rare words of a sample would
-    otherwise explain its toxic documents one by one.
+    ``features`` (places in ``codes``) and ``sentence_of`` list the feature occurrences, ``doc_of``
+    the document of each sentence.
     """
-    n, y = len(labels), labels.astype(float)
-    if not n:
-        return NoisyOr(-5.0)
-    codes, at = np.unique(features, return_inverse=True)
-    held = np.unique(at.astype(np.int64) * n + doc_of[sentence_of])
-    docs = np.bincount(held // n, minlength=len(codes))
-    toxic = np.bincount(held // n, y[held % n], minlength=len(codes))
-    clean = docs - toxic
-    odds = np.log((toxic + 0.5) / (y.sum() + 1)) - np.log((clean + 0.5) / (n - y.sum() + 1))
-    error = np.sqrt(1 / (toxic + 0.5) + 1 / (clean + 0.5))
-    chosen = (docs >= least_docs) & (np.abs(odds) > least_signal * error)
-    use = chosen[at]
-    at, sentence_of, codes = (np.cumsum(chosen) - 1)[at[use]], sentence_of[use], codes[chosen]
+    n = len(labels)
     w = np.zeros(len(codes) + 1)
-    w[-1] = -4.0
+    w[-1] = -5.0
     first, second = np.zeros_like(w), np.zeros_like(w)
-    for step in range(1, steps + 1):
-        z = np.clip(np.bincount(sentence_of, w[at], minlength=len(doc_of)) + w[-1], -30, 30)
+    for step in range(1, steps + 1 if n else 1):
+        z = np.clip(np.bincount(sentence_of, w[features], minlength=len(doc_of)) + w[-1], -30, 30)
         none = np.bincount(doc_of, -np.logaddexp(0, z), minlength=n)  # log of no toxic sentence
         miss = np.exp(none) / np.maximum(-np.expm1(none), 1e-6)
-        dz = np.where(y == 1, miss, -1.0)[doc_of] / (1 + np.exp(-z))
-        grad = np.append(np.bincount(at, dz[sentence_of], minlength=len(codes)), dz.sum()) / -n
+        dz = np.where(labels == 1, miss, -1.0)[doc_of] / (1 + np.exp(-z))
+        of_codes = np.bincount(features, dz[sentence_of], minlength=len(codes))
+        grad = np.append(of_codes, dz.sum()) / -n
         grad[:-1] += decay * w[:-1]
         first, second = 0.9 * first + 0.1 * grad, 0.99 * second + 0.01 * grad * grad
         w -= rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-7)
     return NoisyOr(float(w[-1]), dict(zip(codes.tolist(), w[:-1].tolist())))
 
 
+def telling_features(
+    rated: DataFrame, least_rows: int = 5, least_signal: float = 4.0
+) -> np.ndarray:
+    """Features in ``least_rows`` rows of ``rated`` (t, label) whose log-odds between the labels is
+    ``least_signal`` standard errors from zero, counted by Spark. The many rare words of a sample
+    would otherwise explain its toxic documents one by one."""
+
+    def make():
+        memo = Remembered(word_features)
+
+        def step(batch: pa.RecordBatch) -> Iterable[pa.RecordBatch]:
+            for text, label in zip(batch.column(0), batch.column(1).to_pylist()):
+                own = {f for w in set((text.as_py() or "").split()) for f in memo[w]}
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(own, pa.int32()), pa.array([label] * len(own), pa.int32())],
+                    ["feature", "label"],
+                )
+
+        return step
+
+    total = rated.agg(F.count("*").alias("n"), F.coalesce(F.sum("label"), F.lit(0)).alias("toxic")).first()
+    toxic, clean = F.col("toxic") + 0.5, F.col("n") - F.col("toxic") + 0.5
+    odds = F.log(toxic / (total["toxic"] + 1)) - F.log(clean / (total["n"] - total["toxic"] + 1))
+    error = F.sqrt(1 / toxic + 1 / clean)
+    found = (
+        per_batch(rated, make, "feature int, label int")
+        .groupBy("feature").agg(F.count("*").alias("n"), F.sum("label").alias("toxic"))
+        .where((F.col("n") >= least_rows) & (F.abs(odds) > least_signal * error))
+        .select("feature").collect()
+    )
+    return np.array(sorted(r["feature"] for r in found), dtype=np.int64)
+
+
 def train(
     docs: DataFrame, labelled: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id",
     text_col: str = "text",
 ) -> NoisyOr:
     """Learn from about ``sample`` rows of ``labelled`` (id, label 0 or 1) that have a text.
 
-    Tasks make the sentences' features; the driver gets those of the sample and fits them.
+    Rows without a label are left out. Tasks find the telling features and where they occur; the
+    driver gets those of the sample and fits their weights. Without rows every text scores low.
     """
-    rated = bounded_sample(labelled.where("label IS NOT NULL"), F.col("id"), sample)
-    src = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("t")).join(
-        rated, "id"
-    ).select("t", F.col("label").cast("int"))
+    chosen = bounded_sample(labelled.where("label IS NOT NULL"), F.col("id"), sample)
+    rated = store(
+        docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("t"))
+        .join(chosen, "id").select("t", F.col("label").cast("int").alias("label")),
+        "rated",
+    )
+    codes = telling_features(rated)
+    place = {code: i for i, code in enumerate(codes.tolist())}
 
     def make():
-        memo = Remembered(word_features)
+        memo = Remembered(lambda w: [place[f] for f in word_features(w) if f in place])
 
         def step(batch: pa.RecordBatch) -> Iterable[pa.RecordBatch]:
             made = []
-            for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                codes, counts = [], []
-                for a, b in sentences(text):
-                    own = {f for w in text[a:b].split() for f in memo[w]}
-                    codes.extend(sorted(own))
-                    counts.append(len(own))
+            for text, label in zip(batch.column(0), batch.column(1).to_pylist()):
+                text = text.as_py()
+                own = [
+                    sorted({f for w in text[a:b].split() for f in memo[w]})
+                    for a, b in sentences(text)
+                ]
                 made.append((
-                    np.array(codes, dtype=np.int32).tobytes(),
-                    np.array(counts, dtype=np.int32).tobytes(), label,
+                    np.array([f for s in own for f in s], dtype=np.int32).tobytes(),
+                    np.array([len(s) for s in own], dtype=np.int32).tobytes(), label,
                 ))
             kinds = (pa.binary(), pa.binary(), pa.int32())
             columns = [pa.array([r[i] for r in made], k) for i, k in enumerate(kinds)]
-            yield pa.RecordBatch.from_arrays(columns, ["codes", "counts", "label"])
+            yield pa.RecordBatch.from_arrays(columns, ["features", "sizes", "label"])
 
         return step
 
-    got = per_batch(src, make, "codes binary, counts binary, label int").toPandas()
-    got = got.sort_values(["label", "codes", "counts"], kind="stable")  # not by arrival
-    counts = [np.frombuffer(c, dtype=np.int32) for c in got["counts"]]
-    doc_of = np.repeat(np.arange(len(got)), [len(c) for c in counts])
-    sizes = np.concatenate(counts) if counts else np.zeros(0, dtype=np.int32)
-    features = np.frombuffer(b"".join(got["codes"]), dtype=np.int32)
+    got = per_batch(rated, make, "features binary, sizes binary, label int").toPandas()
+    got = got.sort_values(["label", "features", "sizes"], kind="stable")  # not by arrival
+    each = [np.frombuffer(c, dtype=np.int32) for c in got["sizes"]]
+    doc_of = np.repeat(np.arange(len(got)), [len(c) for c in each])
+    sizes = np.concatenate(each) if each else np.zeros(0, dtype=np.int32)
+    features = np.frombuffer(b"".join(got["features"]), dtype=np.int32)
     sentence_of = np.repeat(np.arange(len(sizes)), sizes)
-    return fit(sentence_of, features, doc_of, got["label"].to_numpy())
+    return fit(codes, features, sentence_of, doc_of, got["label"].to_numpy())
 
 
 def score(
