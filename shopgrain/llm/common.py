@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import gc
-import zlib
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -63,6 +62,12 @@ def ascii_lower(x: Column) -> Column:
     return F.when(plain, F.lower(x)).otherwise(F.translate(x, UPPER, LOWER))
 
 
+def held(df: DataFrame) -> DataFrame:
+    """The same rows behind a one-element ``inline``: array columns are computed once per row and
+    not again inside each lambda that a later projection would be merged with."""
+    return df.select(F.inline(F.array(F.struct("*"))))
+
+
 def words_of(text: str | None) -> list[bytes]:
     """UTF-8 words; ``bytes.split`` splits at exactly the six ASCII white-space characters."""
     return text.encode("utf-8", "surrogatepass").split() if text else []
@@ -81,6 +86,3 @@ def per_batch(
 
     return df.mapInArrow(run, schema)
 
-
-def crc_of(value: object) -> int:
-    return zlib.crc32(str(value).encode())

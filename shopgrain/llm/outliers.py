@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from shopgrain.llm.common import SPACE_RUN, SPACES, discard, store
+from shopgrain.llm.common import SPACE_RUN, SPACES, discard, held, store
 
 SYMBOLS = "#*$%&|<>"
 GRAM = 5  # words of a window
@@ -28,26 +28,26 @@ def with_base(df: DataFrame, text_col: str = "text") -> DataFrame:
     words = F.filter(F.split(text, SPACE_RUN, -1), lambda w: w != "")
     lines = F.filter(F.split(text, "\n", -1), lambda x: F.btrim(x, F.lit(SPACES)) != "")
     symbols = F.regexp_replace(text, f"[^{SYMBOLS}]+", "")
-    first = _held(df.select(
+    first = held(df.select(
         F.struct("*").alias("row"), words.alias("words"), lines.alias("lines"),
         F.char_length(symbols).cast("long").alias("n_symbols"),
     ))
-    counted = _held(first.select(
+    counted = held(first.select(
         "row", F.size("words").alias("n"),
         F.char_length(F.array_join("words", "")).cast("long").alias("word_chars"), "n_symbols",
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.transform("words", lambda w: F.xxhash64(w)).alias("h"),
     ))
-    pairs = _held(counted.select("*", _joined("h", "h", 1).alias("h2")))
-    fours = _held(pairs.select("*", _joined("h2", "h2", 2).alias("h4")))
-    grams = _held(fours.select(
+    pairs = held(counted.select("*", _joined("h", "h", 1).alias("h2")))
+    fours = held(pairs.select("*", _joined("h2", "h2", 2).alias("h4")))
+    grams = held(fours.select(
         "row", "n", "word_chars", "n_symbols", "n_dup_lines",
         F.when(F.col("n") >= GRAM, F.slice(_joined("h4", "h", GRAM - 1), F.lit(1), F.col("n") - (GRAM - 1)))
         .otherwise(F.array().cast("array<bigint>")).alias("g"),
     ))
     repeated = F.size(F.array_distinct("g")) < F.size("g")
     placed = F.array_sort(F.transform("g", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    ordered = _held(grams.select(
+    ordered = held(grams.select(
         "row", "n", "word_chars", "n_symbols", "n_dup_lines",
         F.when(repeated, placed).alias("p"),
     ))
@@ -59,7 +59,7 @@ def with_base(df: DataFrame, text_col: str = "text") -> DataFrame:
         (z["this"]["h"] == z["next"]["h"])
         | ((z["this"]["h"] == z["prior"]["h"]) & (z["this"]["i"] != z["prior"]["i"]))
     ))
-    starts = _held(ordered.select(
+    starts = held(ordered.select(
         "row", "n", "word_chars", "n_symbols", "n_dup_lines",
         F.when(F.col("p").isNotNull(), F.array_sort(F.transform(same, lambda z: z["this"]["i"])))
         .alias("at"),
@@ -83,12 +83,6 @@ def _joined(left: str, right: str, by: int) -> Column:
     )
 
 
-def _held(df: DataFrame) -> DataFrame:
-    """The same rows behind a one-element ``inline``: array columns are computed once per row and
-    not again inside each lambda that a later projection would be merged with."""
-    return df.select(F.inline(F.array(F.struct("*"))))
-
-
 def base_failed() -> Column:
     few, much = F.col("n_words") < 10, 100 * F.col("n_repeat_words") > 20 * F.col("n_words")
     return few | much

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shopgrain.llm import bpe, lines, outliers, packing, quality, simhash, substrings, toxicity, urls
+from shopgrain.llm import bpe, imatch, lines, outliers, packing, quality, simhash, substrings, toxicity, urls
 from shopgrain.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,6 +67,11 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return imatch.compare_edited(docs).withColumnRenamed("id", "doc_id")
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = lines.drop_common_lines(table(spark, sf_dir, "documents"))
     return out.select(
@@ -115,6 +120,7 @@ QUERIES: dict[str, Query] = {
     "op3_toxicity": op3_toxicity,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_quality_rules": op5_quality_rules,
+    "op6_document_fingerprints": op6_document_fingerprints,
     "op7_line_dedup": op7_line_dedup,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_url_filters": op9_url_filters,
