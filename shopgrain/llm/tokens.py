@@ -132,4 +132,18 @@ class ByteDecoder:
 
 
 # One of each per Python worker: tasks that follow each other in a worker share what it remembers.
-word_encoder, byte_encoder, byte_decoder = cache(WordEncoder), cache(ByteEncoder), cache(ByteDecoder)
+
+
+@cache
+def word_encoder(path: str) -> WordEncoder:
+    return WordEncoder(path)
+
+
+@cache
+def byte_encoder(path: str, pattern: str) -> ByteEncoder:
+    return ByteEncoder(path, pattern)
+
+
+@cache
+def byte_decoder(path: str) -> ByteDecoder:
+    return ByteDecoder(path)
