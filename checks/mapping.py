@@ -150,7 +150,8 @@ FEEDS: dict[str, tuple[tuple[str, ...], str]] = {
         """SELECT CAST(CAST(ts AS DATE) AS VARCHAR(10)) AS run_id, ts AS timestamp,
           CASE WHEN event_type = 'purchase' AND value > 90 THEN 'PIPELINE' ELSE event_type END
             AS module,
-          CASE WHEN event_type = 'error' AND value > 60 THEN 'FAILED' ELSE 'SUCCESS' END AS status,
+          CASE WHEN event_type = 'error' AND value > 60
+            OR event_type = 'purchase' AND value > 93 THEN 'FAILED' ELSE 'SUCCESS' END AS status,
           CAST(event_id AS VARCHAR(20)) AS records_processed,
           CASE WHEN event_type = 'error' AND value > 60 THEN props END AS error,
           CAST(60 AS DOUBLE) AS execution_time_seconds

@@ -19,7 +19,7 @@ from shopgrain.schemas import feed_schema, table_schema
 from shopgrain.session import scratch_path, stored
 from shopgrain.sources import tables
 from shopgrain.sources.dimensions import category_translations
-from shopgrain.sources.files import read_file_stream
+from shopgrain.sources.files import CORRUPT, read_file_stream
 from shopgrain.streaming import feeds
 from shopgrain.streaming.sinks import run_to_end, start_append
 
@@ -205,6 +205,58 @@ def daily_sales_incremental(spark, sf):
     return upsert_all(stored, fresh, ["report_date"])
 
 
+def _late(spark, sf):
+    """Items without the newest batch, and the orders of the batch."""
+    items = _items(spark, sf)
+    new = F.col("shipping_limit_date") >= F.lit(BATCH).cast("timestamp")
+    return items.filter(~F.coalesce(new, F.lit(False))), items.filter(new)
+
+
+@_query
+def daily_sales_late_items(spark, sf):
+    """Items of the newest batch belong to orders of any day; those whole days are recomputed."""
+    orders, items, payments = _orders(spark, sf), _items(spark, sf), _payments(spark, sf)
+    old, new = _late(spark, sf)
+    stored = sales.daily_sales(orders, old, payments, as_of=AS_OF)
+    fresh = sales.daily_sales(
+        orders, items, payments, touched=new.select("order_id"), as_of=AS_OF
+    )
+    return upsert_all(stored, fresh, ["report_date"])
+
+
+@_query
+def order_items_incremental(spark, sf):
+    """The newest items, and all rows whose order or seller average they change."""
+    items = feed(spark, sf, "src_items")
+    new = F.coalesce(F.col("shipping_limit_date") >= F.lit(BATCH).cast("timestamp"), F.lit(False))
+    stored = cleaned.order_items_silver(items.filter(~new), as_of=AS_OF)
+    fresh = cleaned.order_items_silver(items, touched=items.filter(new), as_of=AS_OF)
+    return upsert_all(stored, fresh, ["order_id", "order_item_id"])
+
+
+@_query
+def customer_rfm_incremental(spark, sf):
+    orders, items = _orders(spark, sf), _items(spark, sf)
+    old, new = _late(spark, sf)
+    stored = sales.customer_segmentation(orders, old, as_of=AS_OF, cuts=RFM_CUTS)
+    fresh = sales.customer_segmentation(
+        orders, items, touched=new.select("order_id"), as_of=AS_OF, cuts=RFM_CUTS
+    )
+    return upsert_all(stored, fresh, ["customer_id"])
+
+
+@_query
+def order_lifecycle_incremental(spark, sf):
+    sides = _orders(spark, sf), _payments(spark, sf), _customers(spark, sf)
+    old, new = _late(spark, sf)
+    stored = partners.order_lifecycle(*sides, old, as_of=AS_OF)
+    fresh = partners.order_lifecycle(
+        *sides, _items(spark, sf), touched=new.select("order_id"), as_of=AS_OF
+    )
+    paid = ["payment_type_standardized", "payment_installments", "payment_value"]
+    return upsert_all(stored, fresh, ["order_id", *paid])
+
+
 @_query
 def customer_rfm(spark, sf):
     return sales.customer_segmentation(
@@ -470,9 +522,8 @@ def stream_dedup_customers(spark, sf):
     )
     path = _land(spark, sf, "customers", "json", rows.select(*schema.fieldNames()))
     raw = read_file_stream(spark, path, "json", schema)
-    return _streamed(spark, feeds.ingest_customers(raw), "customers_bronze").drop(
-        "_ingestion_timestamp"
-    )
+    stored_rows = _streamed(spark, feeds.ingest_customers(raw), "customers_bronze")
+    return feeds.distinct_versions(stored_rows).drop("_ingestion_timestamp", CORRUPT)
 
 
 @_query

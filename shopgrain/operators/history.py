@@ -92,13 +92,18 @@ def scd2_current(
 
 
 def assign_surrogate(
-    dim: DataFrame, sk: str, order: Sequence[str], **splitting: int | float
+    dim: DataFrame,
+    sk: str,
+    order: Sequence[str],
+    above: Column | None = None,
+    **splitting: int | float,
 ) -> DataFrame:
-    """Number the rows whose surrogate key is NULL from the largest key on, in ``order``.
+    """Number the rows whose surrogate key is NULL from the largest key on, in ``order``; ``above``
+    is the largest one where ``dim`` is a part of the dimension.
 
     Reads ``dim`` several times: give it a stored or checkpointed table.
     """
-    top = dim.agg(F.coalesce(F.max(sk), F.lit(0)).cast("bigint")).scalar()
+    top = dim.agg(F.coalesce(F.max(sk), F.lit(0)).cast("bigint")).scalar() if above is None else above
     numbered = ordered(
         dim.filter(F.col(sk).isNull()),
         None,
@@ -107,5 +112,5 @@ def assign_surrogate(
         **splitting,
     )
     return dim.filter(F.col(sk).isNotNull()).unionByName(
-        numbered.withColumn(sk, F.col("_n") + top).drop("_n")
+        numbered.withColumn(sk, (F.col("_n") + top).cast(dim.schema[sk].dataType)).drop("_n")
     )

@@ -36,7 +36,12 @@ def incremental(
 
 
 def touched_rows(history: DataFrame, batch: DataFrame, key: str | Sequence[str]) -> DataFrame:
-    """Full history of every key that occurs in ``batch``. The distinct keys are stored first: few
-    are broadcast by their real size, many are joined so that a hot key can be split."""
+    """Full history of every key that occurs in ``batch``, NULL keys too. The distinct keys are stored
+    first: few are broadcast by their real size, many are joined so that a hot key can be split."""
     keys = [key] if isinstance(key, str) else list(key)
-    return history.join(stored(batch.select(*keys).distinct(), "touched"), keys, "left_semi")
+    named = [F.col(k).alias(f"_touched_{i}") for i, k in enumerate(keys)]
+    touched = stored(batch.select(*named).distinct(), "touched")
+    on = F.lit(True)
+    for i, k in enumerate(keys):
+        on = on & F.col(k).eqNullSafe(F.col(f"_touched_{i}"))
+    return history.join(touched, on, "left_semi")

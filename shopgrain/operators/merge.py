@@ -1,6 +1,6 @@
 """Merges as pure operators: old state and changes in, new state out.
 
-Keys are unique on both sides (reduce a feed with ``latest_per_key`` first). Each merge reads each
+Keys, in which NULL is a value like others, are unique on both sides (reduce a feed with ``latest_per_key`` first). Each merge reads each
 side once and shuffles it once on the key.
 """
 
@@ -51,7 +51,7 @@ def upsert(
     new = source.select(*[F.col(c).alias(f"_s_{c}") for c in source.columns], F.lit(1).alias("_s"))
     on = None
     for k in keys:
-        step = F.col(f"_t_{k}") == F.col(f"_s_{k}")
+        step = F.col(f"_t_{k}").eqNullSafe(F.col(f"_s_{k}"))
         on = step if on is None else on & step
     changed = F.col("_t").isNotNull() & F.col("_s").isNotNull()
     if when is not None:

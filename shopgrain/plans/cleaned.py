@@ -144,13 +144,17 @@ def order_items_silver(
 ) -> DataFrame:
     """Items with their place in the order (by price) and their seller's average price.
 
-    ``touched`` (a batch of items) limits the result to the orders in the batch; seller averages
-    still come from the whole history. ``splitting`` is passed to ``ordered``.
+    ``touched`` (a batch of items) limits the result to the rows the batch changes: its orders, and
+    the orders of its sellers, whose average moves in all of them. ``splitting`` is passed to ``ordered``.
     """
     sellers = bronze.groupBy("seller_id").agg(
         money_mean(exact_sum("price"), F.count("price")).alias("avg_seller_price")
     )
-    items = bronze if touched is None else touched_rows(bronze, touched, "order_id")
+    items = bronze
+    if touched is not None:
+        of_sellers = touched_rows(bronze, touched, "seller_id").select("order_id")
+        changed = of_sellers.union(touched.select("order_id"))
+        items = stored(touched_rows(bronze, changed, "order_id"), "touched_items")
     items = ordered(
         with_freight_ratio(items),
         "order_id",

@@ -19,7 +19,8 @@ def audit_events(spark: SparkSession, rows: Iterable[dict | tuple | Row]) -> Dat
 
 
 def run_report(audit: DataFrame, run_id: str | None = None) -> DataFrame:
-    """Start, end, module counts and outcome of one run, or of every run."""
+    """Start, end, module counts and outcome of one run, or of every run. The run's own event is no
+    module, but a run that reports its failure there is not a success."""
     events = audit if run_id is None else audit.filter(F.col("run_id") == run_id)
     module = F.coalesce(F.col("module") != PIPELINE, F.lit(True))
     # An event's time and its seconds since the start give the start of the run.
@@ -33,6 +34,7 @@ def run_report(audit: DataFrame, run_id: str | None = None) -> DataFrame:
             F.max("timestamp").alias("end_time"),
             F.count_if(module & (F.col("status") == SUCCESS)).alias("ok"),
             F.count_if(module & (F.col("status") == FAILED)).alias("bad"),
+            F.count_if(F.col("status") == FAILED).alias("failures"),
         )
         .select(
             F.col("run_id").alias("pipeline_run_id"),
@@ -43,6 +45,6 @@ def run_report(audit: DataFrame, run_id: str | None = None) -> DataFrame:
             ).alias("duration_seconds"),
             F.col("ok").cast("int").alias("successful_modules"),
             F.col("bad").cast("int").alias("failed_modules"),
-            F.when(F.col("bad") == 0, SUCCESS).otherwise(PARTIAL_FAILURE).alias("status"),
+            F.when(F.col("failures") == 0, SUCCESS).otherwise(PARTIAL_FAILURE).alias("status"),
         )
     )

@@ -223,15 +223,22 @@ def order_lifecycle(
     customers: DataFrame,
     items: DataFrame,
     *,
+    touched: DataFrame | None = None,
     as_of: AsOf = None,
     cuts: LifecycleCuts = LifecycleCuts(),
 ) -> DataFrame:
-    """Stage durations, SLA, bottleneck and complexity per order and distinct payment.
+    """Stage durations, SLA, bottleneck and complexity per order and distinct payment, of all orders
+    or of ``touched`` ones (order ids of changed orders, late items and late payments).
 
     Payments of an order that agree in type, installments and value share one row whose
     ``order_value`` counts the items once per such payment. Items and payments are reduced to
     their own grain first, so the item x payment rows are never built.
     """
+    if touched is not None:
+        orders, payments, items = (
+            touched_rows(side, touched, "order_id").hint("rebalance")
+            for side in (orders, payments, items)
+        )
     basket = (
         items.groupBy("order_id", "product_id")
         .agg(exact_sum("price").alias("price"))
@@ -268,7 +275,7 @@ def order_lifecycle(
             *paid,
             "customer_state",
             "customer_city",
-            money(F.col("price") * F.col("payments").cast("decimal(9,0)")).alias("order_value"),
+            money((F.col("price").cast("decimal(38,0)") * F.col("payments").cast("decimal(19,0)")).cast("decimal(38,0)")).alias("order_value"),
             "items_count",
         )
     )

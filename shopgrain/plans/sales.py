@@ -12,6 +12,7 @@ from shopgrain.functions import (
 )
 from shopgrain.operators.incremental import incremental, touched_rows
 from shopgrain.plans.cleaned import OTHER_TYPE, STANDARD_TYPES
+from shopgrain.session import stored
 
 AsOf = datetime | date | str | None
 _TYPES = (*STANDARD_TYPES.values(), OTHER_TYPE)
@@ -25,6 +26,7 @@ def daily_sales(
     grain: str = "joined",
     since: Column | str | None = None,
     lookback_days: int | None = 0,
+    touched: DataFrame | None = None,
     as_of: AsOf = None,
 ) -> DataFrame:
     """Sales per purchase date over orders that have both items and payments.
@@ -33,12 +35,20 @@ def daily_sales(
     ``grain="order"`` counts each item and each payment once. Neither builds the item x payment
     rows: both sides are summed per order first, and the joined grain multiplies the sums by the
     other side's row count. ``since`` is the last report date already stored; it is recomputed
-    together with ``lookback_days`` days before it (None: strictly later days only).
+    together with ``lookback_days`` days before it (None: strictly later days only). ``touched`` (the
+    order ids of changed orders, late items and late payments) gives the whole days these orders are
+    in, however long ago.
     """
     if grain not in ("joined", "order"):
         raise ValueError(f"unknown grain: {grain}")
+    if touched is not None:
+        day = F.to_date("order_purchase_timestamp").alias("_day")
+        days = touched_rows(orders, touched, "order_id").select(day)
+        orders = touched_rows(orders.select("*", day), days, "_day").drop("_day")
+        orders = stored(orders, "touched_orders")
     if since is not None:
         orders = _after(orders, since, lookback_days)
+    if since is not None or touched is not None:
         # A short list of new orders is broadcast and the history is only scanned, not shuffled.
         # Rebalancing the few rows kept frees the sums from the join's partitions, so that a long
         # list (a shuffled join) still lets adaptive execution split a hot order.
@@ -56,10 +66,10 @@ def daily_sales(
         F.bit_or(_type_bit("payment_type_standardized")).alias("types"),
     )
     joined = grain == "joined"
-    times_payments = F.col("n_payments") if joined else F.lit(1)
-    times_items = F.col("n_items") if joined else F.lit(1)
+    times_payments = _wide(F.col("n_payments") if joined else F.lit(1))
+    times_items = _wide(F.col("n_items") if joined else F.lit(1))
     rows = times_payments * times_items
-    prices = F.col("n_prices") * times_payments if joined else F.lit(1)
+    prices = _wide(F.col("n_prices")) * times_payments if joined else F.lit(1)
     per_customer = (
         orders.select(
             "order_id",
@@ -99,7 +109,7 @@ def daily_sales(
         "unique_customers",
         money("revenue").alias("total_revenue"),
         money_mean("revenue", "prices").alias("avg_order_value"),
-        F.col("delayed").alias("delayed_orders"),
+        F.col("delayed").cast("bigint").alias("delayed_orders"),
         percent("delayed", "rows").alias("delay_rate"),
         money("paid").alias("total_payments"),
         F.bit_count(F.coalesce(F.col("types"), F.lit(0))).cast("bigint").alias(
@@ -126,7 +136,12 @@ def _after(orders: DataFrame, since: Column | str, lookback_days: int | None) ->
 
 
 def _weighted(value: str, weight: Column) -> Column:
-    return F.sum(F.col(value) * weight.cast("decimal(9,0)"))
+    return F.sum((F.col(value).cast("decimal(38,0)") * weight).cast("decimal(38,0)"))
+
+
+def _wide(count: Column) -> Column:
+    """A number of rows that may be multiplied by another one: one order may hold any share."""
+    return count.cast("decimal(19,0)")
 
 
 def _type_bit(col: str) -> Column:
@@ -154,9 +169,19 @@ class RfmCuts:
 
 
 def customer_segmentation(
-    orders: DataFrame, items: DataFrame, *, as_of: AsOf = None, cuts: RfmCuts = RfmCuts()
+    orders: DataFrame,
+    items: DataFrame,
+    *,
+    touched: DataFrame | None = None,
+    as_of: AsOf = None,
+    cuts: RfmCuts = RfmCuts(),
 ) -> DataFrame:
-    """Recency, frequency and money scores (5 best) and the segment of every buying customer."""
+    """Recency, frequency and money scores (5 best) and the segment of every buying customer, or of
+    the customers of the ``touched`` orders (order ids of changed orders and late items)."""
+    if touched is not None:
+        buyers = touched_rows(orders, touched, "order_id").select("customer_id")
+        orders = stored(touched_rows(orders, buyers, "customer_id"), "touched_orders")
+        items = touched_rows(items, orders, "order_id").hint("rebalance")
     per_order = items.groupBy("order_id").agg(
         F.count("price").alias("n_prices"), exact_sum("price").alias("spent")
     )

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,7 +21,6 @@ ENGINE_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
-_local_root: str | None = None
 _written: list[str] = []
 
 
@@ -41,17 +41,10 @@ def build_session(app: str = "shopgrain", master: str | None = None, **conf: str
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Where it is unset, a local run gets a temporary folder; on a cluster that is an error, as
-    executors on other machines would not see it.
+    Where it is unset, a folder below the warehouse, which executors share as well.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    global _local_root
-    _local_root = _local_root or tempfile.mkdtemp(prefix="shopgrain-")
-    return _local_root
+    return root or os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "_scratch")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -72,6 +65,18 @@ def release_scratch(spark: SparkSession) -> int:
     return removed
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """On leaving, delete what was stored inside, and nothing stored before."""
+    global _written
+    before, _written = _written, []
+    try:
+        yield
+    finally:
+        release_scratch(spark)
+        _written = before
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once below the shared folder and read back.
 

@@ -24,14 +24,17 @@ def read_file_stream(
     *,
     max_files: int | None = None,
     glob: str | None = None,
-    keep_corrupt: bool = False,
+    keep_corrupt: bool | None = None,
     **options: str,
 ) -> DataFrame:
     """Stream of the files that land below ``path``.
 
-    ``max_files`` bounds a micro-batch; ``keep_corrupt`` (json, csv) keeps unreadable lines in
-    ``_corrupt_record`` for the quarantine. Avro needs the spark-avro package on the cluster.
+    ``max_files`` bounds a micro-batch; ``keep_corrupt`` (the default for json and csv) keeps lines
+    that do not fit the schema in ``_corrupt_record`` for the quarantine. Avro needs the spark-avro
+    package on the cluster.
     """
+    if keep_corrupt is None:
+        keep_corrupt = fmt in ("csv", "json")
     reader = spark.readStream.format(_checked(spark, fmt)).options(
         **{**_FORMAT_OPTIONS[fmt], **options}
     )
@@ -45,12 +48,10 @@ def read_file_stream(
     return reader.schema(schema).load(path)
 
 
-def infer_schema(spark: SparkSession, path: str, fmt: str = "csv", ratio: float = 0.1) -> StructType:
-    """Schema from a sample of the files already landed; a stream then reads with it, so types do
-    not drift between micro-batches. Sampling touches types only, never which rows are read."""
+def infer_schema(spark: SparkSession, path: str, fmt: str = "csv") -> StructType:
+    """Schema that fits every line already landed; a stream then reads with it, so types do not drift
+    between micro-batches. All lines are read: a value outside a sample would become NULL."""
     reader = spark.read.format(_checked(spark, fmt)).options(**_FORMAT_OPTIONS[fmt])
-    if fmt in ("csv", "json"):
-        reader = reader.option("samplingRatio", ratio)
     if fmt == "csv":
         reader = reader.option("inferSchema", "true")
     return reader.load(path).schema
@@ -65,14 +66,16 @@ def evolve(schema: StructType, landed: StructType) -> StructType:
 def with_ingest_meta(df: DataFrame, *, source_file: bool = False, row_id: bool = False) -> DataFrame:
     """Add ``_ingestion_timestamp`` and, for file sources, ``_source_file`` and ``_batch_id``.
 
-    ``_batch_id`` numbers a row by its parquet file and its place there. Unlike a running number
-    it is legal on a stream and the same when a micro-batch is retried.
+    ``_batch_id`` names a row by its parquet file and its place there, in full, so no two rows share
+    one. Unlike a running number it is legal on a stream and the same when a micro-batch is retried.
     """
     added = {"_ingestion_timestamp": F.current_timestamp()}
     if source_file:
         added["_source_file"] = F.col("_metadata.file_path")
     if row_id:
-        added["_batch_id"] = F.xxhash64("_metadata.file_path", "_metadata.row_index")
+        added["_batch_id"] = F.concat_ws(
+            "#", "_metadata.file_path", F.col("_metadata.row_index").cast("string")
+        )
     return df.select("*", *[c.alias(n) for n, c in added.items()])
 
 

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator, Sequence
-from contextlib import contextmanager
+from collections.abc import Callable, Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
+from shopgrain.operators.history import assign_surrogate
+from shopgrain.operators.incremental import touched_rows
 from shopgrain.operators.merge import upsert
 from shopgrain.schemas import TABLES, table_schema
 from shopgrain.session import stored
 
+FEW = 1000  # partition names that are listed in a filter
+
 
 def ensure_namespaces(spark: SparkSession, names: Iterable[str], use: str | None = None) -> None:
     for name in names:
@@ -32,24 +36,36 @@ def existing(spark: SparkSession, name: str) -> DataFrame | None:
     return spark.table(name) if spark.catalog.tableExists(name) else None
 
 
-def conform(df: DataFrame, contract: str) -> DataFrame:
-    """Columns of a contract in its order and types; columns ``df`` lacks are NULL."""
+def conform(df: DataFrame, contract: str, fill: Sequence[str] | None = None) -> DataFrame:
+    """Columns of a contract in its order and types; columns ``df`` lacks are NULL. A column the
+    contract does not know is an error, and so is a lacking one outside ``fill`` where that is given."""
+    fields = table_schema(contract).fields
+    names = [f.name for f in fields]
+    unknown = [c for c in df.columns if c not in names]
+    lacking = [n for n in names if n not in df.columns and fill is not None and n not in fill]
+    if unknown or lacking:
+        raise ValueError(f"{contract}: unknown columns {unknown}, lacking columns {lacking}")
     return df.select(
         *[
             (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in table_schema(contract).fields
+            for f in fields
         ]
     )
 
 
-def append(df: DataFrame, name: str, *, partition_by: Sequence[str] = ()) -> None:
-    """Append by column name; a new table is created with ``partition_by``."""
+def append(df: DataFrame, name: str, *, partition_by: Sequence[str] = ()) -> int:
+    """Append by column name and return the number of rows written. A new table is created with
+    ``partition_by``; columns the table does not have yet are added to it, NULL in older rows."""
     spark = df.sparkSession
-    if spark.catalog.tableExists(name):
-        columns = spark.table(name).columns
-        _sized(df.select(*columns), _partitions(spark, name)).write.insertInto(name)
-    else:
-        _writer(df, partition_by).saveAsTable(name)
+    if not spark.catalog.tableExists(name):
+        return _counted(df, lambda d: _writer(d, partition_by).saveAsTable(name))
+    known = set(spark.table(name).columns)
+    new = [f for f in df.schema.fields if f.name not in known]
+    if new:
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({columns})")
+    rows = df.select(*spark.table(name).columns)
+    return _counted(rows, lambda d: _sized(d, _partitions(spark, name)).write.insertInto(name))
 
 
 def append_evolving(df: DataFrame, path: str, *, partition_by: Sequence[str] = ()) -> None:
@@ -62,28 +78,22 @@ def read_evolving(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", "true").parquet(path)
 
 
-def refresh(
-    df: DataFrame, name: str, *, partition_by: Sequence[str] = (), reads_itself: bool = True
-) -> None:
-    """Replace a table's rows, and its columns where they differ.
+def refresh(df: DataFrame, name: str, *, partition_by: Sequence[str] = ()) -> int:
+    """Replace a table's rows, and its columns where they differ; returns the number of rows.
 
-    A new state computed from the old one (``reads_itself``) is stored in the shared folder first;
-    if the overwrite is interrupted, the new state is still there.
+    The new state, which may be computed from the old one, is stored in the shared folder first; if
+    the overwrite is interrupted, it is still there.
     """
     spark = df.sparkSession
     if not spark.catalog.tableExists(name):
-        _writer(df, partition_by).saveAsTable(name)
-        return
-    if reads_itself:
-        df = stored(df, "refresh")
+        return _counted(df, lambda d: _writer(d, partition_by).saveAsTable(name))
+    df = stored(df, "refresh")
     table = spark.table(name)
-    if {(f.name, f.dataType) for f in table.schema} == {(f.name, f.dataType) for f in df.schema}:
-        with _overwriting(spark, "static"):
-            _sized(df.select(*table.columns), _partitions(spark, name)).write.insertInto(
-                name, overwrite=True
-            )
-    else:
-        _writer(df, partition_by).mode("overwrite").saveAsTable(name)
+    if {(f.name, f.dataType) for f in table.schema} != {(f.name, f.dataType) for f in df.schema}:
+        return _counted(df, lambda d: _writer(d, partition_by).mode("overwrite").saveAsTable(name))
+    own = _session(spark, "static")
+    new = _reread(df, own).select(*table.columns)
+    return _overwrite(new, name, _partitions(spark, name), spark)
 
 
 def merge_partitions(
@@ -92,46 +102,116 @@ def merge_partitions(
     keys: Sequence[str],
     partition: str,
     merge: Callable[[DataFrame, DataFrame, Sequence[str]], DataFrame] = upsert,
-) -> None:
-    """Merge ``source`` into a partitioned table, rewriting only the partitions it touches.
-
-    For a ``partition`` that is fixed by the key (an order's purchase month): a matching row can
-    then only be in a partition that occurs in ``source``. The names of those partitions (a few
-    values, one per partition) become a filter that prunes the scan, and the dynamic overwrite
-    leaves the other partitions' files alone. ``source`` is stored first, as it is read twice.
+    *,
+    fixed: bool = False,
+) -> int:
+    """Merge ``source`` into a partitioned table, rewriting only the partitions it touches; returns
+    the number of rows written.
+
+    Those are the partitions of its rows, and those in which its keys are stored now, which a scan of
+    the key columns finds; with ``fixed`` (the key decides the partition) the scan is left out. Up to
+    ``FEW`` names become a filter that prunes the scan, more of them a join. The dynamic overwrite
+    leaves the other partitions' files alone. ``source`` is stored first, as it is read again.
     """
     spark = source.sparkSession
-    source = stored(source, "merge_source")
-    target = spark.table(name)
-    names = [row[0] for row in source.select(partition).distinct().collect()]
-    listed = F.col(partition).isin([n for n in names if n is not None])
-    touched = target.filter(listed | F.col(partition).isNull() if None in names else listed)
-    merged = merge(touched, source, keys).select(*target.columns)
-    with _overwriting(spark, "dynamic"):
-        _sized(merged, [partition]).write.insertInto(name, overwrite=True)
+    own = _session(spark, "dynamic")
+    source = _reread(stored(source, "merge_source"), own)
+    target = own.table(name)
+    touched = source.select(partition)
+    if not fixed:
+        touched = touched.union(touched_rows(target, source, keys).select(partition))
+    touched = stored(touched.distinct(), "partitions")
+    few = [row[0] for row in touched.limit(FEW + 1).collect()]
+    if len(few) <= FEW:
+        listed = F.col(partition).isin([n for n in few if n is not None])
+        old = target.filter(listed | F.col(partition).isNull() if None in few else listed)
+    else:
+        old = touched_rows(target, touched, partition)
+    merged = merge(old, source, keys).select(*target.columns)
+    emptied = touched.withColumnRenamed(partition, "_name")
+    merged = stored(merged, "merged")
+    _clear(own, name, partition, emptied, merged)
+    return _overwrite(merged, name, [partition], spark)
 
 
-def write_scd2(current: DataFrame, name: str) -> None:
+def _clear(
+    spark: SparkSession, name: str, partition: str, touched: DataFrame, merged: DataFrame
+) -> None:
+    """Drop touched partitions to which no row belongs any more: a dynamic overwrite replaces only
+    partitions it has rows for."""
+    left = merged.select(F.col(partition).alias("_left")).distinct()
+    empty = touched.join(left, F.col("_name").eqNullSafe(F.col("_left")), "left_anti")
+    for row in empty.toLocalIterator():
+        value = "NULL" if row[0] is None else "'" + str(row[0]).replace("'", "\\'") + "'"
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({partition} = {value})")
+
+
+def write_scd2(
+    current: DataFrame,
+    name: str,
+    *,
+    version: Sequence[str] = ("customer_id", "version"),
+    surrogate: str | None = None,
+) -> int:
     """Store the result of ``scd2_current`` in a table partitioned by ``is_current``: versions
     closed by this batch are appended to the closed ones and the current ones are replaced, so the
-    closed history is never rewritten."""
+    closed history is never rewritten. Returns the number of rows written.
+
+    A run that stopped between the two steps can be repeated: a closed version (``version`` names
+    it) that the table has already is not appended again. ``surrogate`` numbers the rows in which
+    that column is NULL, from the table's largest number on.
+    """
     spark = current.sparkSession
-    current = stored(current.select(*spark.table(name).columns), "scd2")
-    append(current.filter(~F.col("is_current")), name)
-    with _overwriting(spark, "dynamic"):
-        current.filter("is_current").write.insertInto(name, overwrite=True)
-
-
-@contextmanager
-def _overwriting(spark: SparkSession, mode: str) -> Iterator[None]:
-    """An insert into a table takes the overwrite mode from the session, not from its options."""
-    key = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(key)
-    spark.conf.set(key, mode)
+    table = spark.table(name)
+    current = stored(current.select(*table.columns), "scd2")
+    if surrogate:
+        above = table.agg(F.coalesce(F.max(surrogate), F.lit(0))).scalar()
+        current = stored(assign_surrogate(current, surrogate, version, above=above), "numbered")
+    closed = current.filter(~F.col("is_current")).select(*table.columns)
+    had = table.filter(~F.col("is_current")).select(*[F.col(c).alias(f"_had_{c}") for c in version])
+    same = F.lit(True)
+    for c in version:
+        same = same & F.col(c).eqNullSafe(F.col(f"_had_{c}"))
+    written = append(stored(closed.join(had, same, "left_anti"), "closed"), name)
+    own = _session(spark, "dynamic")
+    kept = _reread(current, own).filter("is_current").select(*table.columns)
+    return written + _overwrite(kept, name, ["is_current"], spark)
+
+
+def _session(spark: SparkSession, mode: str) -> SparkSession:
+    """A session with its own overwrite mode. An insert into a table takes the mode from its session,
+    and another thread's insert would flip the mode of a shared one."""
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if own.conf.isModifiable(key):
+            own.conf.set(key, value)
+    own.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+    own.catalog.setCurrentDatabase(spark.catalog.currentDatabase())
+    return own
+
+
+def _reread(df: DataFrame, spark: SparkSession) -> DataFrame:
+    """A stored result, read in another session."""
+    folders = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
+    if not folders:
+        return spark.createDataFrame([], df.schema)
+    return spark.read.schema(df.schema).parquet(*folders)
+
+
+def _overwrite(df: DataFrame, name: str, partitions: Sequence[str], caller: SparkSession) -> int:
+    written = _counted(df, lambda d: _sized(d, partitions).write.insertInto(name, overwrite=True))
+    caller.catalog.refreshTable(name)  # it has listed the files before
+    return written
+
+
+def _counted(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
+    """Rows that ``write`` writes, counted on the way."""
+    seen = Observation()
+    write(df.observe(seen, F.count(F.lit(1)).alias("rows")))
     try:
-        yield
-    finally:
-        spark.conf.set(key, before)
+        return seen.get["rows"]
+    except Py4JJavaError:  # without any row the plan may have lost the counter, which then has no value
+        return 0
 
 
 def _partitions(spark: SparkSession, name: str) -> list[str]:

@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, functions as F
 from shopgrain.operators.quality import required, split_valid
 from shopgrain.sources.files import CORRUPT, with_ingest_meta
 
+VERSION = ["customer_id", "_last_updated"]
+
 
 def ingest_orders(raw: DataFrame, *, watermark: str = "24 hours") -> DataFrame:
     """Orders with ingestion time and source file; late by at most ``watermark`` downstream."""
@@ -16,17 +18,28 @@ def ingest_orders(raw: DataFrame, *, watermark: str = "24 hours") -> DataFrame:
 
 
 def ingest_customers(
-    raw: DataFrame, *, watermark: str = "48 hours", one_per_customer: bool = False
+    raw: DataFrame, *, watermark: str | None = None, one_per_customer: bool = False
 ) -> DataFrame:
-    """Customer versions without re-sent copies.
+    """Customer versions. A batch keeps each version (customer, last update) once.
 
-    By default each version (customer, last update) is kept once, so the latest can be taken later
-    with ``latest_per_key``. ``one_per_customer`` keeps the first row of a customer within the
-    watermark, which is all a stream can decide without revising what it wrote.
+    A stream appends every row without state by default, however late it is; ``distinct_versions``
+    over what it wrote drops re-sent copies, and ``latest_per_key`` takes the latest. With a
+    ``watermark`` the stream drops copies itself, and loses rows that come later than that; with
+    ``one_per_customer`` (48 hours unless given) it keeps the first row of a customer only.
     """
-    keys = ["customer_id"] if one_per_customer else ["customer_id", "_last_updated"]
-    rows = _watermarked(with_ingest_meta(raw), "_last_updated", watermark)
-    return rows.dropDuplicatesWithinWatermark(keys) if raw.isStreaming else rows.dropDuplicates(keys)
+    keys = ["customer_id"] if one_per_customer else VERSION
+    rows = with_ingest_meta(raw)
+    if not raw.isStreaming:
+        return rows.dropDuplicates(keys)
+    if watermark is None and not one_per_customer:
+        return rows
+    late = watermark or "48 hours"
+    return rows.withWatermark("_last_updated", late).dropDuplicatesWithinWatermark(keys)
+
+
+def distinct_versions(customers: DataFrame) -> DataFrame:
+    """Each stored customer version once."""
+    return customers.dropDuplicates(VERSION)
 
 
 def latest_customers(customers: DataFrame) -> DataFrame:

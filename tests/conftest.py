@@ -16,6 +16,7 @@ def spark(tmp_path_factory):
         spark__sql__shuffle__partitions="4",
         spark__ui__enabled="false",
         spark__driver__memory="4g",
+        spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
         spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
     )
     session.sparkContext.setLogLevel("ERROR")

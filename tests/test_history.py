@@ -87,3 +87,9 @@ def test_ties_are_decided_the_same_way_every_time(spark):
         for n in (1, 2, 5, 8)
     }
     assert len(seen) == 1
+
+
+def test_hash_tells_separators_and_null_marks_from_text(spark):
+    df = spark.sql("""SELECT * FROM VALUES ('a||b', 'c'), ('a', 'b||c'), (NULL, 'x'), ('<null>', 'x'),
+                      ('-1:', 'x'), ('', '1:x'), ('1', ':x') AS t(x, y)""")
+    assert df.select(row_hash(["x", "y"])).distinct().count() == 7

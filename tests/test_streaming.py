@@ -99,6 +99,8 @@ def customers(spark, tmp_path):
 
 def test_customer_versions(customers, tmp_path):
     got = drain(feeds.ingest_customers(customers()), tmp_path)
+    assert got.count() == 4
+    got = feeds.distinct_versions(got)
     assert rows(got, "customer_id", "customer_city") == [(1, "a"), (1, "b"), (2, "c")]
     latest = latest_per_key(got, "customer_id", "_last_updated")
     assert rows(latest, "customer_id", "customer_city") == [(1, "b"), (2, "c")]
@@ -114,10 +116,26 @@ def test_one_row_per_customer(customers, tmp_path):
 
 
 def test_copies_in_a_later_batch_are_dropped(customers, spark, tmp_path):
-    drain(feeds.ingest_customers(customers()), tmp_path)
+    seen = lambda: feeds.ingest_customers(customers(), watermark="48 hours")
+    drain(seen(), tmp_path)
     (tmp_path / "in" / "2.json").write_text("\n".join(json.dumps(c) for c in CUSTOMERS[:2]))
+    assert drain(seen(), tmp_path).count() == 3
+
+
+def test_a_version_that_comes_a_month_late_is_kept(customers, tmp_path):
+    drain(feeds.ingest_customers(customers()), tmp_path)
+    late = {"customer_id": 3, "customer_city": "d", "_last_updated": "2019-11-20T00:00:00Z"}
+    (tmp_path / "in" / "2.json").write_text(json.dumps(late))
     got = drain(feeds.ingest_customers(customers()), tmp_path)
-    assert got.count() == 3
+    assert rows(feeds.distinct_versions(got), "customer_id") == [(1,), (1,), (2,), (3,)]
+
+
+def test_one_odd_value_among_many_lines_keeps_its_type(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    ids = [f"X{i}" if i in (507, 1203) else str(i) for i in range(2000)]
+    (tmp_path / "in" / "p.csv").write_text("product_id\n" + "\n".join(ids) + "\n")
+    landed = infer_schema(spark, str(tmp_path / "in"))
+    assert landed.simpleString() == "struct<product_id:string>"
 
 
 def test_latest_customers_revises_itself(spark, customers, tmp_path):
@@ -166,7 +184,7 @@ def test_products_are_split_and_unreadable_lines_kept(spark, tmp_path):
 def test_csv_types_are_inferred_once_and_columns_added(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "p.csv").write_text("product_id,note\n1,a\n2,b\n")
-    landed = infer_schema(spark, str(tmp_path / "in"), ratio=1.0)
+    landed = infer_schema(spark, str(tmp_path / "in"))
     assert landed.simpleString() == "struct<product_id:int,note:string>"
     grown = evolve(feed_schema("products"), landed)
     assert grown.fieldNames() == [*feed_schema("products").fieldNames(), "note"]

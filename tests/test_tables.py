@@ -90,7 +90,7 @@ def test_refresh_of_a_partitioned_table(spark, name):
         tables.refresh(spark.table(name).unionByName(new), name, partition_by=["month"])
     assert rows(spark.table(name), "k", "month") == [(1, "m1"), (2, "m0"), (3, "m1")]
     assert rows(spark.table(name).filter("month = 'm0'"), "k") == [(2,)]
-    tables.refresh(months(spark, [(9, "a", "m9")]), name, reads_itself=False)
+    tables.refresh(months(spark, [(9, "a", "m9")]), name)
     assert rows(spark.table(name), "k", "month") == [(9, "m9")]
 
 
@@ -178,3 +178,85 @@ def test_filters_reach_the_scan(spark, tmp_path):
     text = plan(df)
     assert "GreaterThan(_ingestion_timestamp" in text and "unused" not in text
     assert df.count() == 4
+
+
+def test_append_adds_new_columns(spark, name):
+    tables.append(spark.sql("SELECT 1 AS k"), name)
+    assert tables.append(spark.sql("SELECT 2 AS k, 'x' AS extra"), name) == 1
+    assert rows(spark.table(name), "k", "extra") == [(1, None), (2, "x")]
+
+
+def test_conform_names_what_it_does_not_know(spark):
+    with pytest.raises(ValueError, match="misspelt"):
+        tables.conform(spark.sql("SELECT 1 AS misspelt"), "orders_silver")
+    with pytest.raises(ValueError, match="order_id"):
+        tables.conform(spark.sql("SELECT 1 AS customer_id"), "orders_silver", fill=[])
+
+
+def test_a_key_that_moves_to_another_partition_is_one_row(spark, name):
+    tables.append(months(spark, [(1, "a", "m1"), (2, "b", "m2")]), name, partition_by=["month"])
+    tables.merge_partitions(
+        months(spark, [(1, "A", "m3")]), name, ["k"], "month",
+        lambda t, s, keys: upsert_all(t, s, keys),
+    )
+    assert rows(spark.table(name), "k", "v", "month") == [(1, "A", "m3"), (2, "b", "m2")]
+
+
+def test_two_tables_written_from_two_threads(spark, name):
+    from concurrent.futures import ThreadPoolExecutor
+
+    other = f"{name}_other"
+    for t in (name, other):
+        tables.append(
+            months(spark, [(i, "a", f"m{i}") for i in range(4)]), t, partition_by=["month"]
+        )
+
+    def merge(n):
+        for i in range(3):
+            tables.merge_partitions(months(spark, [(0, f"b{i}", "m0")]), name, ["k"], "month", upsert_all)
+
+    def renew(n):
+        for _ in range(3):
+            tables.refresh(months(spark, [(9, "z", "m9")]), other, partition_by=["month"])
+
+    with ThreadPoolExecutor(2) as pool:
+        for job in [pool.submit(merge, 0), pool.submit(renew, 1)]:
+            job.result()
+    assert [r[0] for r in rows(spark.table(name), "k")] == [0, 1, 2, 3]
+    assert rows(spark.table(other), "k") == [(9,)]
+    spark.sql(f"DROP TABLE {other}")
+
+
+def test_a_scd2_write_can_be_repeated_and_numbers_its_rows(spark, name, tmp_path, monkeypatch):
+    from shopgrain.plans.cleaned import customers_scd2
+
+    tables.ensure_table(spark, name, "customers_scd2", str(tmp_path / "dim"))
+    cols = ("customer_id BIGINT, customer_unique_id STRING, customer_zip_code_prefix INT, "
+            "customer_city STRING, customer_state STRING, customer_phone STRING, "
+            "customer_email STRING, updated_at INT")
+
+    def load(at, z):
+        feed = spark.createDataFrame([(1, "u", z, "c", "s", "p", "e", at)], cols)
+        state = customers_scd2(spark.table(name), feed, as_of=f"202{at}-01-01", current_only=True)
+        tables.write_scd2(state, name, surrogate="customer_sk")
+
+    load(0, 10)
+    whole = tables._overwrite
+    monkeypatch.setattr(tables, "_overwrite", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        load(1, 11)
+    monkeypatch.setattr(tables, "_overwrite", whole)
+    load(1, 11)
+    got = rows(spark.table(name), "version", "customer_zip_code_prefix", "is_current", "customer_sk")
+    assert [r[:3] for r in got] == [(1, 10, False), (2, 11, True)]
+    assert len({r[3] for r in got}) == 2 and None not in {r[3] for r in got}
+
+
+def test_scratch_of_a_block_is_deleted_alone(spark):
+    from shopgrain.session import scratch
+
+    before = stored(spark.range(3), "before")
+    with scratch(spark):
+        inside = Path(stored(spark.range(3), "inside").inputFiles()[0].removeprefix("file://")).parent
+        assert inside.is_dir()
+    assert not inside.exists() and before.count() == 3
