@@ -62,10 +62,12 @@ def ascii_lower(x: Column) -> Column:
     return F.when(plain, F.lower(x)).otherwise(F.translate(x, UPPER, LOWER))
 
 
-def held(df: DataFrame) -> DataFrame:
+def held(df: DataFrame, *keep: str) -> DataFrame:
     """The same rows behind a one-element ``inline``: array columns are computed once per row and
-    not again inside each lambda that a later projection would be merged with."""
-    return df.select(F.inline(F.array(F.struct("*"))))
+    not again inside each lambda that a later projection would be merged with. Columns in ``keep``
+    go past it, so that a partitioning by them is still known."""
+    rest = [c for c in df.columns if c not in keep]
+    return df.select(*keep, F.inline(F.array(F.struct(*rest))))
 
 
 def words_of(text: str | None) -> list[bytes]:

@@ -179,7 +179,7 @@ def compare_edited(
     edited = F.concat(kept, F.substr(F.coalesce("next_text", F.lit("")), F.lit(1), half))
     both = held(with_next(df, id_col, text_col).select(
         "bucket", "place", "real", "id", "text", edited.alias("edited")
-    ))
+    ), "bucket")
     hashed = held(both.select(
         "bucket", "place", "real", "id", F.char_length("text").cast("long").alias("n_chars"),
         F.sha2("edited", 256).alias("sha"), F.xxhash64("text").alias("all0"),
@@ -188,7 +188,7 @@ def compare_edited(
             F.transform(terms_of(F.col(c)), lambda t: F.xxhash64(t)).alias(f"t{i}")
             for i, c in enumerate(("text", "edited"))
         ],
-    ))
+    ), "bucket")
     each = hashed.select(
         "bucket", "place", "real", "id", "n_chars", "sha", "all0", "all1",
         F.explode(F.concat(
@@ -207,13 +207,16 @@ def compare_edited(
                 F.array_sort(F.collect_list(F.when(F.col("of") == i, F.col("term")))).alias(f"t{i}")
                 for i in (0, 1)
             ],
-        )
+        ),
+        "bucket",
+    )
+    levels = held(
+        gathered.select("*", *[level_of(F.col(f"t{i}")).alias(f"l{i}") for i in (0, 1)]), "bucket"
     )
-    levels = held(gathered.select("*", *[level_of(F.col(f"t{i}")).alias(f"l{i}") for i in (0, 1)]))
     marked = held(levels.select(
         "bucket", "place", "real", "id", "n_chars", "sha", "l0", "l1", "all0", "all1",
         *[hashes(F.col(f"t{i}"), F.col(f"l{i}")).alias(f"h{i}") for i in (0, 1)],
-    ))
+    ), "bucket")
     order = Window.partitionBy("bucket").orderBy("place")
     beside = marked.select(
         "*", *[F.lead(c).over(order).alias(f"next_{c}") for c in ("l0", "h0", "all0")]
