@@ -19,7 +19,6 @@ from shopgrain.functions import (
     band, exact_sum, money, money_mean, percent, ratio, rounded_ratio, run_date, run_time,
 )
 from shopgrain.operators.basket import BIG_BASKET, co_occurrence
-from shopgrain.operators.distinct import beside, distinct_counts
 from shopgrain.operators.incremental import touched_rows
 from shopgrain.session import stored
 
@@ -60,26 +59,29 @@ def product_performance(
 
     ``touched`` (a batch of items) recomputes only its products, over their full history."""
     items = items if touched is None else touched_rows(items, touched, "product_id")
-    bought = items.select("order_id", "product_id", "price", "freight_value").join(
-        orders.select("order_id", "customer_id", "order_purchase_timestamp", "order_status"),
-        "order_id",
-    )
     canceled = F.col("order_status") == "canceled"
     bought_at = "order_purchase_timestamp"
-    per_product = bought.groupBy("product_id").agg(
-        F.count(F.lit(1)).alias("items"),
-        F.count("price").alias("prices"),
-        exact_sum("price").alias("revenue"),
-        exact_sum("freight_value").alias("freight"),
-        F.count_if(canceled).alias("return_count"),
-        exact_sum(F.when(canceled, F.col("price"))).alias("returned"),
-        F.datediff(F.max(bought_at), F.min(bought_at)).alias("product_lifetime_days"),
+    sums = ("items", "prices", "revenue", "freight")
+    per_buyer = (
+        _bought(items, orders.select("order_id", "customer_id", bought_at, "order_status"))
+        .groupBy("product_id", "customer_id")
+        .agg(
+            F.count(F.lit(1)).alias("orders"),
+            *[F.sum(c).alias(c) for c in sums],
+            F.sum(F.when(canceled, F.col("items")).otherwise(0)).alias("return_count"),
+            F.sum(F.when(canceled, F.col("revenue"))).alias("returned"),
+            F.max(bought_at).alias("last"),
+            F.min(bought_at).alias("first"),
+        )
     )
-    counted = distinct_counts(
-        bought, "product_id", {"total_orders": "order_id", "unique_buyers": "customer_id"}
+    per_product = per_buyer.groupBy("product_id").agg(
+        F.sum("orders").alias("total_orders"),
+        F.count("customer_id").alias("unique_buyers"),
+        *[F.sum(c).alias(c) for c in (*sums, "return_count", "returned")],
+        F.datediff(F.max("last"), F.min("first")).alias("product_lifetime_days"),
     )
     measured = (
-        per_product.join(counted, "product_id")
+        per_product
         .join(products.select("product_id", F.col(CATEGORY).alias("category")), "product_id")
         .select(
             "product_id",
@@ -108,6 +110,21 @@ def product_performance(
     )
 
 
+def _bought(items: DataFrame, orders: DataFrame) -> DataFrame:
+    """One row per order and product with the sums of its items, beside the order's columns.
+
+    Its rows count a product's distinct orders, and those per customer its distinct buyers, so each
+    fact is scanned and joined once. An order's items are reduced in the map tasks first.
+    """
+    reduced = items.groupBy("order_id", "product_id").agg(
+        F.count(F.lit(1)).alias("items"),
+        F.count("price").alias("prices"),
+        exact_sum("price").alias("revenue"),
+        exact_sum("freight_value").alias("freight"),
+    )
+    return reduced.join(orders, "order_id")
+
+
 def inventory_analytics(
     orders: DataFrame,
     items: DataFrame,
@@ -119,19 +136,18 @@ def inventory_analytics(
 ) -> DataFrame:
     """Monthly movement of each product, its turnover, reorder level and stock class."""
     items = items if touched is None else touched_rows(items, touched, "product_id")
-    bought = items.select("order_id", "product_id", "price").join(
-        orders.select(
-            "order_id",
-            "customer_id",
-            F.date_trunc("month", "order_purchase_timestamp").alias("sale_month"),
-        ),
-        "order_id",
-    )
+    sale_month = F.date_trunc("month", "order_purchase_timestamp").alias("sale_month")
     month = ["product_id", "sale_month"]
-    per_month = beside(
-        bought.groupBy(*month).agg(exact_sum("price").alias("revenue")),
-        distinct_counts(bought, month, {"orders": "order_id", "buyers": "customer_id"}),
-        month,
+    per_month = (
+        _bought(items, orders.select("order_id", "customer_id", sale_month))
+        .groupBy(*month, "customer_id")
+        .agg(F.count(F.lit(1)).alias("orders"), F.sum("revenue").alias("revenue"))
+        .groupBy(*month)
+        .agg(
+            F.sum("orders").alias("orders"),
+            F.sum("revenue").alias("revenue"),
+            F.count("customer_id").alias("buyers"),
+        )
     )
     per_product = per_month.groupBy("product_id").agg(
         F.count("sale_month").alias("months_active"),

@@ -7,6 +7,7 @@ from conftest import plan, rows
 from pyspark.sql import functions as F
 
 from shopgrain.functions import band, exact_sum, money, percent, ratio
+from shopgrain.operators.merge import upsert_all
 from shopgrain.plans import catalogue, cleaned, monitoring, partners, sales
 from shopgrain.schemas import TABLES, table_schema
 from shopgrain.sources.dimensions import category_translations
@@ -157,11 +158,23 @@ def test_item_windows(spark):
 
 
 def test_touched_items_match_the_full_result(spark):
-    rows_in = items(spark, [(o, i, 1, i % 2, float(o + i), 1.0) for o in range(5) for i in range(4)])
+    """The orders of the touched order's seller come too: its average price moves in all of them."""
+    rows_in = items(spark, [(o, i, 1, o % 2, float(o + i), 1.0) for o in range(5) for i in range(4)])
     bronze = rows_in.drop("freight_ratio")
     full = cleaned.order_items_silver(bronze, as_of="2020-01-01")
-    part = cleaned.order_items_silver(bronze, touched=bronze.filter("order_id = 2"), as_of="2020-01-01")
-    assert rows(part) == rows(full.filter("order_id = 2"))
+    new = bronze.filter("order_id = 2")
+    part = cleaned.order_items_silver(bronze, touched=new, as_of="2020-01-01")
+    assert rows(part) == rows(full.filter("order_id % 2 = 0"))
+    old = cleaned.order_items_silver(bronze.filter("order_id <> 2"), as_of="2020-01-01")
+    assert rows(upsert_all(old, part, ["order_id", "order_item_id"])) == rows(full)
+
+
+def test_an_order_with_more_rows_than_a_billion(spark):
+    """Row counts multiply as decimals."""
+    out = spark.sql("SELECT CAST(3000000000 AS BIGINT) AS n").select(
+        F.sum(sales._wide(F.col("n")) * sales._wide(F.col("n"))).alias("rows")
+    )
+    assert out.first()[0] == 9 * 10**18
 
 
 def test_payment_rules(spark):
