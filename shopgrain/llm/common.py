@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 from collections.abc import Callable, Iterable, Iterator
 
@@ -79,12 +80,24 @@ def per_batch(
     df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]]],
     schema: str | StructType,
 ) -> DataFrame:
-    """``mapInArrow`` with state that each task makes once."""
+    """``mapInArrow`` with state that each task makes once, and whose memory it gives back."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = make()
         for batch in batches:
             yield from step(batch)
+        del step
+        give_back()
 
     return df.mapInArrow(run, schema)
 
+
+def give_back() -> None:
+    """Return freed memory to the machine: a worker that waits for its next task keeps it else, next
+    to its executor."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+

@@ -10,7 +10,7 @@ from functools import cache
 import regex
 from tokenizers import Tokenizer, models, pre_tokenizers
 
-HELD = 1 << 19  # distinct pieces a task remembers before it starts afresh
+HELD = 1 << 18  # distinct pieces a task remembers before it starts afresh
 
 
 class Remembered(dict):
