@@ -38,10 +38,11 @@ def existing(spark: SparkSession, name: str) -> DataFrame | None:
 
 def conform(df: DataFrame, contract: str, fill: Sequence[str] | None = None) -> DataFrame:
     """Columns of a contract in its order and types; columns ``df`` lacks are NULL. A column the
-    contract does not know is an error, and so is a lacking one outside ``fill`` where that is given."""
+    contract does not know is an error, except for the metadata of an ingestion (``_...``), which is
+    left out; a lacking one outside ``fill`` is an error where that is given."""
     fields = table_schema(contract).fields
     names = [f.name for f in fields]
-    unknown = [c for c in df.columns if c not in names]
+    unknown = [c for c in df.columns if c not in names and not c.startswith("_")]
     lacking = [n for n in names if n not in df.columns and fill is not None and n not in fill]
     if unknown or lacking:
         raise ValueError(f"{contract}: unknown columns {unknown}, lacking columns {lacking}")
