@@ -20,7 +20,7 @@ WIDTH = BITS // SEGMENTS
 BUDGET = [MAX_BITS * n // SEGMENTS for n in range(SEGMENTS + 1)]  # for a chain of n segments
 EXACT = max(n for n, most in enumerate(BUDGET) if most == 0)  # leading segments that must be equal
 FULL_BUCKET = 64  # a fuller bucket is linked through shared one-bit neighbours
-NO_ID = 1 << 62  # stand-ins for null ids lie above
+NO_ID = 1 << 62  # names of classes lie below
 SHINGLE = 5  # words of a shingle that copies are compared by
 BANDS, ROWS = 32, 6  # least hashes of a shingle set: bands of so many; a candidate shares a band
 HUB_ROUNDS = 3  # in which a full bucket is compared with one member before all its pairs are
@@ -337,8 +337,8 @@ def class_links(classes: DataFrame) -> DataFrame:
 
 
 def near_duplicates(prints: DataFrame) -> DataFrame:
-    """``fingerprints`` with ``component``, the least id reachable over links, and ``group``, the same
-    with a stand-in where it is null.
+    """``fingerprints`` with ``component``, the least id reachable over links, and ``group``, which
+    names the component by a hash of fingerprints: components that share a least id differ in it.
 
     Rows with the same fingerprints are one class before anything is compared. With several tables a
     link in any of them counts. Null ids take part; a component of null ids only has a null
@@ -346,24 +346,19 @@ def near_duplicates(prints: DataFrame) -> DataFrame:
     rows.
     """
     prints = store(prints, "prints")
-    made_up = F.lit((1 << 63) - 1) - F.pmod(F.xxhash64("prints"), F.lit(NO_ID - 1))
-    classes = store(
-        prints.groupBy("prints").agg(F.min("id").alias("least"))
-        .select("prints", F.coalesce("least", made_up).alias("node")),
-        "classes",
-    )
+    name = F.pmod(F.xxhash64("prints"), F.lit(NO_ID)).alias("node")  # rows that share an id only stay apart
+    classes = store(prints.groupBy("prints").agg(F.min("id").alias("least")).select("prints", "least", name), "classes")
     roots = components(class_links(classes))
     named = store(
         classes.join(roots, "node", "left").select(
-            "prints", F.coalesce("root", "node").alias("component")
+            "prints", "least", F.coalesce("root", "node").alias("group")
         ),
-        "components",
-    )
-    discard(classes)
-    real = F.when(F.col("component") < NO_ID, F.col("component"))
-    return prints.join(named, "prints").select(
-        *prints.columns, real.alias("component"), F.col("component").alias("group")
+        "groups",
     )
+    least = store(named.groupBy("group").agg(F.min("least").alias("component")), "components")
+    found = store(named.join(least, "group").select("prints", "component", "group"), "named")
+    discard(classes, named, least)
+    return prints.join(found, "prints").select(*prints.columns, "component", "group")
 
 
 def keep_one(df: DataFrame, tables: int = 16, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -53,3 +53,10 @@ def test_one_of_each_pair_stays(spark, docs, monkeypatch, full):
     made = [p for kind in KINDS for p in pairs_of(random.Random(kind), kind, 20)]
     out = simhash.keep_one(docs(*[(i + 1000 * n, t) for i, p in enumerate(made) for n, t in enumerate(p)]))
     assert sorted(r["doc_id"] for r in out.collect()) == list(range(len(made)))
+
+
+def test_rows_that_share_an_id_only_stay_apart(spark, rowdy):
+    got = simhash.near_duplicates(simhash.fingerprints(rowdy)).select("id", "prints", "group").collect()
+    assert len({r["group"] for r in got if r["id"] == 3}) == 2
+    kept = {(r["doc_id"], r["text"]) for r in simhash.keep_one(rowdy).collect()}
+    assert {(3, "one"), (3, "another text")} <= kept and (None, "one") not in kept
