@@ -22,15 +22,3 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
-
-
-def rows(df, *cols):
-    """Rows as a sorted list of tuples."""
-    return sorted((tuple(r) for r in (df.select(*cols) if cols else df).collect()), key=repr)
-
-
-def plan(df, run=True):
-    """The physical plan, after running it the one adaptive execution settled on."""
-    if run:
-        df.collect()
-    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]

@@ -3,7 +3,7 @@ from collections import Counter
 from itertools import combinations
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from shopgrain.operators import basket as basket_module

@@ -4,7 +4,7 @@ one run over everything would."""
 from datetime import datetime
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from checks.mapping import feed

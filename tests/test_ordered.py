@@ -2,7 +2,7 @@ import random
 from collections import defaultdict
 
 import pytest
-from conftest import plan, rows
+from helpers import plan, rows
 from pyspark.sql import functions as F
 
 from shopgrain.operators.history import assign_surrogate

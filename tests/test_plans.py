@@ -3,7 +3,7 @@
 from datetime import date, datetime
 
 import pytest
-from conftest import plan, rows
+from helpers import plan, rows
 from pyspark.sql import functions as F
 
 from shopgrain.functions import band, exact_sum, money, percent, ratio

@@ -4,7 +4,7 @@ import contextlib
 import random
 
 import pytest
-from conftest import plan, rows
+from helpers import plan, rows
 from pyspark.sql import functions as F
 
 from shopgrain.operators.incremental import touched_rows

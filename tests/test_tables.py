@@ -1,7 +1,7 @@
 from pathlib import Path
 
 import pytest
-from conftest import plan, rows
+from helpers import plan, rows
 from pyspark.sql import functions as F
 
 from shopgrain.operators.merge import upsert_all
