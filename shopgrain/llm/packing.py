@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from shopgrain.llm.common import discard, per_batch, store, words_of
+from shopgrain.llm.common import discard, per_batch, store
 from shopgrain.llm.tokens import word_encoder
 
 PARTNERS = 8  # second lengths tried with each first one, and third ones with each pair
@@ -31,8 +31,9 @@ def token_pieces(
 
         def step(batch: pa.RecordBatch) -> Iterable[pa.RecordBatch]:
             rows: list[tuple] = []
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = encode(words_of(text.as_py())) + end
+            texts = (text.as_py() for text in batch.column(1))
+            for key, ids in zip(batch.column(0).to_pylist(), encode(texts)):
+                ids += end
                 for piece, at in enumerate(range(0, len(ids), 4 * length)):
                     part = ids[at : at + 4 * length]
                     rows.append((key, piece, at // 4, len(part) // 4, zlib.crc32(part), part))

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import base64
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 from functools import cache
 
+import numpy as np
 import regex
 from tokenizers import Tokenizer, models, pre_tokenizers
 
+from shopgrain.llm.common import words_of
+
 HELD = 1 << 18  # distinct pieces a task remembers before it starts afresh
 
 
@@ -31,37 +34,95 @@ def packed(ids: list[int]) -> bytes:
     return b"".join(i.to_bytes(4, "little") for i in ids)
 
 
+class Generations:
+    """Key to value in two generations of at most ``most`` entries each: when the young one is full
+    it becomes the old one, so what is met often stays and memory is bounded."""
+
+    def __init__(self, most: int) -> None:
+        self.most, self.young, self.old = most, {}, {}
+
+    def fill(self, keys: set[bytes], values: Callable[[list[bytes]], Iterable[bytes]]) -> None:
+        """Have all of ``keys`` in ``young``; ``values`` gives the unknown ones' together."""
+        if len(self.young) > self.most:
+            self.young, self.old = {}, self.young
+        missing = keys - self.young.keys()
+        if self.old:
+            again = missing & self.old.keys()
+            self.young.update(zip(again, map(self.old.__getitem__, again)))
+            missing -= again
+        missing = list(missing)
+        self.young.update(zip(missing, values(missing)))
+
+
 class WordEncoder:
     """Ids of a vocabulary file that drops white space and never joins over it.
 
-    Text is cut at ASCII white space. Each distinct piece is encoded once by the library; what it
-    does inside a piece, other white space included, is left to it. Plain letters and the marks after
+    Text is cut at ASCII white space. The distinct pieces of some texts that are not remembered are
+    given to the library in one call, joined by spaces, and told apart by its offsets; what it does
+    inside a piece, other white space included, is left to it. Latin letters and the marks after
     them are pieces of their own, and their case does not count: the vocabulary is lower case and
     never joins letters with such marks.
     """
 
-    _PLAIN = re.compile(rb"([A-Za-z]+)([.,!?;:|#*$%&()]*)")
+    _LATIN = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+    _MARKS = b".,!?;:|#*$%&()"
+    _TOGETHER = 4 << 20  # bytes of text whose pieces are looked up together
+    _CALL = 1 << 15  # bytes of one call
 
     def __init__(self, path: str) -> None:
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
-        self.parts = Remembered(self._encode)
-        self.memo = Remembered(self._piece)
-
-    def _piece(self, piece: bytes) -> bytes:
-        plain = self._PLAIN.fullmatch(piece)
-        if plain:
-            letters, marks = plain.groups()
-            return self.parts[letters.lower()] + (self.parts[marks] if marks else b"")
-        return self._encode(piece)
-
-    def _encode(self, piece: bytes) -> bytes:
-        text = piece.decode("utf-8", "replace")
-        return packed(self.library.encode(text, add_special_tokens=False).ids)
-
-    def __call__(self, words: list[bytes]) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers."""
-        return b"".join(map(self.memo.__getitem__, words))
+        self.parts, self.pieces = Generations(1 << 19), Generations(1 << 19)
+
+    def _encode(self, parts: list[bytes]) -> Iterator[bytes]:
+        """Ids of each part, by calls over many of them."""
+        at = 0
+        while at < len(parts):
+            some, size = [], 0
+            while at < len(parts) and size < self._CALL:
+                some.append(parts[at].decode("utf-8", "replace"))
+                size += len(some[-1]) + 1
+                at += 1
+            found = self.library.encode(" ".join(some), add_special_tokens=False)
+            ids = np.array(found.ids, dtype="<u4").tobytes()
+            first = np.array(found.offsets, dtype=np.int64).reshape(-1, 2)[:, 0]
+            after = np.cumsum(np.fromiter(map(len, some), np.int64, len(some)) + 1)
+            begin = 0
+            for end in (4 * np.searchsorted(first, after)).tolist():
+                yield ids[begin:end]
+                begin = end
+
+    def _whole(self, pieces: list[bytes]) -> Iterator[bytes]:
+        letters, marks = [], []
+        for piece in pieces:
+            word = piece.rstrip(self._MARKS)
+            if word.isalpha():  # of bytes: A-Z and a-z
+                letters.append(word.lower())
+            elif self._LATIN.fullmatch(word):
+                letters.append(word.decode().lower().encode())
+            else:
+                word = piece
+                letters.append(piece)
+            marks.append(piece[len(word):])
+        self.parts.fill({*letters, *marks}, self._encode)
+        known = self.parts.young.__getitem__
+        return map(bytes.__add__, map(known, letters), map(known, marks))
+
+    def __call__(self, texts: Iterable[str | None]) -> Iterator[bytes]:
+        """Each text's ids as little-endian unsigned 32-bit integers, in order."""
+        held, size = [], 0
+        for text in texts:
+            held.append(words_of(text))
+            size += len(text or "")
+            if size >= self._TOGETHER:
+                yield from self._ids(held)
+                held, size = [], 0
+        yield from self._ids(held)
+
+    def _ids(self, texts: list[list[bytes]]) -> Iterator[bytes]:
+        self.pieces.fill(set().union(*texts), self._whole)
+        known = self.pieces.young
+        for words in texts:
+            yield b"".join(map(known.__getitem__, words))
 
 
 def byte_table() -> list[str]:

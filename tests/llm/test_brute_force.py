@@ -14,7 +14,7 @@ from tokenizers import Tokenizer
 from shopgrain.llm import imatch, outliers, simhash, substrings
 from shopgrain.llm.packing import plan, slots
 from shopgrain.llm.queries import QUERIES
-from shopgrain.llm.tokens import ByteDecoder, ByteEncoder, read_ranks
+from shopgrain.llm.tokens import ByteDecoder, ByteEncoder, WordEncoder, read_ranks
 
 SF = "/root/testdata/sf0.001"
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -123,7 +123,6 @@ def test_links_of_a_crowd(spark, monkeypatch, full):
 
 def test_op1(spark, texts):
     library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    library.encode_special_tokens = True
     want = {}
     for i, t in texts.items():
         ids = np.array(library.encode(t, add_special_tokens=False).ids + [1], dtype="<u4")
@@ -145,6 +144,19 @@ def test_op1(spark, texts):
     assert len(sequences) <= least * 1.02 + 1
 
 
+@pytest.mark.parametrize("most", [1 << 19, 40])
+def test_word_ids_of_odd_texts(most):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library, own = Tokenizer.from_file(path), WordEncoder(path)
+    own.parts.most = own.pieces.most = most  # small generations are forgotten between calls
+    rng = np.random.default_rng(4)
+    signs = [*"abeEéÉ ß我中あ😀👍🏽12\n\t'sre.,!? İŞqقلب́\xa0\x85Ǆ<|>", "<|endoftext|>", "<|startoftext|>", " "]
+    texts = ["".join(rng.choice(signs, rng.integers(0, 60))) for _ in range(2000)] + [None, ""]
+    for at in range(0, len(texts), 100):
+        for text, ids in zip(texts[at : at + 100], own(texts[at : at + 100]), strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == library.encode(text or "", add_special_tokens=False).ids
+
+
 def test_a_plan_uses_every_document_once():
     rng = np.random.default_rng(5)
     for size in (3, 500, 200_000):

@@ -68,7 +68,6 @@ def test_stages_in_order(spark, tmp_path):
             assert all(texts[i] == t for i, t in got.items()) and 0 < len(got) < len(texts)
         texts = got
     library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    library.encode_special_tokens = True
     packed = corpus_pipeline.STAGES[-1][1](spark, df, SF).collect()
     lengths = collections.Counter()
     for r in packed:
