@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shopgrain.llm import bpe, imatch, lines, merkle, outliers, packing, quality, simhash, substrings, toxicity, urls
+from shopgrain.llm import bpe, imatch, lines, merkle, outliers, packing, quality, simhash, substrings, toxicity, urls, whiten
 from shopgrain.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -114,6 +114,10 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten.whiten(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
     return merkle.manifest(table(spark, sf_dir, "documents"), tampered)
@@ -130,5 +134,6 @@ QUERIES: dict[str, Query] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_url_filters": op9_url_filters,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
+    "op12_embedding_whitening": op12_embedding_whitening,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
