@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shopgrain.llm import bpe, imatch, lines, merkle, outliers, packing, quality, simhash, substrings, toxicity, urls, whiten
+from shopgrain.llm import (
+    bpe, imatch, lines, merkle, minhash, outliers, packing, quality, simhash, substrings, toxicity, urls, whiten,
+)
 from shopgrain.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -114,6 +116,10 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), size=4).withColumnRenamed("id", "doc_id")
+
+
 def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten.whiten(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
 
@@ -134,6 +140,7 @@ QUERIES: dict[str, Query] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_url_filters": op9_url_filters,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
+    "op11_minhash_near_dedup": op11_minhash_near_dedup,
     "op12_embedding_whitening": op12_embedding_whitening,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
