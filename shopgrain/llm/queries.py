@@ -111,7 +111,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     prints = simhash.fingerprints(table(spark, sf_dir, "documents"), size=3, seed=42)
     return simhash.near_duplicates(prints).select(
         F.col("id").alias("doc_id"),
-        F.lower(F.lpad(F.hex(F.get("prints", F.lit(0))), 16, "0")).alias("fingerprint"),
+        F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"),
         F.col("component").alias("component_id"),
     )
 

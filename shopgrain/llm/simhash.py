@@ -20,237 +20,41 @@ WIDTH = BITS // SEGMENTS
 BUDGET = [MAX_BITS * n // SEGMENTS for n in range(SEGMENTS + 1)]  # for a chain of n segments
 EXACT = max(n for n, most in enumerate(BUDGET) if most == 0)  # leading segments that must be equal
 FULL_BUCKET = 64  # a fuller bucket is linked through shared one-bit neighbours
-NO_ID = 1 << 62  # names of classes lie below
-SHINGLE = 5  # words of a shingle that copies are compared by
-BANDS, ROWS = 32, 6  # least hashes of a shingle set: bands of so many; a candidate shares a band
-HUB_ROUNDS = 3  # in which a full bucket is compared with one member before all its pairs are
-MIX = 0x9E3779B97F4A7C15
 
 
-def _signs(hashes: np.ndarray) -> np.ndarray:
-    """Per bit, whether over half of the hashes (rows of 8-byte words) set it; packed again."""
-    count = np.zeros(hashes.shape[1] * BITS, dtype=np.int64)
+def _signs(hashes: np.ndarray) -> int:
+    """Per bit, whether over half of the hashes set it; as a signed 64-bit integer."""
+    count = np.zeros(BITS, dtype=np.int64)
     for at in range(0, len(hashes), 1 << 14):
-        part = hashes[at : at + (1 << 14)]
+        part = hashes[at : at + (1 << 14)].reshape(-1, 1)
         bits = np.unpackbits(part.view(np.uint8), axis=1, bitorder="little")
         count += bits.sum(axis=0, dtype=np.int64)
-    return np.packbits(count * 2 > len(hashes), bitorder="little").view(np.int64)
+    return int(np.packbits(count * 2 > len(hashes), bitorder="little").view(np.int64)[0])
 
 
-def shingle_fingerprint(text: str | None, size: int, seed: int) -> np.ndarray:
-    """One fingerprint over all ``size``-word shingles, repeats included."""
+def shingle_fingerprint(text: str | None, size: int, seed: int) -> int:
+    """The fingerprint over all ``size``-word shingles, repeats included."""
     words = words_of(text)
     words = [w.lower() for w in words]  # bytes: A-Z only
     if not words:
-        return np.zeros(1, dtype=np.int64)
+        return 0
     runs = [words[i:] for i in range(size)] if len(words) >= size else [[b" ".join(words)]]
     shingles = map(b" ".join, zip(*runs)) if len(runs) > 1 else runs[0]
     hashes = np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(seed)), dtype=np.uint64)
-    return _signs(hashes.reshape(-1, 1))
-
-
-def word_fingerprints(text: str | None, tables: int, seed: int) -> np.ndarray:
-    """``tables`` independent fingerprints over the distinct words."""
-    words = {w.lower() for w in words_of(text)}
-    if not words:
-        return np.zeros(tables, dtype=np.int64)
-    base = np.fromiter(map(xxhash.xxh64_intdigest, words, repeat(seed)), dtype=np.uint64)
-    salts = np.arange(1, tables + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    mixed = base[:, None] ^ salts[None, :]
-    for shift, factor in ((33, 0xFF51AFD7ED558CCD), (33, 0xC4CEB9FE1A85EC53)):
-        mixed = (mixed ^ (mixed >> np.uint64(shift))) * np.uint64(factor)
-    return _signs(np.ascontiguousarray(mixed ^ (mixed >> np.uint64(33))))
-
-
-def _mixed(x: np.ndarray) -> np.ndarray:
-    for shift, factor in ((33, 0xFF51AFD7ED558CCD), (33, 0xC4CEB9FE1A85EC53)):
-        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
-    return x ^ (x >> np.uint64(33))
-
-
-def shingle_set(text: str | None, seed: int) -> np.ndarray:
-    """Sorted distinct hashes of the ``SHINGLE``-word shingles, A-Z lower-cased; a shorter text is one
-    shingle, a text without words has none."""
-    words = [w.lower() for w in words_of(text)]
-    base = np.fromiter(map(xxhash.xxh64_intdigest, words, repeat(seed)), dtype=np.uint64)
-    size = min(SHINGLE, len(base))
-    if not size:
-        return base
-    places = np.arange(1, size + 1, dtype=np.uint64) * np.uint64(MIX) + np.uint64(size)
-    runs = np.zeros(len(base) - size + 1, dtype=np.uint64)
-    for i in range(size):
-        runs += _mixed(base[i : i + len(runs)] ^ places[i])
-    return np.unique(_mixed(runs))
-
-
-def _factors(seed: int) -> np.ndarray:
-    return np.random.default_rng(seed).integers(0, 1 << 31, BANDS * ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
-
-
-def band_keys(shingles: np.ndarray, factors: np.ndarray) -> np.ndarray:
-    """One key for each of ``BANDS`` bands of ``ROWS`` least hashes; two sets of Jaccard similarity j
-    share a band with probability 1 - (1 - j**ROWS)**BANDS: all but 6 in 100,000 at 0.8."""
-    if not len(shingles):
-        return np.zeros(0, dtype=np.int64)
-    short = (shingles >> np.uint64(32)).astype(np.uint32)
-    least = np.full(len(factors), (1 << 32) - 1, dtype=np.uint32)
-    for at in range(0, len(short), 1024):
-        np.minimum(least, (factors[:, None] * short[None, at : at + 1024]).min(axis=1), out=least)
-    key = np.arange(1, BANDS + 1, dtype=np.uint64)
-    for column in least.reshape(BANDS, ROWS).T:
-        key = _mixed(key * np.uint64(MIX) ^ column.astype(np.uint64))
-    return key.view(np.int64)
-
-
-def sketches(df: DataFrame, tables: int, id_col: str, text_col: str, seed: int = 42) -> DataFrame:
-    """(id, k1, k2, prints, node, n, bands): fingerprints over distinct words, and of the set of
-    shingles a hash that names it, its size and its band keys."""
-
-    def make():
-        factors = _factors(seed)
-
-        def step(batch: pa.RecordBatch) -> Iterable[pa.RecordBatch]:
-            prints, nodes, sizes, bands = [], [], [], []
-            for text in batch.column(3).to_pylist():
-                prints.append(word_fingerprints(text, tables, seed))
-                found = shingle_set(text, seed)
-                nodes.append(xxhash.xxh64_intdigest(found.tobytes(), seed) >> 2)
-                sizes.append(len(found))
-                bands.append(band_keys(found, factors))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *batch.columns[:3], pa.array(prints, pa.list_(pa.int64())), pa.array(nodes, pa.int64()),
-                    pa.array(sizes, pa.int64()), pa.array(bands, pa.list_(pa.int64())),
-                ],
-                ["id", "k1", "k2", "prints", "node", "n", "bands"],
-            )
-
-        return step
-
-    src = df.select(
-        F.col(id_col).cast("long").alias("id"), *row_key(F.col(id_col), text_of(text_col)),
-        F.col(text_col).cast("string").alias("t"),
-    )
-    return per_batch(
-        src, make, "id long, k1 long, k2 long, prints array<long>, node long, n long, bands array<long>"
-    )
-
-
-def _sets(df: DataFrame, rows: DataFrame, id_col: str, text_col: str, seed: int = 42) -> DataFrame:
-    """(node, shingles) of ``rows`` (k1, k2, node), one row for each node."""
-
-    def make():
-        def step(batch: pa.RecordBatch) -> Iterable[pa.RecordBatch]:
-            found = [shingle_set(t, seed).view(np.int64) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(found, pa.list_(pa.int64()))], ["node", "shingles"]
-            )
-
-        return step
-
-    texts = df.select(*row_key(F.col(id_col), text_of(text_col)), F.col(text_col).cast("string").alias("t"))
-    texts = texts.join(rows, ["k1", "k2"]).select("node", "t").dropDuplicates(["node"])
-    return per_batch(texts, make, "node long, shingles array<long>")
-
-
-def _live(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """``members`` (key, node, word, n) of the buckets in which not all are in one component yet, with
-    the component and the bucket's size."""
-    named = store(
-        members.join(roots.withColumnRenamed("node", "word"), "word", "left")
-        .select("key", "node", "word", "n", F.coalesce("root", "word").alias("in")),
-        "members",
-    )
-    open_ = store(
-        named.groupBy("key").agg(
-            F.count("*").alias("size"), F.min("in").alias("low"), F.max("in").alias("high")
-        ).where("low < high").select("key", "size"),
-        "open",
-    )
-    out = store(named.join(open_, "key"), "live")
-    discard(named, open_)
-    return out
-
-
-def shingle_links(
-    df: DataFrame, made: DataFrame, linked: DataFrame, id_col: str, text_col: str
-) -> DataFrame:
-    """``linked`` and the links (a, b) between the words classes of ``made`` (k1, k2, word, node, n,
-    bands) whose shingle sets have a Jaccard similarity of 0.8 or more.
-
-    Sets that share a band are candidates unless their classes hang together already, and are linked
-    if their exact similarity is high enough. In a bucket of more than ``FULL_BUCKET`` sets one
-    member is compared with the others first, as this connects most of a crowd of near copies; after
-    ``HUB_ROUNDS`` such rounds all pairs that are still in two components are compared.
-    """
-    each = made.select("node", "word", "n", "bands").dropDuplicates(["node"])
-    each = store(each.select("node", "word", "n", F.explode("bands").alias("key")), "bands")
-    shared = store(each.groupBy("key").count().where("count > 1").select("key"), "shared")
-    members = store(each.join(shared, "key", "left_semi"), "members")
-    discard(each, shared)
-    live = _live(members, components(linked))
-    nodes = store(live.select("node").distinct(), "nodes")
-    rows = made.join(nodes, "node", "left_semi").groupBy("node").agg(F.min(F.struct("k1", "k2")).alias("r"))
-    rows = store(rows.select("node", "r.k1", "r.k2"), "rows")
-    sets = store(_sets(df, rows, id_col, text_col), "sets")
-    discard(members, nodes, rows)
-    for turn in range(HUB_ROUNDS + 1):
-        is_full = (F.col("size") > FULL_BUCKET) & F.lit(turn < HUB_ROUNDS)
-        few, full = live.where(~is_full), live.where(is_full)
-        hubs = full.groupBy("key").agg(
-            F.min(F.struct(F.xxhash64("node", F.lit(turn)), "node", "word", "n", "in")).alias("hub")
-        ).select("key", "hub.node", "hub.word", "hub.n", "hub.in")
-        pairs = None
-        for left, right, once in (
-            (few, few, F.col("x.node") < F.col("y.node")), (hubs, full, F.lit(True)),
-        ):
-            x, y = left.alias("x"), right.alias("y")
-            low, high = F.least("x.n", "y.n"), F.greatest("x.n", "y.n")
-            on = (F.col("x.key") == F.col("y.key")) & (F.col("x.in") != F.col("y.in")) & once
-            found = x.join(y, on & (5 * low >= 4 * high)).select(
-                F.least("x.node", "y.node").alias("p"), F.greatest("x.node", "y.node").alias("q"),
-                F.least("x.word", "y.word").alias("a"), F.greatest("x.word", "y.word").alias("b"),
-            )
-            pairs = found if pairs is None else pairs.union(found)
-        pairs = store(pairs.dropDuplicates(["p", "q"]), "pairs")
-        x, y = sets.select("node", F.col("shingles").alias("s")), sets.select("node", F.col("shingles").alias("t"))
-        both = pairs.join(x.withColumnRenamed("node", "p"), "p").join(y.withColumnRenamed("node", "q"), "q")
-        common = F.size(F.array_intersect("s", "t"))
-        alike = both.where(9 * common >= 4 * (F.size("s") + F.size("t")))  # of the union four fifths
-        new = store(alike.select("a", "b").distinct(), "alike")
-        linked = linked.union(new)
-        rest = store(full.select("key", "node", "word", "n"), "rest")
-        discard(pairs, live)
-        if rest.isEmpty():
-            discard(rest)
-            break
-        live = _live(rest, components(linked))
-        discard(rest)
-    discard(sets)
-    return linked
+    return _signs(hashes)
 
 
 def fingerprints(
-    df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-    size: int = 3, seed: int = 42, word_tables: int = 0,
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3, seed: int = 42
 ) -> DataFrame:
-    """(id, k1, k2, prints): per row its ``row_key`` and the whole text's fingerprint over
-    ``size``-word shingles, or ``word_tables`` fingerprints over its distinct words. A text without
-    words has fingerprint zero."""
+    """(id, k1, k2, print): per row its ``row_key`` and the whole text's fingerprint over ``size``-word
+    shingles. A text without words has fingerprint zero."""
 
     def make():
         def step(batch: pa.RecordBatch) -> Iterable[pa.RecordBatch]:
-            texts = batch.column(3).to_pylist()
-            rows = [
-                word_fingerprints(t, word_tables, seed) if word_tables
-                else shingle_fingerprint(t, size, seed) for t in texts
-            ]
-            width = word_tables or 1
-            flat = np.concatenate(rows) if rows else np.zeros(0, dtype=np.int64)
-            ends = np.arange(0, len(flat) + 1, width, dtype=np.int32)
-            prints = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
+            prints = [shingle_fingerprint(t.as_py(), size, seed) for t in batch.column(3)]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], prints], ["id", "k1", "k2", "prints"]
+                [*batch.columns[:3], pa.array(prints, pa.int64())], ["id", "k1", "k2", "print"]
             )
 
         return step
@@ -259,7 +63,7 @@ def fingerprints(
         F.col(id_col).cast("long").alias("id"), *row_key(F.col(id_col), text_of(text_col)),
         F.col(text_col).cast("string").alias("t"),
     )
-    return per_batch(src, make, "id long, k1 long, k2 long, prints array<long>")
+    return per_batch(src, make, "id long, k1 long, k2 long, print long")
 
 
 def _rotated(col: str, segment: int) -> Column:
@@ -271,7 +75,7 @@ def _rotated(col: str, segment: int) -> Column:
 
 
 def links(prints: DataFrame) -> DataFrame:
-    """Links (a, b) among ``prints`` (table, print, node): pairs within ``MAX_BITS``.
+    """Links (a, b) among the distinct fingerprints ``prints`` (print): pairs within ``MAX_BITS``.
 
     Pigeonring: cut the fingerprint into a ring of segments. If two differ in t bits, some start has
     every chain of n following segments differ in at most t*n/SEGMENTS. The chains with budget zero
@@ -288,10 +92,10 @@ def links(prints: DataFrame) -> DataFrame:
     ])
     rest = BITS - EXACT * WIDTH
     members = (
-        prints.select("table", "node", F.explode(starts).alias("at"))
+        prints.select(F.col("print").alias("node"), F.explode(starts).alias("at"))
         .select(
             "node", F.col("at.turned").alias("turned"),
-            F.shiftleft(F.col("table") * SEGMENTS + F.col("at.start"), EXACT * WIDTH)
+            F.shiftleft(F.col("at.start").cast("long"), EXACT * WIDTH)
             .bitwiseOR(F.shiftrightunsigned("at.turned", rest)).alias("key"),
         )
     )
@@ -321,67 +125,35 @@ def links(prints: DataFrame) -> DataFrame:
     return found
 
 
-def class_links(classes: DataFrame) -> DataFrame:
-    """Links (a, b) among ``classes`` (prints, node) that have near fingerprints in any table."""
-    each = classes.select("node", F.posexplode("prints").alias("table", "print"))
-    heads = store(
-        each.groupBy("table", "print").agg(F.min("node").alias("node")), "heads"
-    )
-    same = (
-        each.join(heads.withColumnRenamed("node", "head"), ["table", "print"])
-        .where("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b"))
-    )
-    found = store(links(heads).union(same), "linked")
-    discard(heads)
-    return found
-
-
 def near_duplicates(prints: DataFrame) -> DataFrame:
-    """``fingerprints`` with ``component``, the least id reachable over links, and ``group``, which
-    names the component by a hash of fingerprints: components that share a least id differ in it.
+    """``fingerprints`` with ``component``, the least id reachable over links, and ``group``, the least
+    fingerprint (signed) of the component: components that share a least id differ in it.
 
-    Rows with the same fingerprints are one class before anything is compared. With several tables a
-    link in any of them counts. Null ids take part; a component of null ids only has a null
-    component. A repeated id is no error: each row has its text's component. An empty table gives no
-    rows.
+    Rows with the same fingerprint are one class, named by it, before anything is compared. Null ids
+    take part; a component of null ids only has a null component. A repeated id is no error: each row
+    has its text's component. An empty table gives no rows.
     """
     prints = store(prints, "prints")
-    name = F.pmod(F.xxhash64("prints"), F.lit(NO_ID)).alias("node")  # rows that share an id only stay apart
-    classes = store(prints.groupBy("prints").agg(F.min("id").alias("least")).select("prints", "least", name), "classes")
-    roots = components(class_links(classes))
+    classes = store(prints.groupBy("print").agg(F.min("id").alias("least")), "classes")
+    roots = components(links(classes.select("print")))
     named = store(
-        classes.join(roots, "node", "left").select(
-            "prints", "least", F.coalesce("root", "node").alias("group")
+        classes.join(roots.withColumnRenamed("node", "print"), "print", "left").select(
+            "print", "least", F.coalesce("root", "print").alias("group")
         ),
         "groups",
     )
     least = store(named.groupBy("group").agg(F.min("least").alias("component")), "components")
-    found = store(named.join(least, "group").select("prints", "component", "group"), "named")
+    found = store(named.join(least, "group").select("print", "component", "group"), "named")
     discard(classes, named, least)
-    return prints.join(found, "prints").select(*prints.columns, "component", "group")
+    return prints.join(found, "print").select(*prints.columns, "component", "group")
 
 
-def keep_one(df: DataFrame, tables: int = 16, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``df`` that stay when one row of each near-duplicate group does: the one of the
-    least id (null ids come last), then of the least row key. Repeated rows are one group.
-
-    Two rows are linked if the exact Jaccard similarity of their five-word shingles is 0.8 or more
-    (``shingle_links``), or if one of ``tables`` fingerprints over their distinct words differs in
-    at most ``MAX_BITS``. Equal shingle sets have equal words, so the words' classes are the nodes.
-    """
-    made = sketches(df, tables, id_col, text_col)
-    word = F.pmod(F.xxhash64("prints"), F.lit(NO_ID)).alias("word")
-    made = store(made.select("*", word), "sketches")
-    classes = store(made.select("prints", F.col("word").alias("node")).distinct(), "classes")
-    linked = class_links(classes)
-    discard(classes)
-    roots = components(shingle_links(df, made, linked, id_col, text_col))
-    joined = made.select("id", "k1", "k2", "word").join(roots.withColumnRenamed("node", "word"), "word", "left")
+def keep_one(df: DataFrame, size: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``df`` that stay when one row of each group of ``near_duplicates`` does: the one of the
+    least id (null ids come last), then of the least row key. Repeated rows are one group; so are
+    texts without words."""
+    grouped = near_duplicates(fingerprints(df, id_col, text_col, size))
     first = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "k1", "k2")).alias("first")
-    stay = store(
-        joined.groupBy(F.coalesce("root", "word").alias("group")).agg(first).select("first.k1", "first.k2"),
-        "survivors",
-    )
-    discard(made)
+    stay = store(grouped.groupBy("group").agg(first).select("first.k1", "first.k2"), "survivors")
     rows = df.select(F.struct("*").alias("row"), *row_key(F.col(id_col), text_of(text_col)))
     return rows.join(stay, ["k1", "k2"]).dropDuplicates(["k1", "k2"]).select("row.*")

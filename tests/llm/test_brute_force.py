@@ -116,7 +116,7 @@ def test_links_of_a_crowd(spark, monkeypatch, full):
             for bit in rng.integers(0, 63, 3 if rng.random() < 0.3 else 1):
                 at ^= 1 << int(bit)
     prints = dict(enumerate(made))
-    df = spark.createDataFrame([(i, [p]) for i, p in prints.items()], "id long, prints array<long>")
+    df = spark.createDataFrame(list(prints.items()), "id long, print long")
     got = {r["id"]: r["component"] for r in simhash.near_duplicates(df).collect()}
     assert got == groups(prints)
 

@@ -2,9 +2,8 @@
 
 import collections
 
-import numpy as np
 import public_tokenizers
-from test_brute_force import removed
+from test_brute_force import groups, removed
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -26,21 +25,9 @@ def without_common_lines(docs):
 
 
 def one_of_each_group(docs):
-    prints = {i: simhash.word_fingerprints(t, 16, 42).view(np.uint64) for i, t in docs.items()}
-    root = {i: i for i in docs}
-
-    def find(x):
-        while root[x] != x:
-            x = root[x]
-        return x
-
-    ids = sorted(docs)
-    for n, a in enumerate(ids):
-        for b in ids[n + 1 :]:
-            if (np.bitwise_count(prints[a] ^ prints[b]) <= 2).any():
-                x, y = find(a), find(b)
-                root[max(x, y)] = min(x, y)
-    return {i: docs[i] for i in ids if find(i) == i}
+    prints = {i: simhash.shingle_fingerprint(t, 3, 42) & (1 << 64) - 1 for i, t in docs.items()}
+    found = groups(prints)
+    return {i: t for i, t in docs.items() if found[i] == i}
 
 
 def without_passages(docs):
