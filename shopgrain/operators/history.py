@@ -96,7 +96,7 @@ def assign_surrogate(
     sk: str,
     order: Sequence[str],
     above: Column | None = None,
-    **splitting: int | float,
+    **splitting: int | None,
 ) -> DataFrame:
     """Number the rows whose surrogate key is NULL from the largest key on, in ``order``; ``above``
     is the largest one where ``dim`` is a part of the dimension.

@@ -1,9 +1,10 @@
-"""Row numbers, ranks and running sums that stay distributed when one group is huge.
+"""Row numbers, ranks, running sums and neighbours that stay distributed whatever a group's size.
 
-A plain window sends a whole partition group to one task. Here a group that holds a large share of
-the rows is cut into key ranges, the window runs per (group, range), and each range adds what the
-ranges before it hold. Ordinary groups keep range 0, so their path is the plain window. The result
-is exact either way: the cut points only decide where rows are processed.
+A plain window sends a whole group to one task. Here all rows are dealt out by ranges of (group, order
+key), so a task holds a share of the rows and not a group; the window runs per (range, group), and a
+group that goes on in a later range adds what its earlier ranges hold. At each border between two
+ranges at most one group goes on, so that correction is a table of at most two rows per range. No
+size is tested: a group of two rows and one of all rows take the same path.
 """
 
 from __future__ import annotations
@@ -13,11 +14,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shopgrain.functions.numeric import exact_sum, money
-
-HOT_ROWS = 1_000_000  # below this a group is one ordinary window task
-HOT_SHARE = 1 / 2000  # at most 2,000 groups can be hot, which bounds every broadcast below
-RANGES = 128
-_SAMPLES_PER_RANGE = 32
+from shopgrain.session import stored
 
 
 def ordered(
@@ -29,76 +26,61 @@ def ordered(
     rank: str | None = None,
     running: Mapping[str, str] | None = None,
     totals: Mapping[str, str] | None = None,
-    hot_rows: int = HOT_ROWS,
-    hot_share: float = HOT_SHARE,
-    ranges: int = RANGES,
+    lag: Mapping[str, str] | None = None,
+    lead: Mapping[str, str] | None = None,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Add ordered columns per ``group`` (the whole table when None).
 
     ``order`` lists (column, "asc" | "desc"), NULLs first for asc and last for desc; ``running``
-    and ``totals`` map an output name to the money column summed. For ``row_number`` and
-    ``running`` the order must be total within a group (end it with a unique key), or the rows of
-    a tie come in any order. The rows are read up to four times, so give it a plain scan or a
-    stored table; with no hot group the extra reads end after the group sizes.
+    and ``totals`` map an output name to the money column summed, ``lag`` and ``lead`` to the column
+    whose value in the row before or after is given. Rows that tie in ``order`` come in the order of a
+    hash of the row, so ties are split over ranges too; ``rank`` counts them as equal.
+
+    The number of ranges is Spark's number of shuffle partitions, which adaptive execution fits to the
+    size of the data, or ``ranges``. The rows are stored once in ranges and shuffled once more by
+    (range, group). Runs jobs. An empty table gives no rows.
     """
-    running, totals = dict(running or {}), dict(totals or {})
+    running, totals, lag, lead = (dict(m or {}) for m in (running, totals, lag, lead))
     cols = df.columns
     keys = _order_keys(order)
-    base = df.withColumns({"_g": F.lit(0) if group is None else F.col(group), **keys})
-    key = F.struct(*keys)
-
-    cuts = _cut_points(base, keys, hot_rows, hot_share, ranges)
-    same_group = F.col("_g").eqNullSafe(F.col("_hot"))
-    range_of = F.coalesce(F.size(F.filter("_cuts", lambda c: c <= key)), F.lit(0))
-
-    routed = (
-        base.join(F.broadcast(cuts), same_group, "left")
-        .withColumn("_r", F.when(F.col("_hot_n").isNull(), 0).otherwise(range_of))
-        .drop("_hot", "_hot_n", "_cuts")
-        # Explicit: partitions the input already has on the group would satisfy the windows and
-        # leave all ranges of a hot group in one task.
-        .repartition("_g", "_r")
+    base = df.withColumns(
+        {"_g": F.lit(0) if group is None else F.col(group), **keys, "_tie": F.xxhash64(*cols)}
     )
-    within = Window.partitionBy("_g", "_r")
-    in_order = within.orderBy(*keys)
+    place = [F.col(c).asc_nulls_first() for c in ("_g", *keys, "_tie")]
+    dealt = base.repartitionByRange(*([ranges] if ranges else []), *place)
+    pieces = stored(dealt.withColumn("_p", F.spark_partition_id()), "ranges")
+    key, row_key = F.struct(*keys), F.struct(*keys, "_tie")
+
+    offsets = _offsets(pieces, key, row_key, running, totals, rank, lag, lead)
+    within = Window.partitionBy("_p", "_g")
+    in_order = within.orderBy(*place[1:])
     so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    added: dict[str, Column] = {}
-    if row_number:
-        added[row_number] = F.row_number().over(in_order).cast("bigint")
+    added: dict[str, Column] = {"_n": F.row_number().over(in_order)}
     if rank:
-        added[rank] = F.rank().over(in_order).cast("bigint")
+        added["_rank"] = F.rank().over(within.orderBy(*place[1:-1]))
     for name, value in running.items():
         added[name] = exact_sum(value, so_far)
     for name, value in totals.items():
         added[name] = exact_sum(value, within)
-    local = routed.withColumns(added)
+    for name, value in lag.items():
+        added[f"_lag_{name}"] = F.lag(value).over(in_order)
+    for name, value in lead.items():
+        added[f"_lead_{name}"] = F.lead(value).over(in_order)
+    if lead:
+        added["_size"] = F.count(F.lit(1)).over(within)
+    local = pieces.withColumns(added)
 
-    # What the earlier ranges of a hot group hold: at most (hot groups x ranges) rows.
-    sums = {**running, **totals}
-    per_range = (
-        base.join(F.broadcast(cuts), same_group)
-        .withColumn("_hr", range_of)
-        .groupBy("_hot", "_hr")
-        .agg(
-            F.count(F.lit(1)).alias("_n"),
-            *[exact_sum(v).alias(f"_s_{n}") for n, v in sums.items()],
-        )
-    )
-    whole = Window.partitionBy("_hot")
-    before = whole.orderBy("_hr").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_range.select(
-        F.col("_hot"),
-        F.col("_hr"),
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n0"),
-        *[F.sum(f"_s_{n}").over(before).alias(f"_o_{n}") for n in running],
-        *[F.sum(f"_s_{n}").over(whole).alias(f"_o_{n}") for n in totals],
-    )
     joined = local.join(
-        F.broadcast(offsets), same_group & (F.col("_r") == F.col("_hr")), "left"
+        offsets, (F.col("_p") == F.col("_op")) & F.col("_g").eqNullSafe(F.col("_og")), "left"
     )
+    ahead = F.coalesce(F.col("_n0"), F.lit(0))
     final = {c: F.col(c) for c in cols}
-    for name in filter(None, (row_number, rank)):
-        final[name] = F.col(name) + F.coalesce(F.col("_n0"), F.lit(0))
+    if row_number:
+        final[row_number] = F.col("_n") + ahead
+    if rank:
+        goes_on = F.col("_ties").isNotNull() & (key == F.col("_first"))
+        final[rank] = F.when(goes_on, ahead - F.col("_ties") + 1).otherwise(F.col("_rank") + ahead)
     for name in running:
         own, prior = F.col(name), F.col(f"_o_{name}")
         final[name] = money(
@@ -106,7 +88,13 @@ def ordered(
         )
     for name in totals:
         final[name] = money(
-            F.when(F.col("_hr").isNull(), F.col(name)).otherwise(F.col(f"_o_{name}"))
+            F.when(F.col("_op").isNull(), F.col(name)).otherwise(F.col(f"_o_{name}"))
+        )
+    for name in lag:
+        final[name] = F.when(F.col("_n") == 1, F.col(f"_before.{name}")).otherwise(F.col(f"_lag_{name}"))
+    for name in lead:
+        final[name] = F.when(F.col("_n") == F.col("_size"), F.col(f"_after.{name}")).otherwise(
+            F.col(f"_lead_{name}")
         )
     return joined.select(*[c.alias(n) for n, c in final.items()])
 
@@ -123,45 +111,71 @@ def _order_keys(order: Sequence[tuple[str, str]]) -> dict[str, Column]:
     return keys
 
 
-def _cut_points(
-    base: DataFrame, keys: Mapping[str, Column], hot_rows: int, hot_share: float, ranges: int
+def _offsets(
+    pieces: DataFrame,
+    key: Column,
+    row_key: Column,
+    running: Mapping[str, str],
+    totals: Mapping[str, str],
+    rank: str | None,
+    lag: Mapping[str, str],
+    lead: Mapping[str, str],
 ) -> DataFrame:
-    """One row per hot group: its size and the sorted keys that split it into ranges.
+    """What the earlier ranges of a group hold, a row for each further range it goes on in (and for
+    each of its ranges where a total or a following row is asked for): a prefix scan over ranges.
 
-    Every step is a function of the rows alone (exact counts, a hash of the order key), so the two
-    uses of the cut points agree even when a lost task makes Spark compute them again.
+    Only groups at the end of a range can go on, so only their rows are added up. The scan of one
+    group has at most one row per range.
     """
-    sizes = base.groupBy("_g").agg(F.count(F.lit(1)).alias("_hot_n"))
-    all_rows = sizes.agg(F.sum("_hot_n")).scalar()
-    hot = sizes.filter(
-        (F.col("_hot_n") >= hot_rows) & (F.col("_hot_n") >= all_rows * F.lit(hot_share))
-    ).select(F.col("_g").alias("_hot"), "_hot_n")
-    step = F.ceil(F.col("_hot_n") / F.lit(ranges * _SAMPLES_PER_RANGE))
-    # A set, so a key that repeats a billion times is kept once.
-    return (
-        base.select("_g", *keys)
-        .join(F.broadcast(hot), F.col("_g").eqNullSafe(F.col("_hot")))
-        .groupBy("_hot", "_hot_n")
-        .agg(
-            F.sort_array(
-                F.collect_set(
-                    F.when(F.pmod(F.xxhash64(*keys), step) == 0, F.struct(*keys))
-                )
-            ).alias("_seen")
-        )
-        .select(
-            "_hot",
-            "_hot_n",
-            F.array_distinct(
-                F.filter(
-                    F.transform(
-                        F.sequence(F.lit(1), F.lit(ranges - 1)),
-                        lambda i: F.get(
-                            F.col("_seen"), F.floor(i * F.size("_seen") / ranges).cast("int")
-                        ),
-                    ),
-                    lambda c: c.isNotNull(),
-                )
-            ).alias("_cuts"),
-        )
+    ends = pieces.groupBy("_p").agg(
+        F.min(F.struct("_g")).alias("low"), F.max(F.struct("_g")).alias("high")
+    )
+    seen = ends.select("_p", F.explode(F.array_distinct(F.array("low", "high"))).alias("e"))
+    across = stored(
+        seen.groupBy(F.col("e._g").alias("_xg")).agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("_xg"),
+        "across",
+    )
+    parts = pieces.join(across, F.col("_g").eqNullSafe(F.col("_xg")), "left_semi")
+    sums = {**running, **totals}
+    last = [F.max_by(F.struct(*[F.col(v).alias(n) for n, v in lag.items()]), row_key).alias("_last_row")]
+    first = [F.min_by(F.struct(*[F.col(v).alias(n) for n, v in lead.items()]), row_key).alias("_first_row")]
+    held = stored(
+        parts.groupBy(F.col("_p").alias("_op"), F.col("_g").alias("_og")).agg(
+            F.count(F.lit(1)).alias("_n"),
+            F.min(key).alias("_first"),
+            *[exact_sum(v).alias(f"_s_{n}") for n, v in sums.items()],
+            *(last if lag else []),
+            *(first if lead else []),
+        ),
+        "held",
     )
+    whole = Window.partitionBy("_og")
+    in_order = whole.orderBy("_op")
+    before = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    offsets = held.select(
+        "_op",
+        "_og",
+        "_first",
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n0"),
+        *[F.sum(f"_s_{n}").over(before).alias(f"_o_{n}") for n in running],
+        *[F.sum(f"_s_{n}").over(whole).alias(f"_o_{n}") for n in totals],
+        *([F.lag("_last_row").over(in_order).alias("_before")] if lag else []),
+        *([F.lead("_first_row").over(in_order).alias("_after")] if lead else []),
+    )
+    if rank:
+        # Rows of earlier ranges that tie with a range's first row.
+        firsts = held.select("_og", "_first").distinct()
+        tied = (
+            parts.withColumn("_key", key)
+            .join(firsts, F.col("_g").eqNullSafe(F.col("_og")) & F.col("_key").eqNullSafe(F.col("_first")))
+            .groupBy(F.col("_og").alias("_tg"), F.col("_first").alias("_tf"), F.col("_p").alias("_tp"))
+            .agg(F.count(F.lit(1)).alias("_t"))
+        )
+        offsets = offsets.join(
+            tied,
+            F.col("_og").eqNullSafe(F.col("_tg"))
+            & F.col("_first").eqNullSafe(F.col("_tf"))
+            & (F.col("_tp") < F.col("_op")),
+            "left",
+        ).groupBy(*offsets.columns).agg(F.coalesce(F.sum("_t"), F.lit(0)).alias("_ties"))
+    return stored(offsets, "offsets")

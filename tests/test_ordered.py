@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from shopgrain.operators.history import assign_surrogate
 from shopgrain.operators.ordered import ordered
 
-SPLIT = dict(hot_rows=20, hot_share=0.05, ranges=8)
+SPLIT = dict(ranges=8)
 
 
 def table(seed, n=400, ties=False):
@@ -41,7 +41,7 @@ def prefix(data):
     return sorted(want, key=repr)
 
 
-@pytest.mark.parametrize("splitting", [{}, SPLIT, dict(hot_rows=1, hot_share=0.0, ranges=3)])
+@pytest.mark.parametrize("splitting", [{}, SPLIT, dict(ranges=3)])
 @pytest.mark.parametrize("ties", [False, True])
 def test_running_sums_and_row_numbers(spark, splitting, ties):
     data = table(3, ties=ties)
@@ -53,7 +53,7 @@ def test_running_sums_and_row_numbers(spark, splitting, ties):
     assert rows(got, "g", "i", "n", "run", "total") == prefix(data)
 
 
-@pytest.mark.parametrize("splitting", [{}, SPLIT, dict(hot_rows=1, hot_share=0.0, ranges=64)])
+@pytest.mark.parametrize("splitting", [{}, SPLIT, dict(ranges=64)])
 def test_rank_with_ties(spark, splitting):
     data = table(5, ties=True)
     want = []
@@ -79,15 +79,53 @@ def test_whole_table_is_split_over_tasks(spark):
     by_rank = [r.v for r in got.orderBy("n").collect()]
     assert by_rank == sorted(by_rank, reverse=True)
     assert [r.n for r in got.select("n").orderBy("n").collect()] == list(range(1, 5001))
-    # The windows over the rows run per (group, range); none gathers the rows in one partition.
-    assert "_r" in plan(got)
+    # The windows over the rows run per (range, group); none gathers the rows in one partition.
+    assert "Window [row_number() windowspecdefinition(_p" in plan(got)
 
 
-def test_every_window_over_rows_has_a_group_and_a_range(spark):
-    df = spark.createDataFrame(table(1), "g INT, i INT, p DOUBLE")
-    got = ordered(df, "g", [("p", "asc"), ("i", "asc")], row_number="n")
-    windows = [w for w in plan(got, run=False).splitlines() if "- Window" in w]
-    assert windows and all("[_" in w for w in windows)
+def test_pieces_are_bounded_whatever_the_groups(spark):
+    """A group of half of the rows, one of a hundredth and one of 1/3000 are cut by the same ranges, no
+    piece is large, and the corrections are at most two rows per range."""
+    sizes = {0: 6000, 1: 120, 2: 4}
+    df = spark.range(12_000).selectExpr(
+        "CASE WHEN id < 6000 THEN 0L WHEN id < 6120 THEN 1L WHEN id < 6124 THEN 2L ELSE id END AS g",
+        "cast(id * 7919 % 12007 AS double) AS v", "id",
+    )
+    got = ordered(df, "g", [("v", "asc")], row_number="n", totals={"t": "v"}, ranges=100)
+    folder = [f for f in got.inputFiles() if "/ranges-" in f][0].rsplit("/", 1)[0]
+    pieces = spark.read.parquet(folder).groupBy("_p", "g").count().collect()
+    assert max(r["count"] for r in pieces) <= 400
+    cut = {g: sum(r["g"] == g for r in pieces) for g in sizes}
+    assert cut[0] > 30 and cut[1] >= 1
+    offsets = [f for f in got.inputFiles() if "/offsets-" in f][0].rsplit("/", 1)[0]
+    assert spark.read.parquet(offsets).count() <= 200
+    last = got.groupBy("g").agg(F.max("n").alias("n"), F.count("*").alias("c"), F.max("t").alias("t"), F.sum("v").alias("s"))
+    assert last.where("n <> c OR t <> s").count() == 0
+    assert "BroadcastHint" not in got._jdf.queryExecution().analyzed().toString()
+
+
+def test_a_small_group_is_cut_with_its_ties(spark):
+    df = spark.range(600).selectExpr("CASE WHEN id < 6 THEN -1L ELSE id END AS g", "id AS v")
+    got = ordered(df.union(df), "g", [("v", "asc")], row_number="n", rank="r", ranges=300)
+    small = sorted(map(tuple, got.where("g = -1").select("n", "v", "r").collect()))
+    assert small == [(i + 1, i // 2, i // 2 * 2 + 1) for i in range(12)]
+    folder = [f for f in got.inputFiles() if "/ranges-" in f][0].rsplit("/", 1)[0]
+    assert spark.read.parquet(folder).where("g = -1").select("_p").distinct().count() > 1
+
+
+@pytest.mark.parametrize("splitting", [{}, SPLIT, dict(ranges=64)])
+def test_neighbours_across_ranges(spark, splitting):
+    data = table(8)
+    want = []
+    for g, members in groups(data).items():
+        members.sort(key=lambda m: (m[1] is not None, m[1] or 0, m[0]))
+        for n, (i, _) in enumerate(members):
+            before = members[n - 1][0] if n else None
+            after = members[n + 1][0] if n + 1 < len(members) else None
+            want.append((g, i, before, after))
+    df = spark.createDataFrame(data, "g INT, i INT, p DOUBLE")
+    got = ordered(df, "g", [("p", "asc"), ("i", "asc")], lag={"b": "i"}, lead={"a": "i"}, **splitting)
+    assert rows(got, "g", "i", "b", "a") == sorted(want, key=repr)
 
 
 def test_empty(spark):

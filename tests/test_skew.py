@@ -67,7 +67,7 @@ def shop(spark, tmp_path_factory):
 
 def test_item_windows_of_a_hot_order(spark, shop):
     _, items, _, data, _ = shop
-    got = cleaned.order_items_silver(items, hot_rows=500, hot_share=0.01, ranges=16)
+    got = cleaned.order_items_silver(items, ranges=16)
     by_order = {}
     for o, i, _, _, price, _ in data:
         by_order.setdefault(o, []).append((price, i))
@@ -151,7 +151,7 @@ def test_joins_of_reduced_sides_have_one_row_per_key(spark, shop):
 def test_sellers_of_a_hot_seller(shop):
     orders, items, *_ = shop
     got = partners.seller_analytics(
-        orders, cleaned.with_freight_ratio(items), hot_rows=5, hot_share=0.0, ranges=4
+        orders, cleaned.with_freight_ratio(items), ranges=4
     )
     ranks = rows(got, "seller_rank", "total_revenue")
     ranks.sort()
