@@ -115,6 +115,23 @@ FEEDS: dict[str, tuple[tuple[str, ...], str]] = {
             SECOND_LOAD,
         ),
     ),
+    # Three versions of everybody in one batch (cities change back and forth), and one that comes late.
+    "src_customers_third": (
+        ("customer", "nation"),
+        _customer(
+            f"{_ZIP} + CASE WHEN {_MOVED} THEN 5000 ELSE 0 END",
+            f"CONCAT({_CITY}, CASE WHEN {_MOVED} THEN '-moved' ELSE '' END)",
+            "1998-01-01",
+        )
+        + " UNION ALL "
+        + _customer(_ZIP, f"CONCAT({_CITY}, CASE WHEN c_acctbal < 5000 THEN '-new' ELSE '' END)", "1999-01-01")
+        + " UNION ALL "
+        + _customer(_ZIP, _CITY, "2000-01-01"),
+    ),
+    "src_customers_late": (
+        ("customer", "nation"),
+        _customer(_ZIP, f"CONCAT({_CITY}, CASE WHEN c_mktsegment = 'MACHINERY' THEN '-old' ELSE '' END)", "1996-01-01"),
+    ),
     "src_products": (
         ("part",),
         """SELECT p_partkey AS product_id,

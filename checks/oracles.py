@@ -440,6 +440,14 @@ def oracle_sql() -> dict[str, str]:
         "customers_scd2": sql(f"""SELECT {_CUSTOMER}, {txt('customer_created_at')},
             effective_start_date, effective_end_date, is_current, version, _processed_timestamp,
             h AS _hash_key FROM ({_HISTORY})"""),
+        "customers_scd2_versions": sql(f"""SELECT {_CUSTOMER}, {txt('customer_created_at')},
+            CAST(updated_at AS VARCHAR) AS effective_start_date,
+            CAST(LEAD(updated_at) OVER w AS VARCHAR) AS effective_end_date,
+            LEAD(updated_at) OVER w IS NULL AS is_current, ROW_NUMBER() OVER w AS version
+          FROM (SELECT *, {_HASH} AS h FROM (FROM src_customers_first UNION ALL FROM src_customers_third
+              UNION ALL FROM src_customers_late)
+            QUALIFY h IS DISTINCT FROM LAG(h) OVER (PARTITION BY customer_id ORDER BY updated_at))
+          WINDOW w AS (PARTITION BY customer_id ORDER BY updated_at)"""),
         "customers_surrogate": sql(f"""SELECT ROW_NUMBER() OVER (ORDER BY customer_id, version)
             AS customer_sk, customer_id, version, is_current FROM ({_HISTORY})"""),
         "daily_sales": daily,
@@ -464,6 +472,7 @@ def oracle_sql() -> dict[str, str]:
         "seller_analytics_split": _sellers(),
         "geo_analytics": _places(),
         "geo_analytics_split": _places(),
+        "geo_analytics_incremental": _places(),
         "order_lifecycle": sql(f"""SELECT * EXCLUDE ({', '.join(_TIMES)}), {txt(*_TIMES)},
             {band('approval_time_hours', '<=', life.approval_hours, life.breach)} AS approval_sla,
             order_status = 'delivered' AS is_completed,

@@ -168,6 +168,18 @@ def customers_scd2(spark, sf):
     return _history(spark, sf).drop("customer_sk")
 
 
+@_query
+def customers_scd2_versions(spark, sf):
+    """Loads with one version of a customer, with three, and with one that falls between known ones."""
+    dim = spark.createDataFrame([], table_schema("customers_scd2"))
+    log = None
+    for name, as_of in (("first", FIRST_LOAD), ("third", SECOND_LOAD), ("late", AS_OF)):
+        batch = feed(spark, sf, f"src_customers_{name}")
+        log = batch if log is None else log.unionByName(batch)
+        dim = stored(cleaned.customers_history(dim, batch, log, as_of=as_of), "history")
+    return dim.drop("customer_sk", "_hash_key", "_processed_timestamp")
+
+
 @_query
 def customers_surrogate(spark, sf):
     path = scratch_path(spark, "customers_scd2")
@@ -325,6 +337,31 @@ def geo_analytics_split(spark, sf):
     )
 
 
+@_query
+def geo_analytics_incremental(spark, sf):
+    """A state without the newest items and orders, in which one market segment lives elsewhere and
+    nothing is delivered yet; the batch's orders and those of who moved are taken out and added again."""
+    orders, items, customers = _orders(spark, sf), _items(spark, sf), _customers(spark, sf)
+    recent = F.col("order_purchase_timestamp") > F.lit(CUT).cast("timestamp")
+    old_items, new_items = _late(spark, sf)
+    moved = feed(spark, sf, "src_customers_second").withColumn("is_current", F.lit(True))
+    open_ = F.col("order_status") == "shipped"
+    old_orders = orders.filter(~recent).withColumns(
+        {c: F.when(~open_, F.col(c)) for c in ("delivery_delay_days", "is_delayed")}
+    )
+    before, after = (moved, old_orders, old_items), (customers, orders, items)
+    who = moved.filter("customer_city LIKE '%-moved'").select("customer_id")
+    touched = (
+        orders.filter(recent | open_).select("order_id")
+        .union(new_items.select("order_id"))
+        .union(orders.join(who, "customer_id").select("order_id"))
+    )
+    state = stored(partners.place_state(*before), "places_before")
+    changes = stored(partners.place_changes(before, after, touched), "place_changes")
+    state = stored(partners.add_places(state, changes), "places_after")
+    return partners.place_table(state, as_of=AS_OF, cuts=MARKET_CUTS)
+
+
 @_query
 def order_lifecycle(spark, sf):
     return partners.order_lifecycle(

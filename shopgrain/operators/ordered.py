@@ -79,7 +79,7 @@ def ordered(
     if row_number:
         final[row_number] = F.col("_n") + ahead
     if rank:
-        goes_on = F.col("_ties").isNotNull() & (key == F.col("_first"))
+        goes_on = F.col("_ties").isNotNull() & (key == F.col("_w_first"))
         final[rank] = F.when(goes_on, ahead - F.col("_ties") + 1).otherwise(F.col("_rank") + ahead)
     for name in running:
         own, prior = F.col(name), F.col(f"_o_{name}")
@@ -91,9 +91,9 @@ def ordered(
             F.when(F.col("_op").isNull(), F.col(name)).otherwise(F.col(f"_o_{name}"))
         )
     for name in lag:
-        final[name] = F.when(F.col("_n") == 1, F.col(f"_before.{name}")).otherwise(F.col(f"_lag_{name}"))
+        final[name] = F.when(F.col("_n") == 1, F.col(f"_w_before.{name}")).otherwise(F.col(f"_lag_{name}"))
     for name in lead:
-        final[name] = F.when(F.col("_n") == F.col("_size"), F.col(f"_after.{name}")).otherwise(
+        final[name] = F.when(F.col("_n") == F.col("_size"), F.col(f"_w_after.{name}")).otherwise(
             F.col(f"_lead_{name}")
         )
     return joined.select(*[c.alias(n) for n, c in final.items()])
@@ -142,7 +142,7 @@ def _offsets(
     held = stored(
         parts.groupBy(F.col("_p").alias("_op"), F.col("_g").alias("_og")).agg(
             F.count(F.lit(1)).alias("_n"),
-            F.min(key).alias("_first"),
+            F.min(key).alias("_w_first"),
             *[exact_sum(v).alias(f"_s_{n}") for n, v in sums.items()],
             *(last if lag else []),
             *(first if lead else []),
@@ -155,26 +155,26 @@ def _offsets(
     offsets = held.select(
         "_op",
         "_og",
-        "_first",
+        "_w_first",
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n0"),
         *[F.sum(f"_s_{n}").over(before).alias(f"_o_{n}") for n in running],
         *[F.sum(f"_s_{n}").over(whole).alias(f"_o_{n}") for n in totals],
-        *([F.lag("_last_row").over(in_order).alias("_before")] if lag else []),
-        *([F.lead("_first_row").over(in_order).alias("_after")] if lead else []),
+        *([F.lag("_last_row").over(in_order).alias("_w_before")] if lag else []),
+        *([F.lead("_first_row").over(in_order).alias("_w_after")] if lead else []),
     )
     if rank:
         # Rows of earlier ranges that tie with a range's first row.
-        firsts = held.select("_og", "_first").distinct()
+        firsts = held.select("_og", "_w_first").distinct()
         tied = (
             parts.withColumn("_key", key)
-            .join(firsts, F.col("_g").eqNullSafe(F.col("_og")) & F.col("_key").eqNullSafe(F.col("_first")))
-            .groupBy(F.col("_og").alias("_tg"), F.col("_first").alias("_tf"), F.col("_p").alias("_tp"))
+            .join(firsts, F.col("_g").eqNullSafe(F.col("_og")) & F.col("_key").eqNullSafe(F.col("_w_first")))
+            .groupBy(F.col("_og").alias("_tg"), F.col("_w_first").alias("_tf"), F.col("_p").alias("_tp"))
             .agg(F.count(F.lit(1)).alias("_t"))
         )
         offsets = offsets.join(
             tied,
             F.col("_og").eqNullSafe(F.col("_tg"))
-            & F.col("_first").eqNullSafe(F.col("_tf"))
+            & F.col("_w_first").eqNullSafe(F.col("_tf"))
             & (F.col("_tp") < F.col("_op")),
             "left",
         ).groupBy(*offsets.columns).agg(F.coalesce(F.sum("_t"), F.lit(0)).alias("_ties"))

@@ -9,7 +9,7 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shopgrain.functions import exact_sum, money_mean, ratio, run_time
-from shopgrain.operators.history import latest_per_key, scd2_apply, scd2_current
+from shopgrain.operators.history import latest_per_key, scd2_apply, scd2_current, scd2_splice
 from shopgrain.operators.incremental import incremental, touched_rows
 from shopgrain.operators.merge import differs, upsert
 from shopgrain.operators.ordered import ordered
@@ -104,6 +104,20 @@ def customers_scd2(
     return apply(dim, latest, "customer_id", TRACKED, as_of)
 
 
+def customers_history(
+    dim: DataFrame,
+    updates: DataFrame,
+    log: DataFrame,
+    *,
+    time: str = "updated_at",
+    as_of: AsOf = None,
+    ranges: int | None = None,
+) -> DataFrame:
+    """Type-2 customer history by the versions' own times: every version of ``updates`` enters it, late
+    ones too. ``log`` holds all versions so far, those of ``updates`` as well."""
+    return scd2_splice(dim, updates, log, "customer_id", TRACKED, time, as_of, ranges=ranges)
+
+
 def products_silver(
     bronze: DataFrame,
     translations: DataFrame,
@@ -140,7 +154,7 @@ def order_items_silver(
     *,
     touched: DataFrame | None = None,
     as_of: AsOf = None,
-    **splitting: int | float,
+    **splitting: int | None,
 ) -> DataFrame:
     """Items with their place in the order (by price) and their seller's average price.
 

@@ -55,7 +55,7 @@ def seller_analytics(
     touched: DataFrame | None = None,
     as_of: AsOf = None,
     cuts: SellerCuts = SellerCuts(),
-    **splitting: int | float,
+    **splitting: int | None,
 ) -> DataFrame:
     """Sales, delivery and reliability per seller, ranked by revenue (ties by seller id).
 
@@ -64,28 +64,34 @@ def seller_analytics(
     over the merged table with ``rank_sellers``.
     """
     items = items if touched is None else touched_rows(items, touched, "seller_id")
-    sold = items.select(
-        "order_id", "seller_id", "product_id", "price", "freight_value", "freight_ratio"
-    ).join(
-        orders.select(
-            "order_id",
-            "customer_id",
-            "order_purchase_timestamp",
-            "is_delayed",
-            F.datediff("order_delivered_customer_date", "order_purchase_timestamp").alias("days"),
-        ),
-        "order_id",
-    )
-    first, last = "first_sale_date", "last_sale_date"
-    per_seller = sold.groupBy("seller_id").agg(
+    reduced = items.groupBy("order_id", "seller_id", "product_id").agg(
+        F.count(F.lit(1)).alias("items"),
         exact_sum("price").alias("revenue"),
         F.count("price").alias("prices"),
         exact_sum("freight_value").alias("freight"),
         exact_sum("freight_ratio").alias("ratios"),
         F.count("freight_ratio").alias("n_ratios"),
-        F.sum("days").alias("days"),
-        F.count("days").alias("n_days"),
-        F.count_if("is_delayed").alias("delayed_deliveries"),
+    )
+    # Both facts are read and joined once, for the sums and the distinct counts.
+    sold = stored(
+        reduced.join(
+            orders.select(
+                "order_id",
+                "customer_id",
+                "order_purchase_timestamp",
+                "is_delayed",
+                F.datediff("order_delivered_customer_date", "order_purchase_timestamp").alias("days"),
+            ),
+            "order_id",
+        ),
+        "sold",
+    )
+    first, last = "first_sale_date", "last_sale_date"
+    per_seller = sold.groupBy("seller_id").agg(
+        *[F.sum(c).alias(c) for c in ("revenue", "prices", "freight", "ratios", "n_ratios")],
+        F.sum(F.col("days") * F.col("items")).alias("days"),
+        F.sum(F.when(F.col("days").isNotNull(), F.col("items")).otherwise(0)).alias("n_days"),
+        F.sum(F.when(F.col("is_delayed"), F.col("items")).otherwise(0)).alias("delayed_deliveries"),
         F.min("order_purchase_timestamp").alias(first),
         F.max("order_purchase_timestamp").alias(last),
     )
@@ -114,7 +120,7 @@ def seller_analytics(
         first,
         last,
     ).withColumn("daily_revenue", rounded_ratio("total_revenue", "active_days", 2))
-    ranked = rank_sellers(stored(measured, "sellers"), cuts=cuts, **splitting)
+    ranked = rank_sellers(measured, cuts=cuts, **splitting)
     return ranked.withColumns(
         {
             "reliability_score": band("delayed_rate", "<=", cuts.delayed_rate, 1),
@@ -137,6 +143,10 @@ def rank_sellers(
     return ranked.withColumn("seller_tier", band("seller_rank", "<=", cuts.rank, cuts.last_tier))
 
 
+PLACE = ("customer_state", "customer_city", "customer_zip_code_prefix")
+_PLACE_SUMS = ("orders", "revenue", "prices", "delay_days", "timed", "delayed")
+
+
 def geographical_analytics(
     customers: DataFrame,
     orders: DataFrame,
@@ -144,54 +154,97 @@ def geographical_analytics(
     *,
     as_of: AsOf = None,
     cuts: MarketCuts = MarketCuts(),
-    **splitting: int | float,
+    **splitting: int | None,
+) -> DataFrame:
+    """Buying customers, orders, revenue, delays and active sellers per state, city and zip."""
+    state = stored(place_state(customers, orders, items), "place_state")
+    return place_table(state, as_of=as_of, cuts=cuts, **splitting)
+
+
+def place_state(
+    customers: DataFrame, orders: DataFrame, items: DataFrame, *, touched: DataFrame | None = None
 ) -> DataFrame:
-    """Buying customers, orders, revenue, delays and active sellers per state, city and zip.
+    """What the place table is made from, in a form that can be added to and taken from: a row for
+    each place and buying customer with sums over that customer's orders, and a row for each place and
+    seller with the number of orders behind it.
 
-    Two narrow passes over the items replace three distinct counts over the customer x order x
-    item join: money and orders are summed per order and then per customer, and sellers are
-    reduced to distinct (customer, seller) pairs, before either meets the customer's location.
+    The items are read once and reduced to (order, seller), so the customer x order x item join is
+    never built. ``touched`` (with order_id) limits the state to those orders' part.
     """
-    place = ["customer_state", "customer_city", "customer_zip_code_prefix"]
-    located = customers.filter("is_current").select("customer_id", *place)
-    delayed = F.coalesce(F.col("is_delayed"), F.lit(False))
-    per_order = items.groupBy("order_id").agg(
+    if touched is not None:
+        touched = stored(touched.select("order_id").distinct(), "touched")
+        orders, items = (touched_rows(side, touched, "order_id") for side in (orders, items))
+    located = customers.filter("is_current").select("customer_id", *PLACE)
+    reduced = items.groupBy("order_id", "seller_id").agg(
         F.count(F.lit(1)).alias("items"),
         F.count("price").alias("prices"),
         exact_sum("price").alias("revenue"),
     )
-    per_customer = (
+    sold = stored(
         orders.select("order_id", "customer_id", "is_delayed", "delivery_delay_days")
-        .join(per_order, "order_id")
-        .groupBy("customer_id")
-        .agg(
-            F.count(F.lit(1)).alias("orders"),
-            F.sum("revenue").alias("revenue"),
-            F.sum("prices").alias("prices"),
-            F.sum(F.col("delivery_delay_days") * F.col("items")).alias("delay_days"),
-            F.sum(F.when(F.col("delivery_delay_days").isNotNull(), F.col("items"))).alias("timed"),
-            F.sum(F.when(delayed, F.col("items")).otherwise(0)).alias("delayed"),
-        )
+        .join(reduced, "order_id")
+        .join(located, "customer_id"),
+        "sold",
     )
-    sums = ("orders", "revenue", "prices", "delay_days", "timed", "delayed")
-    totals = (
-        located.join(per_customer, "customer_id")
-        .groupBy(*place)
-        .agg(F.count(F.lit(1)).alias("customers"), *[F.sum(c).alias(c) for c in sums])
+    delayed = F.coalesce(F.col("is_delayed"), F.lit(False))
+    per_order = sold.groupBy(*PLACE, "customer_id", "order_id", "is_delayed", "delivery_delay_days").agg(
+        *[F.sum(c).alias(c) for c in ("items", "prices", "revenue")]
     )
-    sellers = (
-        items.select("order_id", "seller_id")
-        .join(orders.select("order_id", "customer_id"), "order_id")
-        .select("customer_id", "seller_id")
-        .distinct()
-        .join(located, "customer_id")
-        .select(*place, "seller_id")
-        .distinct()
-        .groupBy(*place)
-        .agg(F.count("seller_id").alias("active_sellers"))
+    per_customer = per_order.groupBy(*PLACE, "customer_id").agg(
+        F.count(F.lit(1)).alias("orders"),
+        F.sum("revenue").alias("revenue"),
+        F.sum("prices").alias("prices"),
+        F.sum(F.coalesce(F.col("delivery_delay_days"), F.lit(0)) * F.col("items")).alias("delay_days"),
+        F.sum(F.when(F.col("delivery_delay_days").isNotNull(), F.col("items")).otherwise(0)).alias("timed"),
+        F.sum(F.when(delayed, F.col("items")).otherwise(0)).alias("delayed"),
+    )
+    per_seller = sold.groupBy(*PLACE, "seller_id").agg(F.count(F.lit(1)).alias("orders"))
+    return (
+        per_customer.withColumn("seller_id", F.lit(None).cast(items.schema["seller_id"].dataType))
+        .withColumn("is_customer", F.lit(True))
+        .unionByName(per_seller.withColumn("is_customer", F.lit(False)), allowMissingColumns=True)
+    )
+
+
+def place_changes(
+    before: tuple[DataFrame, DataFrame, DataFrame],
+    after: tuple[DataFrame, DataFrame, DataFrame],
+    touched: DataFrame,
+) -> DataFrame:
+    """What a batch adds to a stored ``place_state``, with a minus sign what it takes away.
+
+    ``before`` and ``after`` are (customers, orders, items) without and with the batch; ``touched`` names
+    the orders whose part may differ: new, changed and cancelled ones, those of its items, and all
+    orders of customers who moved. Only these orders are read on either side.
+    """
+    sums = [c for c in _PLACE_SUMS]
+    old = place_state(*before, touched=touched)
+    new = place_state(*after, touched=touched)
+    return new.unionByName(old.withColumns({c: -F.col(c) for c in sums}))
+
+
+def add_places(state: DataFrame, changes: DataFrame) -> DataFrame:
+    """The state after ``changes``: sums added up, and rows left out behind which no order is any more."""
+    members = [*PLACE, "customer_id", "seller_id", "is_customer"]
+    return (
+        state.unionByName(changes)
+        .groupBy(*members)
+        .agg(*[F.sum(c).alias(c) for c in _PLACE_SUMS])
+        .filter("orders <> 0")
+    )
+
+
+def place_table(
+    state: DataFrame, *, as_of: AsOf = None, cuts: MarketCuts = MarketCuts(), **splitting: int | None
+) -> DataFrame:
+    """The place table from a stored ``place_state``, ranked within each state."""
+    totals = state.groupBy(*PLACE).agg(
+        F.count_if("is_customer").alias("customers"),
+        F.count_if(~F.col("is_customer") & F.col("seller_id").isNotNull()).alias("active_sellers"),
+        *[F.sum(F.when(F.col("is_customer"), F.col(c))).alias(c) for c in _PLACE_SUMS],
     )
-    measured = beside(totals, sellers, place).select(
-        *place,
+    measured = totals.select(
+        *PLACE,
         F.col("customers").alias("total_customers"),
         F.col("orders").alias("total_orders"),
         money("revenue").alias("total_revenue"),
@@ -203,8 +256,7 @@ def geographical_analytics(
         F.round(money_mean("revenue", "customers"), 2).alias("revenue_per_customer"),
     )
     ranked = ordered(
-        stored(measured, "places"), "customer_state", [("total_revenue", "desc")],
-        rank="city_rank_in_state", **splitting,
+        measured, "customer_state", [("total_revenue", "desc")], rank="city_rank_in_state", **splitting
     )
     return ranked.withColumns(
         {
