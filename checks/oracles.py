@@ -524,6 +524,10 @@ def oracle_sql() -> dict[str, str]:
             {txt(*_TIMES)}, TRUE AS from_file FROM src_orders"""),
         "stream_dedup_customers": sql(f"""SELECT {_CUSTOMER}, {txt('customer_created_at')},
             CAST(updated_at AS VARCHAR) AS _last_updated FROM customer_versions"""),
+        "stream_latest_customers": sql(f"""SELECT {_CUSTOMER}, {txt('customer_created_at')},
+            CAST(updated_at AS VARCHAR) AS _last_updated
+          FROM (FROM src_customers_first UNION ALL FROM src_customers_second UNION ALL FROM src_customers_third)
+          QUALIFY ROW_NUMBER() OVER (PARTITION BY customer_id ORDER BY updated_at DESC) = 1"""),
         "stream_ingest_products": sql("""SELECT product_id, CASE WHEN
               product_category_name <> 'automotivo' THEN product_category_name END
               AS product_category_name, product_photos,

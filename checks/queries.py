@@ -21,6 +21,7 @@ from shopgrain.sources import tables
 from shopgrain.sources.dimensions import category_translations
 from shopgrain.sources.files import CORRUPT, read_file_stream
 from shopgrain.streaming import feeds
+from shopgrain.streaming.latest import compact, read_latest, start_latest
 from shopgrain.streaming.sinks import run_to_end, start_append
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -563,6 +564,24 @@ def stream_dedup_customers(spark, sf):
     return feeds.distinct_versions(stored_rows).drop("_ingestion_timestamp", CORRUPT)
 
 
+@_query
+def stream_latest_customers(spark, sf):
+    """Three loads in a row, the oldest versions last; a file is a micro-batch, and half way the batches
+    so far are brought together."""
+    schema = feed_schema("customers")
+    landing, out = scratch_path(spark, "landing_latest"), scratch_path(spark, "latest")
+    checkpoint = scratch_path(spark, "latest_checkpoint")
+    args = ("customer_id", "_last_updated")
+    for name in ("second", "third", "first"):
+        rows = feed(spark, sf, f"src_customers_{name}").withColumnRenamed("updated_at", "_last_updated")
+        rows.select(*schema.fieldNames()).write.mode("append").json(landing)
+        raw = read_file_stream(spark, landing, "json", schema, max_files=8)
+        run_to_end(start_latest(raw, out, checkpoint, *args))
+        if name == "third":
+            compact(spark, out, *args, raw.schema)
+    return read_latest(spark, out, *args, raw.schema).drop(CORRUPT)
+
+
 @_query
 def stream_ingest_products(spark, sf):
     schema = feed_schema("products")
