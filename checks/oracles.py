@@ -427,6 +427,7 @@ def oracle_sql() -> dict[str, str]:
     found = {
         "orders_silver": _orders_merged(),
         "orders_table_merge": _orders_merged(),
+        "orders_table_marks": _orders_merged(),
         "order_items_windows": _items(),
         "order_items_windows_split": _items(),
         "payments_validated": sql(f"SELECT *, {RUN} FROM payments"),

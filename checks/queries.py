@@ -17,7 +17,7 @@ from shopgrain.plans import catalogue, cleaned, partners, sales
 from shopgrain.plans.monitoring import run_report
 from shopgrain.schemas import feed_schema, table_schema
 from shopgrain.session import scratch_path, stored
-from shopgrain.sources import tables
+from shopgrain.sources import marks, tables
 from shopgrain.sources.dimensions import category_translations
 from shopgrain.sources.files import CORRUPT, read_file_stream
 from shopgrain.streaming import feeds
@@ -494,6 +494,28 @@ def orders_table_merge(spark, sf):
     return spark.table(name)
 
 
+@_query
+def orders_table_marks(spark, sf):
+    """The change feed taken into a stored table in three runs by a durable mark; the last finds nothing."""
+    tag = abs(hash(scratch_path(spark, "x")))
+    name, marks_name = f"orders_marked_{tag}", f"marks_{tag}"
+    tables.ensure_table(spark, name, "orders_silver", scratch_path(spark, "orders_silver"))
+    marks.ensure_marks(spark, marks_name, scratch_path(spark, "marks"))
+    changes = feed(spark, sf, "src_order_changes")
+    loaded = changes.filter(F.col("_ingestion_timestamp") <= F.lit(CUT).cast("timestamp"))
+    for rows, as_of in ((loaded, CUT), (changes, AS_OF), (changes, AS_OF)):
+
+        def merge(new: DataFrame, as_of: str = as_of) -> int:
+            updates = tables.conform(cleaned.order_updates(new, as_of=as_of), "orders_silver")
+            return tables.merge_partitions(
+                updates, name, ["order_id"], "order_year_month",
+                lambda target, source, _: cleaned.merge_orders(target, source),
+            )
+
+        marks.take_new(rows, "_ingestion_timestamp", marks_name, "order_changes", name, merge)
+    return spark.table(name)
+
+
 # Ingestion.
 
 
@@ -575,11 +597,11 @@ def stream_latest_customers(spark, sf):
     for name in ("second", "third", "first"):
         rows = feed(spark, sf, f"src_customers_{name}").withColumnRenamed("updated_at", "_last_updated")
         rows.select(*schema.fieldNames()).write.mode("append").json(landing)
-        raw = read_file_stream(spark, landing, "json", schema, max_files=8)
+        raw = read_file_stream(spark, landing, "json", schema, max_files=8).drop(CORRUPT)
         run_to_end(start_latest(raw, out, checkpoint, *args))
         if name == "third":
             compact(spark, out, *args, raw.schema)
-    return read_latest(spark, out, *args, raw.schema).drop(CORRUPT)
+    return read_latest(spark, out, *args, raw.schema)
 
 
 @_query

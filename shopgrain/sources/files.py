@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 CORRUPT = "_corrupt_record"
 
@@ -44,7 +44,7 @@ def read_file_stream(
         reader = reader.option("pathGlobFilter", glob)
     if keep_corrupt:
         reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-        schema = StructType(schema.fields).add(CORRUPT, StringType())
+        schema = StructType([*schema.fields, StructField(CORRUPT, StringType())])  # the caller's stays as it is
     return reader.schema(schema).load(path)
 
 

@@ -1,7 +1,13 @@
-"""Parquet tables: create, append, refresh, merge. One writer per table at a time."""
+"""Parquet tables: create, append, refresh, merge. One writer per table at a time.
+
+A refresh or merge that stops half way loses nothing: what it is about to write is whole in the shared
+folder before the table is touched, and ``recover``, which every write of the same table starts with,
+ends it or drops it.
+"""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable, Sequence
 
 from py4j.protocol import Py4JJavaError
@@ -11,9 +17,9 @@ from shopgrain.operators.history import assign_surrogate
 from shopgrain.operators.incremental import touched_rows
 from shopgrain.operators.merge import upsert
 from shopgrain.schemas import TABLES, table_schema
-from shopgrain.session import stored
+from shopgrain.session import scratch_root, stored
 
-FEW = 1000  # partition names that are listed in a filter
+FEW = 1000  # partition names that are listed in a filter or dropped by one statement
 
 
 def ensure_namespaces(spark: SparkSession, names: Iterable[str], use: str | None = None) -> None:
@@ -82,19 +88,82 @@ def read_evolving(spark: SparkSession, path: str) -> DataFrame:
 def refresh(df: DataFrame, name: str, *, partition_by: Sequence[str] = ()) -> int:
     """Replace a table's rows, and its columns where they differ; returns the number of rows.
 
-    The new state, which may be computed from the old one, is stored in the shared folder first; if
-    the overwrite is interrupted, it is still there.
+    The new state may be computed from the old one. A table without partitions gets a new folder, and
+    its location is then moved there in one step: a reader sees the old or the new state, never less. The
+    folder before stays for readers that have listed it, until the next refresh. Of a partitioned
+    table the new state is stored whole, then written over the old one; a stop in between is ended
+    by the next write or ``recover``.
     """
     spark = df.sparkSession
     if not spark.catalog.tableExists(name):
         return _counted(df, lambda d: _writer(d, partition_by).saveAsTable(name))
-    df = stored(df, "refresh")
-    table = spark.table(name)
+    recover(spark, name)
+    table, parts = spark.table(name), _partitions(spark, name)
     if {(f.name, f.dataType) for f in table.schema} != {(f.name, f.dataType) for f in df.schema}:
-        return _counted(df, lambda d: _writer(d, partition_by).mode("overwrite").saveAsTable(name))
-    own = _session(spark, "static")
-    new = _reread(df, own).select(*table.columns)
-    return _overwrite(new, name, _partitions(spark, name), spark)
+        return _counted(
+            stored(df, "refresh"), lambda d: _writer(d, partition_by).mode("overwrite").saveAsTable(name)
+        )
+    new = df.select(*table.columns)
+    if not parts:
+        return _swap(new, name)
+    new.write.parquet(f"{_intent(spark, name)}/all")
+    return recover(spark, name)
+
+
+def _swap(new: DataFrame, name: str) -> int:
+    """Write ``new`` to a folder of its own and point the table there."""
+    spark = new.sparkSession
+    now = spark.sql(f"DESCRIBE FORMATTED {name}").filter("col_name = 'Location'").first()["data_type"]
+    root = now.split("__v", 1)[0]
+    folder = f"{root}__v{uuid.uuid4().hex}"
+    written = _counted(new, lambda d: d.write.parquet(folder))
+    _point(spark, name, folder)
+    place = _path(spark, root)
+    fs = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in fs.listStatus(place.getParent()):
+        found = status.getPath().getName()
+        if found.startswith(f"{place.getName()}__v") and found not in (folder.rsplit("/", 1)[1], now.rsplit("/", 1)[1]):
+            fs.delete(status.getPath(), True)
+    return written
+
+
+def _point(spark: SparkSession, name: str, folder: str) -> None:
+    spark.sql(f"ALTER TABLE {name} SET LOCATION '{folder}'")
+    spark.catalog.refreshTable(name)
+
+
+def _path(spark: SparkSession, folder: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(folder)
+
+
+def _intent(spark: SparkSession, name: str) -> str:
+    """The folder below the shared one that holds what a write of ``name`` is about to put in place."""
+    full = name if "." in name else f"{spark.catalog.currentDatabase()}.{name}"
+    return f"{scratch_root(spark)}/intents/{full.replace('`', '')}"
+
+
+def recover(spark: SparkSession, name: str) -> int:
+    """End a refresh or merge that stopped after its new rows were whole, or drop what it left before;
+    every step can be repeated. Returns the number of rows written, 0 where there is nothing to do."""
+    folder = _intent(spark, name)
+    place = _path(spark, folder)
+    fs = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    written = 0
+    whole = lambda part: fs.exists(_path(spark, f"{folder}/{part}/_SUCCESS"))
+    if whole("touched") and whole("merged"):
+        own = _session(spark, "dynamic")
+        merged, touched = (own.read.parquet(f"{folder}/{part}") for part in ("merged", "touched"))
+        partition = touched.columns[0]
+        merged = merged.select(*own.table(name).columns)
+        written = _overwrite(merged, name, [partition], spark)
+        _drop_emptied(own, name, partition, touched, merged)
+        spark.catalog.refreshTable(name)
+    elif whole("all"):
+        own = _session(spark, "static")
+        new = own.read.parquet(f"{folder}/all").select(*own.table(name).columns)
+        written = _overwrite(new, name, _partitions(spark, name), spark)
+    fs.delete(place, True)
+    return written
 
 
 def merge_partitions(
@@ -113,8 +182,14 @@ def merge_partitions(
     the key columns finds; with ``fixed`` (the key decides the partition) the scan is left out. Up to
     ``FEW`` names become a filter that prunes the scan, more of them a join. The dynamic overwrite
     leaves the other partitions' files alone. ``source`` is stored first, as it is read again.
+
+    The merged rows and the touched partitions are whole in the shared folder before the table changes;
+    then the partitions are written, and the emptied ones dropped. A stop before leaves the old state; a
+    stop after is ended by the next write or ``recover``, and until then a row that moves may be in both
+    its partitions.
     """
     spark = source.sparkSession
+    recover(spark, name)
     own = _session(spark, "dynamic")
     source = _reread(stored(source, "merge_source"), own)
     target = own.table(name)
@@ -128,23 +203,31 @@ def merge_partitions(
         old = target.filter(listed | F.col(partition).isNull() if None in few else listed)
     else:
         old = touched_rows(target, touched, partition)
-    merged = merge(old, source, keys).select(*target.columns)
-    emptied = touched.withColumnRenamed(partition, "_name")
-    merged = stored(merged, "merged")
-    _clear(own, name, partition, emptied, merged)
-    return _overwrite(merged, name, [partition], spark)
+    merge(old, source, keys).select(*target.columns).write.parquet(f"{_intent(spark, name)}/merged")
+    touched.write.parquet(f"{_intent(spark, name)}/touched")  # from here on the merge will be done
+    return recover(spark, name)
 
 
-def _clear(
+def _drop_emptied(
     spark: SparkSession, name: str, partition: str, touched: DataFrame, merged: DataFrame
 ) -> None:
-    """Drop touched partitions to which no row belongs any more: a dynamic overwrite replaces only
-    partitions it has rows for."""
+    """Drop touched partitions to which no row belongs any more, after the others are written: a dynamic
+    overwrite replaces only partitions it has rows for. A row that moves is thus never in no partition."""
     left = merged.select(F.col(partition).alias("_left")).distinct()
-    empty = touched.join(left, F.col("_name").eqNullSafe(F.col("_left")), "left_anti")
+    empty = touched.join(left, F.col(partition).eqNullSafe(F.col("_left")), "left_anti")
+    specs: list[str] = []
+
+    def drop() -> None:
+        if specs:
+            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {', '.join(specs)}")
+            specs.clear()
+
     for row in empty.toLocalIterator():
         value = "NULL" if row[0] is None else "'" + str(row[0]).replace("'", "\\'") + "'"
-        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({partition} = {value})")
+        specs.append(f"PARTITION ({partition} = {value})")
+        if len(specs) == FEW:
+            drop()
+    drop()
 
 
 def write_scd2(
@@ -211,8 +294,10 @@ def _counted(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
     write(df.observe(seen, F.count(F.lit(1)).alias("rows")))
     try:
         return seen.get["rows"]
-    except Py4JJavaError:  # without any row the plan may have lost the counter, which then has no value
-        return 0
+    except Py4JJavaError:
+        if df.isEmpty():  # without any row the plan may have lost the counter
+            return 0
+        raise
 
 
 def _partitions(spark: SparkSession, name: str) -> list[str]:
