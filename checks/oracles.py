@@ -510,8 +510,11 @@ def oracle_sql() -> dict[str, str]:
               AS is_current,
             CASE WHEN m.customer_id IS NOT NULL THEN '{SECOND_LOAD} 00:00:00' END
               AS effective_end_date
-          FROM src_customers_first f LEFT JOIN (SELECT customer_id FROM src_customers_second
+          FROM src_customers f LEFT JOIN (SELECT customer_id FROM src_customers_second
             WHERE customer_city LIKE '%-moved') m ON f.customer_id = m.customer_id"""),
+        "distinct_sketches": sql("""SELECT strftime(order_purchase_timestamp, '%Y-%m') AS month,
+            COUNT(DISTINCT customer_id) AS customers, COUNT(DISTINCT order_id) AS orders, TRUE AS close
+          FROM src_orders GROUP BY 1"""),
         "payments_cleaned": sql(_CLEAN_PAYMENTS),
         "stream_ingest_payments": sql(_CLEAN_PAYMENTS),
         "products_quarantine": sql("""SELECT product_id, product_category_name, product_name,

@@ -7,6 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from checks.mapping import AS_OF, CUT, FIRST_LOAD, SECOND_LOAD, feed
+from shopgrain.operators.distinct import (
+    RELATIVE_ERROR, distinct_counts, sketch_counts, sketches, union_sketches,
+)
 from shopgrain.operators.history import assign_surrogate, latest_per_key
 from shopgrain.operators.incremental import high_water_mark, incremental
 from shopgrain.operators.merge import (
@@ -395,6 +398,22 @@ def cross_selling_brand(spark, sf):
     )
 
 
+@_query
+def distinct_sketches(spark, sf):
+    """Months read from stored sketches of days, beside the exact counts that they must come close to."""
+    day = F.to_date("order_purchase_timestamp")
+    orders = feed(spark, sf, "src_orders").withColumns({"day": day, "month": F.date_format(day, "yyyy-MM")})
+    counts = {"customers": "customer_id", "orders": "order_id"}
+    days = stored(sketches(orders, ["month", "day"], counts), "day_sketches")
+    months = sketch_counts(union_sketches(days, "month", list(counts)), list(counts))
+    exact = distinct_counts(orders, "month", counts)
+    both = exact.join(months.select("month", *[F.col(c).alias(f"_{c}") for c in counts]), "month")
+    close = F.lit(True)
+    for c in counts:
+        close = close & (F.abs(F.col(f"_{c}") - F.col(c)) <= 5 * RELATIVE_ERROR * F.col(c) + 1)
+    return both.select("month", *counts, close.alias("close"))
+
+
 # Merges. The target holds orders before the cut with shipped ones still open; the source is a
 # feed of the orders since 1998, so there are rows only in one side, changed and unchanged ones.
 
@@ -455,7 +474,7 @@ def upsert_status(spark, sf):
 
 @_query
 def scd2_close(spark, sf):
-    current = feed(spark, sf, "src_customers_first").select(
+    current = feed(spark, sf, "src_customers").select(
         "customer_id",
         "customer_city",
         F.lit(True).alias("is_current"),
@@ -613,12 +632,13 @@ def stream_ingest_products(spark, sf):
     )
     path = _land(spark, sf, "products", "csv", rows.select(*schema.fieldNames()))
     raw = read_file_stream(spark, path, "csv", schema, keep_corrupt=True)
-    valid, bad = feeds.ingest_products(raw)
-    cols = ["product_id", "product_category_name", "product_photos", "_validation_status"]
-    return (
-        _streamed(spark, valid, "products_bronze")
-        .select(*cols)
-        .unionByName(_streamed(spark, bad, "products_quarantine").select(*cols))
+    # One stream reads each file once; the rows' status is the folder that they go to.
+    out = scratch_path(spark, "products")
+    tagged = feeds.tag_products(raw)
+    checkpoint = scratch_path(spark, "products_checkpoint")
+    run_to_end(start_append(tagged, out, checkpoint, partition_by=["_validation_status"]))
+    return spark.read.parquet(out).select(
+        "product_id", "product_category_name", "product_photos", "_validation_status"
     )
 
 

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from shopgrain.operators.quality import required, split_valid
+from shopgrain.operators.quality import required, split_valid, tag_rows
 from shopgrain.sources.files import CORRUPT, with_ingest_meta
 
 VERSION = ["customer_id", "_last_updated"]
@@ -56,17 +56,29 @@ def latest_customers(customers: DataFrame) -> DataFrame:
     )
 
 
-def ingest_products(
-    raw: DataFrame, *, source_file: bool = True
-) -> tuple[DataFrame, DataFrame]:
-    """(products with id and category, quarantined rows and why)."""
+def _product_rules(raw: DataFrame) -> dict[str, Column]:
     rules = required(["product_id", "product_category_name"])
     if CORRUPT in raw.columns:
         rules["line is unreadable"] = F.col(CORRUPT).isNull()
-    valid, bad = split_valid(with_ingest_meta(raw, source_file=source_file), rules)
+    return rules
+
+
+def ingest_products(
+    raw: DataFrame, *, source_file: bool = True
+) -> tuple[DataFrame, DataFrame]:
+    """(products with id and category, quarantined rows and why). Two streams of these read every file
+    twice; ``tag_products`` reads it once."""
+    valid, bad = split_valid(with_ingest_meta(raw, source_file=source_file), _product_rules(raw))
     return valid.drop(CORRUPT), bad
 
 
+def tag_products(raw: DataFrame, *, source_file: bool = True) -> DataFrame:
+    """All rows with ``_validation_status`` and the rules they break. Appended with
+    ``partition_by=["_validation_status"]`` one stream fills both outputs: one read, one ingestion time, and
+    one commit, so a replayed batch is in neither of them twice."""
+    return tag_rows(with_ingest_meta(raw, source_file=source_file), _product_rules(raw))
+
+
 def product_categories(products: DataFrame) -> DataFrame:
     """One category per product, so that no item is doubled; store it where it is large, or each
     micro-batch reduces the catalogue again."""
