@@ -515,6 +515,26 @@ def oracle_sql() -> dict[str, str]:
         "distinct_sketches": sql("""SELECT strftime(order_purchase_timestamp, '%Y-%m') AS month,
             COUNT(DISTINCT customer_id) AS customers, COUNT(DISTINCT order_id) AS orders, TRUE AS close
           FROM src_orders GROUP BY 1"""),
+        "table_refreshed": sql("""SELECT payment_type, CAST(payment_installments AS BIGINT) AS payment_installments,
+            2 * COUNT(*) AS n, place
+          FROM src_payments, (VALUES ('flat'), ('split')) p(place) GROUP BY ALL"""),
+        "table_evolved": sql("""SELECT product_id, product_name,
+            CASE WHEN product_category_name <> 'automotivo' THEN product_weight_g END AS product_weight_g, place
+          FROM src_products, (VALUES ('table'), ('files')) p(place)"""),
+        "audited_writes": sql("""SELECT module, 'SUCCESS' AS status, CAST(CASE module
+              WHEN 'append' THEN COUNT(*) FILTER (order_status <> 'shipped') WHEN 'nothing' THEN 0
+              WHEN 'refresh' THEN COUNT(*) ELSE (SELECT COUNT(*) FROM src_orders
+                WHERE year(order_purchase_timestamp) IN (SELECT year(order_purchase_timestamp)
+                  FROM src_orders WHERE order_status = 'shipped')) END AS VARCHAR) AS records_processed,
+            COUNT(*) FILTER (order_status = 'shipped') AS sent
+          FROM src_orders, (VALUES ('append'), ('refresh'), ('nothing'), ('merge')) m(module) GROUP BY module"""),
+        "inferred_products": sql("""SELECT later, CAST(SUM(product_id) AS BIGINT) AS ids,
+            CAST(SUM(product_weight_g) AS BIGINT) AS grams,
+            CASE WHEN later THEN SUM(product_weight_g / 8.0e0) END AS ratings, COUNT(product_name) AS names,
+            'int,string,int,double' AS kinds
+          FROM src_products, (VALUES (TRUE), (FALSE)) p(later) GROUP BY later"""),
+        "stream_row_ids": sql("""SELECT COUNT(*) AS n_rows, COUNT(*) AS n_ids, COUNT(*) AS n_named,
+            COUNT(*) AS n_times FROM src_items"""),
         "payments_cleaned": sql(_CLEAN_PAYMENTS),
         "stream_ingest_payments": sql(_CLEAN_PAYMENTS),
         "products_quarantine": sql("""SELECT product_id, product_category_name, product_name,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -17,12 +18,12 @@ from shopgrain.operators.merge import (
 )
 from shopgrain.operators.quality import frequency, required, tag_rows
 from shopgrain.plans import catalogue, cleaned, partners, sales
-from shopgrain.plans.monitoring import run_report
+from shopgrain.plans.monitoring import audit_events, run_report
 from shopgrain.schemas import feed_schema, table_schema
 from shopgrain.session import scratch_path, stored
 from shopgrain.sources import marks, tables
 from shopgrain.sources.dimensions import category_translations
-from shopgrain.sources.files import CORRUPT, read_file_stream
+from shopgrain.sources.files import CORRUPT, evolve, infer_schema, read_file_stream, with_ingest_meta
 from shopgrain.streaming import feeds
 from shopgrain.streaming.latest import compact, read_latest, start_latest
 from shopgrain.streaming.sinks import run_to_end, start_append
@@ -535,6 +536,102 @@ def orders_table_marks(spark, sf):
     return spark.table(name)
 
 
+def _table(spark, kind):
+    return f"{kind}_{abs(hash(scratch_path(spark, 'x')))}"
+
+
+@_query
+def table_refreshed(spark, sf):
+    """Two stored summaries replaced twice, the second time from what they hold; one is partitioned."""
+    payments, flat, split = feed(spark, sf, "src_payments"), _table(spark, "flat"), _table(spark, "split")
+    kinds = payments.groupBy("payment_type", "payment_installments").agg(F.count("*").alias("n"))
+    for name, parts in ((flat, []), (split, ["payment_type"])):
+        tables.refresh(kinds.filter("payment_type = 'pix'"), name, partition_by=parts)
+        more = spark.table(name).unionByName(kinds.filter("payment_type <> 'pix'"))
+        tables.refresh(more, name, partition_by=parts)
+        tables.refresh(spark.table(name).withColumn("n", F.col("n") * 2), name, partition_by=parts)
+    return spark.table(flat).withColumn("place", F.lit("flat")).unionByName(
+        spark.table(split).withColumn("place", F.lit("split"))
+    )
+
+
+@_query
+def table_evolved(spark, sf):
+    """A table and a folder of files that gain a column with the second append."""
+    products, name, path = feed(spark, sf, "src_products"), _table(spark, "evolved"), scratch_path(spark, "evolved")
+    old = products.filter("product_category_name = 'automotivo'").select("product_id", "product_name")
+    new = products.filter("product_category_name <> 'automotivo'").select(
+        "product_weight_g", "product_name", "product_id"
+    )
+    for rows in (old, new):
+        tables.append(rows, name)
+        tables.append_evolving(rows, path)
+    cols = ["product_id", "product_name", "product_weight_g"]
+    found = spark.table(name).select(*cols).withColumn("place", F.lit("table"))
+    return found.unionByName(
+        tables.read_evolving(spark, path).select(*cols).withColumn("place", F.lit("files"))
+    )
+
+
+@_query
+def audited_writes(spark, sf):
+    """The rows that an append, a refresh and a merge say they wrote, logged as events of one run."""
+    name = _table(spark, "audited")
+    orders = feed(spark, sf, "src_orders").select(
+        "order_id", "order_status", F.date_format("order_purchase_timestamp", "yyyy").alias("year")
+    )
+    shipped = orders.filter("order_status = 'shipped'")
+    steps = {
+        "append": lambda: tables.append(orders.filter("order_status <> 'shipped'"), name, partition_by=["year"]),
+        "refresh": lambda: tables.refresh(orders, name, partition_by=["year"]),
+        "nothing": lambda: tables.append(orders.filter("order_id < 0"), name),
+        "merge": lambda: tables.merge_partitions(
+            shipped.withColumn("order_status", F.lit("sent")), name, ["order_id"], "year", upsert_all
+        ),
+    }
+    at = datetime.fromisoformat(AS_OF)
+    events = [
+        ("run", at, step, "SUCCESS", str(write()), None, 1.0) for step, write in steps.items()
+    ]
+    log = audit_events(spark, events).select("module", "status", "records_processed")
+    sent = spark.table(name).filter("order_status = 'sent'").count()
+    return log.withColumn("sent", F.lit(sent))
+
+
+@_query
+def inferred_products(spark, sf):
+    """A CSV feed read with the types that all its landed lines fit, and a column that came later."""
+    products = feed(spark, sf, "src_products").select("product_id", "product_name", "product_weight_g")
+    path = _land(spark, sf, "inferred", "csv", products)
+    first = infer_schema(spark, path)
+    more = products.withColumn("product_rating", F.col("product_weight_g") / 8)
+    more.write.mode("append").option("header", "true").csv(path + "-later")
+    schema = evolve(first, infer_schema(spark, path + "-later"))
+    found = None
+    for place in (path, path + "-later"):
+        raw = read_file_stream(spark, place, "csv", schema)
+        got = _streamed(spark, raw.drop(CORRUPT), "inferred_bronze").withColumn("later", F.lit(place != path))
+        found = got if found is None else found.unionByName(got)
+    kinds = ",".join(f.dataType.simpleString() for f in schema)
+    return found.groupBy("later").agg(
+        F.sum("product_id").alias("ids"), F.sum("product_weight_g").alias("grams"),
+        F.sum("product_rating").alias("ratings"), F.count("product_name").alias("names"),
+    ).withColumn("kinds", F.lit(kinds))
+
+
+@_query
+def stream_row_ids(spark, sf):
+    """Each row of a stream is named by its file and place there, so no two rows share an id."""
+    path = _land(spark, sf, "items")
+    raw = read_file_stream(spark, path, "parquet", feed_schema("order_items"), max_files=1)
+    out = _streamed(spark, with_ingest_meta(raw, source_file=True, row_id=True), "items_named")
+    named = F.col("_batch_id").startswith(F.concat("_source_file", F.lit("#")))
+    return out.agg(
+        F.count("*").alias("n_rows"), F.count_distinct("_batch_id").alias("n_ids"), F.count_if(named).alias("n_named"),
+        F.count("_ingestion_timestamp").alias("n_times"),
+    )
+
+
 # Ingestion.
 
 
