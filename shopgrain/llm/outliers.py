@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shopgrain.llm.common import SPACE_RUN, SPACES, discard, held, store
 
@@ -10,10 +10,15 @@ SYMBOLS = "#*$%&|<>"
 GRAM = 5  # words of a window
 STATS = ("s0", "s1", "s2", "s3")
 SUPPORT = 0.75  # share of a group's rows that its estimate rests on
-STEPS = 3  # concentration steps
+TOLERANCE = 1e-3  # least fall of a log-determinant for which another step is taken
 CUTOFF = 18.467  # 0.999 quantile of chi-squared with four degrees of freedom
-FLOOR = (0.04, 0.25, 0.5, 1.0)  # least variances of the transformed statistics
-LEAST_ROWS = 40  # smaller groups are judged by the estimate over all rows
+MIDDLE = 3.357  # its median
+# Least variances of the transformed statistics, for groups in which most rows are alike: a tenth in
+# word length, 2.6 symbols or repeated lines and 7.6 repeated words in a hundred reach the cutoff.
+LEAST = (0.01, 0.09, 0.09, 0.25)
+PRIOR_ROWS = 20  # rows that the estimate over all rows counts for in a group's estimate
+GRID = 4096  # cells of a quantile's grid for each factor of e
+PARTS = 64  # parts in which a group's sums are added up first
 
 
 def with_base(df: DataFrame, text_col: str = "text") -> DataFrame:
@@ -99,18 +104,61 @@ def transformed() -> list[Column]:
     ]
 
 
+def _lower() -> list[tuple[int, int]]:
+    return [(i, j) for i in range(len(STATS)) for j in range(i + 1)]
+
+
+def _least(i: int, j: int, value: Column) -> Column:
+    return F.greatest(value, F.lit(LEAST[i])) if i == j else value
+
+
 def _moments(rows: DataFrame) -> DataFrame:
-    """Mean and covariance per group, with the floor on the diagonal."""
-    d = range(len(STATS))
-    sums = rows.groupBy("g").agg(
-        F.count("*").alias("n"), *[F.avg(STATS[i]).alias(f"m{i}") for i in d],
-        *[F.avg(F.col(STATS[i]) * F.col(STATS[j])).alias(f"x{i}{j}") for i in d for j in d if j <= i],
+    """Mean and covariance per group, with the least variances on the diagonal.
+
+    Sums meet by (group, part) first: no task adds up a row from every map task of a large group.
+    """
+    names = {f"m{i}": F.col(c) for i, c in enumerate(STATS)}
+    names |= {f"x{i}{j}": F.col(STATS[i]) * F.col(STATS[j]) for i, j in _lower()}
+    parts = rows.withColumn("part", F.spark_partition_id() % PARTS).groupBy("g", "part").agg(
+        F.count("*").alias("n"), *[F.sum(v).alias(k) for k, v in names.items()]
     )
+    sums = parts.groupBy("g").agg(F.sum("n").alias("n"), *[F.sum(k).alias(k) for k in names])
+    means = sums.select("g", *[(F.col(k) / F.col("n")).alias(k) for k in names])
     cov = [
-        (F.col(f"x{i}{j}") - F.col(f"m{i}") * F.col(f"m{j}") + (FLOOR[i] if i == j else 0.0)).alias(f"c{i}{j}")
-        for i in d for j in d if j <= i
+        _least(i, j, F.col(f"x{i}{j}") - F.col(f"m{i}") * F.col(f"m{j}")).alias(f"c{i}{j}")
+        for i, j in _lower()
     ]
-    return sums.select("g", "n", *[f"m{i}" for i in d], *cov)
+    return means.select("g", *[f"m{i}" for i in range(len(STATS))], *cov)
+
+
+def _cell(value: Column) -> Column:
+    return F.round(F.signum(value) * F.log1p(F.abs(value)) * GRID).cast("long")
+
+
+def _uncell(cell: Column) -> Column:
+    return F.signum(cell) * F.expm1(F.abs(cell) / GRID)
+
+
+def _quantile(cells: DataFrame, keys: list[str], share: float) -> DataFrame:
+    """The ``cell`` at which ``share`` of the rows of each of ``keys`` is reached.
+
+    Rows are counted per cell of a logarithmic grid, which any number of tasks can do for one group;
+    what is added up in order is the counts of a group's cells, whose number the grid bounds.
+    """
+    counts = cells.groupBy(*keys, "cell").count()
+    group = Window.partitionBy(*keys)
+    upto = F.sum("count").over(group.orderBy("cell").rowsBetween(Window.unboundedPreceding, 0))
+    found = counts.withColumn("upto", upto).withColumn("total", F.sum("count").over(group))
+    return found.where(F.col("upto") >= share * F.col("total")).groupBy(*keys).agg(F.min("cell").alias("cell"))
+
+
+def _medians(rows: DataFrame, name: str, values: list[Column]) -> DataFrame:
+    """Per group, the medians of ``values`` as ``name``0, ``name``1 and so on."""
+    each = F.array(*[F.struct(F.lit(i).alias("i"), _cell(v).alias("cell")) for i, v in enumerate(values)])
+    found = _quantile(rows.select("g", F.inline(each)), ["g", "i"], 0.5)
+    return found.groupBy("g").agg(*[
+        F.max(F.when(F.col("i") == i, _uncell(F.col("cell")))).alias(f"{name}{i}") for i in range(len(values))
+    ])
 
 
 def _cholesky(est: DataFrame) -> DataFrame:
@@ -136,76 +184,108 @@ def _distance() -> Column:
     return sum((x * x for x in z), F.lit(0.0))
 
 
-def estimates(rows: DataFrame, steps: int = STEPS, support: float = SUPPORT) -> DataFrame:
-    """Per group ``g`` of ``rows`` (g, s0..s3): location, Cholesky factor and scale.
+def _names() -> list[str]:
+    lower = _lower()
+    return [*[f"m{i}" for i in range(len(STATS))], *[f"{x}{i}{j}" for x in "cl" for i, j in lower]]
+
+
+def estimates(rows: DataFrame, support: float = SUPPORT, tolerance: float = TOLERANCE) -> DataFrame:
+    """Per group ``g`` of ``rows`` (g, s0..s3): rows ``n``, location, covariance, Cholesky factor.
 
     Minimum covariance determinant by concentration steps from a deterministic start, the medians
     with the squared scaled median deviations: the share ``support`` of a group with the smallest
-    distances gives the next estimate, whose determinant is never larger. Quantiles are mergeable
-    sketches and moments are partial sums, so a group of any size is spread over all tasks; the
-    estimates are one row per group, read from a written table. The scale makes the median squared
-    distance that of chi-squared.
+    distances gives the next estimate. Steps go on for a group as long as its log-determinant falls
+    by more than ``tolerance``; the last that fell counts, and the least variances bound the fall.
+    Quantiles are counts on a grid and moments partial sums, so a group of any size is spread over
+    all tasks and runs over the same rows agree; the estimates are one row per group.
     """
     d = range(len(STATS))
-    mid = rows.groupBy("g").agg(
-        F.count("*").alias("n"), *[F.percentile_approx(STATS[i], 0.5).alias(f"m{i}") for i in d]
-    )
-    mid = store(mid, "medians")
-    away = rows.join(mid, "g").groupBy("g").agg(*[
-        F.percentile_approx(F.abs(F.col(STATS[i]) - F.col(f"m{i}")), 0.5).alias(f"a{i}") for i in d
-    ])
+    sizes = rows.groupBy("g", (F.spark_partition_id() % PARTS).alias("part")).count()
+    mid = _medians(rows, "m", [F.col(c) for c in STATS])
+    mid = store(mid.join(sizes.groupBy("g").agg(F.sum("count").alias("n")), "g"), "medians")
+    away = _medians(rows.join(mid, "g"), "a", [F.abs(F.col(STATS[i]) - F.col(f"m{i}")) for i in d])
     start = mid.join(away, "g").select(
         "g", "n", *[f"m{i}" for i in d],
         *[
-            ((1.4826 * F.col(f"a{i}")) ** 2 + FLOOR[i] if i == j else F.lit(0.0)).alias(f"c{i}{j}")
-            for i in d for j in d if j <= i
+            (_least(i, j, (1.4826 * F.col(f"a{i}")) ** 2) if i == j else F.lit(0.0)).alias(f"c{i}{j}")
+            for i, j in _lower()
         ],
     )
-    est = store(_cholesky(start), "estimate")
-    for _ in range(steps):
-        far = rows.join(est, "g").withColumn("far", _distance())
-        cut = store(
-            far.groupBy("g").agg(F.percentile_approx("far", support, 1000).alias("cut")), "cut"
+    # the start is no subset's estimate: whatever the first step finds replaces it
+    first = _cholesky(start).withColumn("logdet", F.lit(float("inf"))).withColumn("falls", F.lit(True))
+    est = store(first.select("g", "n", *_names(), "logdet", "falls"), "estimate")
+    discard(mid)
+    fell = F.coalesce(F.col("logdet") < F.col("before") - tolerance, F.lit(False))
+    while not est.where("falls").isEmpty():
+        far = rows.join(est.where("falls"), "g").select("g", *STATS, _cell(_distance()).alias("cell"))
+        cut = store(_quantile(far, ["g"], support).withColumnRenamed("cell", "cut"), "cut")
+        inner = far.join(cut, "g").where("cell <= cut")
+        next_one = _cholesky(_moments(inner.select("g", *STATS)))
+        held_one = est.select(
+            "g", "n", *[F.col(c).alias(f"{c}_") for c in _names()], F.col("logdet").alias("before")
+        )
+        after = held_one.join(next_one, "g", "left").select(
+            "g", "n", *[F.when(fell, F.col(c)).otherwise(F.col(f"{c}_")).alias(c) for c in _names()],
+            F.when(fell, F.col("logdet")).otherwise(F.col("before")).alias("logdet"), fell.alias("falls"),
         )
-        inner = far.select("g", *STATS, "far").join(cut, "g").where("far <= cut")
-        after = store(_cholesky(_moments(inner.select("g", *STATS))), "estimate")
+        after = store(after, "estimate")
         discard(est, cut)
         est = after
-    scale = rows.join(est, "g").groupBy("g").agg(
-        (F.greatest(F.percentile_approx(_distance(), 0.5, 1000) / 3.357, F.lit(1.0))).alias("scale")
+    return est.drop("falls", "logdet")
+
+
+def shrunk(est: DataFrame, rows: DataFrame, prior_rows: float = PRIOR_ROWS) -> DataFrame:
+    """``estimates`` drawn towards those of group 0 (all rows), with the ``scale`` of each.
+
+    A group of n rows keeps n / (n + ``prior_rows``) of its own location, covariance and scale, so
+    that a verdict does not jump with a group's size. The scale makes the median squared distance
+    that of chi-squared, but never raises a distance: where most rows are alike the least variances
+    are the measure. The overall estimate is one row, which the driver hands on.
+    """
+    whole = est.where("g = 0").first()
+    if whole is None:
+        return est.withColumn("scale", F.lit(1.0))
+    own = F.when(F.col("g") == 0, 1.0).otherwise(F.col("n") / (F.col("n") + prior_rows))
+    kept = [c for c in _names() if c[0] != "l"]
+    drawn = est.select(
+        "g", own.alias("own"), *[(own * F.col(c) + (1 - own) * F.lit(whole[c])).alias(c) for c in kept]
     )
-    return store(est.join(scale, "g"), "estimates")
+    drawn = store(_cholesky(drawn).select("g", "own", *_names()), "drawn")
+    far = rows.join(drawn, "g").select("g", _cell(_distance()).alias("cell"))
+    half = _quantile(far, ["g"], 0.5).select("g", (_uncell(F.col("cell")) / MIDDLE).alias("middle"))
+    half = store(half, "middle")
+    over_all = half.where("g = 0").first()["middle"]
+    scale = F.greatest(F.col("own") * F.col("middle") + (1 - F.col("own")) * over_all, F.lit(1.0))
+    out = store(drawn.join(half, "g").select("g", *_names(), scale.alias("scale")), "estimates")
+    discard(drawn, half)
+    return out
 
 
 def judge(
     df: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source",
-    cutoff: float = CUTOFF, least_rows: int = LEAST_ROWS,
+    cutoff: float = CUTOFF, prior_rows: float = PRIOR_ROWS,
 ) -> DataFrame:
     """``row`` (the input's columns), the base statistics, ``base_failed``, ``distance``, ``kept``.
 
     Rows that fail the base rules take no part in the estimates and are not kept. The others are
-    kept unless their scaled distance from their language's and source's estimate is above
-    ``cutoff`` (groups under ``least_rows`` rows: from the estimate over all rows). Null languages
-    and sources are groups like others; texts without words fail the base rules. An empty table
-    gives no rows.
+    kept unless their scaled distance from their language's and source's estimate, drawn towards the
+    one over all rows as if that were ``prior_rows`` more rows, is above ``cutoff``. Null languages
+    and sources are groups like others; texts without words fail the base rules; repeated rows count
+    each and get equal verdicts. ``distance`` is null where no row of a group passes the base rules.
+    An empty table gives no rows.
     """
     base = store(with_base(df, text_col).withColumn("base_failed", base_failed()), "base")
     group = F.xxhash64(F.lit(1), F.col(f"row.{lang_col}"), F.col(f"row.{source_col}"))
     # null and empty names must differ
     group = F.xxhash64(group, F.col(f"row.{lang_col}").isNull(), F.col(f"row.{source_col}").isNull())
     stats = base.where("NOT base_failed").select(group.alias("own"), *transformed())
-    sizes = stats.groupBy("own").count().where(F.col("count") >= least_rows)
-    sizes = store(sizes, "groups")
-    rows = stats.select(F.explode(F.array("own", F.lit(0).cast("long"))).alias("g"), *STATS)
-    large = sizes.select(F.col("own").alias("g")).union(
-        sizes.sparkSession.range(1).select(F.col("id").alias("g"))
+    rows = store(
+        stats.select(F.explode(F.array("own", F.lit(0).cast("long"))).alias("g"), *STATS), "statistics"
     )
-    est = estimates(rows.join(large, "g", "left_semi"))
-    judged = base.withColumn("own", group).join(
-        sizes.select("own", F.col("own").alias("g0")), "own", "left"
-    ).select(
-        "*", F.coalesce("g0", F.lit(0).cast("long")).alias("g"), *transformed()
-    ).join(est, "g", "left")
+    est = estimates(rows)
+    drawn = shrunk(est, rows, prior_rows)
+    discard(est, rows)
+    judged = base.select("*", group.alias("g"), *transformed()).join(drawn, "g", "left")
     distance = _distance() / F.col("scale")
     return judged.select(
         "row", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",

@@ -9,6 +9,7 @@ import public_tokenizers
 import pytest
 import tiktoken
 import xxhash
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from shopgrain.llm import imatch, outliers, simhash, substrings
@@ -224,19 +225,129 @@ def test_op5(spark, texts):
         assert not (row["base_failed"] and row["kept"])
 
 
+NAMES = "g long, s0 double, s1 double, s2 double, s3 double"
+
+
 def test_outliers_resist_a_contaminated_group(spark):
     """A fifth of a group far away shifts neither its location nor the verdicts."""
     rng = np.random.default_rng(2)
     near, far = rng.normal(0, 1, (800, 4)), rng.normal(9, 0.3, (200, 4))
-    rows = [(7, *map(float, r)) for r in np.vstack([near, far])]
-    df = spark.createDataFrame(rows, "g long, s0 double, s1 double, s2 double, s3 double")
-    est = outliers.estimates(df).first()
-    assert all(abs(est[f"m{i}"]) < 0.3 for i in range(4))
-    judged = df.join(outliers.estimates(df), "g").select("s0", (outliers._distance() / est["scale"]).alias("d"))
+    rows = [(0, *map(float, r)) for r in np.vstack([near, far])]
+    df = spark.createDataFrame(rows, NAMES)
+    est = outliers.shrunk(outliers.estimates(df), df)
+    assert all(abs(est.first()[f"m{i}"]) < 0.3 for i in range(4))
+    judged = df.join(est, "g").select("s0", (outliers._distance() / F.col("scale")).alias("d"))
     out = [r for r in judged.collect() if r["d"] > outliers.CUTOFF]
     assert sum(r["s0"] > 5 for r in out) == 200 and len(out) <= 205
 
 
+def on_grid(x):
+    return np.sign(x) * np.floor(np.abs(np.sign(x) * np.log1p(np.abs(x)) * outliers.GRID) + 0.5)
+
+
+def quantile(x, share):
+    return np.sort(on_grid(x), axis=0)[int(np.ceil(share * len(x))) - 1]
+
+
+def off_grid(cell):
+    return np.sign(cell) * np.expm1(np.abs(cell) / outliers.GRID)
+
+
+def squared(x, at, cov):
+    return np.einsum("ij,ij->i", (x - at) @ np.linalg.inv(cov), x - at)
+
+
+def determinant_estimate(x):
+    """Concentration steps in plain numpy."""
+    least = np.array(outliers.LEAST)
+    at = off_grid(quantile(x, 0.5))
+    cov = np.diag(np.maximum((1.4826 * off_grid(quantile(np.abs(x - at), 0.5))) ** 2, least))
+    best = np.inf
+    while True:
+        far = squared(x, at, cov)
+        some = x[on_grid(far) <= quantile(far, outliers.SUPPORT)]
+        mean = some.mean(0)
+        new = (some.T @ some) / len(some) - np.outer(mean, mean)
+        np.fill_diagonal(new, np.maximum(new.diagonal(), least))
+        if not np.linalg.slogdet(new)[1] < best - outliers.TOLERANCE:
+            return at, cov
+        at, cov, best = mean, new, np.linalg.slogdet(new)[1]
+
+
+def distances(groups):
+    """Scaled squared distances of each group's rows from its estimate drawn towards the one of all."""
+    every = np.vstack(list(groups.values()))
+    at0, cov0 = determinant_estimate(every)
+    scale0 = off_grid(quantile(squared(every, at0, cov0), 0.5)) / outliers.MIDDLE
+    out = {}
+    for g, x in groups.items():
+        own = len(x) / (len(x) + outliers.PRIOR_ROWS)
+        at, cov = determinant_estimate(x)
+        far = squared(x, own * at + (1 - own) * at0, own * cov + (1 - own) * cov0)
+        scale = own * off_grid(quantile(far, 0.5)) / outliers.MIDDLE + (1 - own) * scale0
+        out[g] = far / max(scale, 1.0)
+    return out
+
+
+def test_estimates_of_small_and_large_groups(spark):
+    """Sizes from one row on, groups of one value, of mostly one value, and wide ones."""
+    rng = np.random.default_rng(8)
+    groups = {}
+    for g, (size, spread) in enumerate([(1, 1), (2, 1), (5, 2), (30, 0), (60, 1), (700, 1.5)], 1):
+        x = np.abs(rng.normal(2, spread, (size, 4)) + rng.normal(0, 1, 4))
+        x[rng.random((size, 4)) < 0.5] = 0.0
+        x[: size // 10] += 6
+        groups[g] = x
+    rows = [(k, *map(float, r)) for g, x in groups.items() for r in x for k in (g, 0)]
+    df = spark.createDataFrame(rows, NAMES).repartition(5)
+    est = outliers.shrunk(outliers.estimates(df), df)
+    got = collections.defaultdict(list)
+    for r in df.join(est, "g").select("g", (outliers._distance() / F.col("scale")).alias("d")).collect():
+        got[r["g"]].append(r["d"])
+    for g, want in distances(groups).items():
+        assert np.allclose(sorted(got[g]), sorted(want), rtol=1e-6, atol=1e-9)
+
+
+def test_op5_verdicts(spark):
+    got = by_id(spark, "op5_quality_rules")
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang", "source").collect()
+    rows = collections.defaultdict(list)
+    for r in docs:
+        v = got[r["doc_id"]]
+        if not v["base_failed"]:
+            n = v["n_words"]
+            rate = [100 * v[c] / n for c in ("n_symbols", "n_dup_lines", "n_repeat_words")]
+            rows[r["lang"], r["source"]].append((r["doc_id"], np.log1p([v["word_chars"] / n, *rate])))
+    want = distances({g: np.array([x for _, x in some]) for g, some in rows.items()})
+    for g, some in rows.items():
+        for (i, _), far in zip(some, want[g], strict=True):
+            assert got[i]["distance"] == pytest.approx(far, rel=1e-6, abs=1e-9)
+            assert got[i]["kept"] == (far <= outliers.CUTOFF)
+
+
+def test_texts_far_out_in_one_statistic(spark, docs):
+    """Each of the four statistics alone can reject a text; a group of one is no refuge."""
+    rng = np.random.default_rng(6)
+
+    def words(n, size=5):
+        return ["".join(rng.choice(list("abcdefghij"), size)) for _ in range(n)]
+
+    def lines(parts):
+        return "\n".join(" ".join(parts[j : j + 5]) for j in range(0, len(parts), 5))
+
+    plain = [(i, lines(words(200))) for i in range(300)]
+    repeated = words(162)
+    odd = {
+        1000: lines(words(200, 16)), 1001: lines(words(200)) + " #" * 30,
+        1002: lines(words(200)) + "\nxy" * 20, 1003: lines(repeated + repeated[100:119] + words(19)),
+    }
+    df = docs(*plain, *odd.items())
+    apart = docs((2000, odd[1000]), (2001, plain[0][1])).withColumn("source", F.lit("rare"))
+    out = outliers.judge(df.union(apart)).select("row.doc_id", "base_failed", "kept").collect()
+    assert not any(r["base_failed"] for r in out)
+    assert {r["doc_id"] for r in out if not r["kept"]} == {*odd, 2000}
+
+
 def test_op6(spark, texts):
     got = by_id(spark, "op6_document_fingerprints")
     ids = sorted(texts)
