@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import (
-    ArrayType, BinaryType, IntegerType, LongType, StructField, StructType,
+    ArrayType, BinaryType, IntegerType, LongType, StringType, StructField, StructType,
 )
 
 from shopgrain.llm.common import per_batch
@@ -36,7 +36,8 @@ def encode(
     and, if asked for, ``spans`` (first character and the one after the last of each id).
 
     Each match of ``pattern`` is encoded by itself, without special tokens. Null is an empty text,
-    which has no ids. Each distinct match is encoded once per task.
+    which has no ids. Each distinct match is encoded once per task. Repeated rows get equal results;
+    an empty table gives no rows.
     """
     src = df.select(F.struct("*").alias("row"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
     out = StructType([
@@ -71,7 +72,8 @@ def encode(
 def decode(df: DataFrame, ranks: str, ids_col: str = "ids") -> DataFrame:
     """``row`` (the input's columns) and ``decoded``, the bytes of the ids; null stays null.
 
-    Bytes and not text: ids cut anywhere may begin or end inside a character. Unknown ids raise.
+    Bytes and not text: ids cut anywhere may begin or end inside a character (``decode_parts`` gives
+    text). Unknown ids raise. Repeated rows get equal results; an empty table gives no rows.
     """
     src = df.select(F.struct("*").alias("row"), F.col(ids_col).alias("i"))
     out = StructType([src.schema["row"], StructField("decoded", BinaryType())])
@@ -94,3 +96,34 @@ def decode(df: DataFrame, ranks: str, ids_col: str = "ids") -> DataFrame:
         return step
 
     return per_batch(src, make, out)
+
+
+def decode_parts(df: DataFrame, ranks: str, parts_col: str = "parts") -> DataFrame:
+    """``row`` (the input's columns) and ``texts``, the text of each of ``parts_col``.
+
+    The parts (an array of little-endian unsigned 32-bit ids as bytes) are consecutive pieces of one
+    sequence, cut at any id. A character cut in two goes whole to the part with its last byte, so
+    the texts joined are the text of the whole sequence. A null array stays null, an empty one has
+    no texts, a null part is an empty one; unknown ids raise. An empty table gives no rows.
+    """
+    src = df.select(F.struct("*").alias("row"), F.col(parts_col).alias("p"))
+    out = StructType([src.schema["row"], StructField("texts", ArrayType(StringType()))])
+
+    def make():
+        decoder = byte_decoder(ranks)
+
+        def step(batch: pa.RecordBatch) -> Iterable[pa.RecordBatch]:
+            coded = batch.column(1)
+            sizes = (sum(len(i.as_buffer()) for i in p.values if i.is_valid) if p.is_valid else 0 for p in coded)
+            for a, b in _parts(sizes):
+                done = [
+                    decoder.texts(np.frombuffer(i or b"", dtype="<u4").tolist() for i in p)
+                    if p is not None else None for p in coded.slice(a, b - a).to_pylist()
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(a, b - a), pa.array(done, pa.list_(pa.string()))], out.names
+                )
+
+        return step
+
+    return per_batch(src, make, out)

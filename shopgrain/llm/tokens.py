@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import codecs
 import re
 from collections.abc import Callable, Iterable, Iterator
 from functools import cache
@@ -183,13 +184,33 @@ class ByteEncoder:
 
 
 class ByteDecoder:
-    """Ids back to the bytes they stand for; an id may hold part of a character."""
+    """Ids to the characters of the vocabulary, and those back through the reversed byte table.
+
+    An id may hold part of a character only. ``decode`` gives bytes, which may then begin or end
+    inside one; ``texts`` holds an incomplete character back until the ids that complete it.
+    """
 
     def __init__(self, path: str) -> None:
-        self.bytes_of = {rank: token for token, rank in read_ranks(path).items()}
+        chars = byte_table()
+        self.shown = {rank: "".join(chars[b] for b in token) for token, rank in read_ranks(path).items()}
+        self.byte_of = np.zeros(0x200, dtype=np.uint8)
+        self.byte_of[list(map(ord, chars))] = np.arange(256, dtype=np.uint8)
 
     def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.bytes_of.__getitem__, ids))
+        shown = "".join(map(self.shown.__getitem__, ids))
+        return self.byte_of[np.frombuffer(shown.encode("utf-16-le"), dtype="<u2")].tobytes()
+
+    def texts(self, parts: Iterable[list[int]]) -> list[str]:
+        """The text of each of the consecutive ``parts`` of a sequence of ids, cut anywhere.
+
+        A character goes to the part that holds its last byte. Bytes that are no UTF-8, at the end
+        of the last part an incomplete character too, become U+FFFD.
+        """
+        reader = codecs.getincrementaldecoder("utf-8")("replace")
+        out = [reader.decode(self.decode(ids)) for ids in parts]
+        if out:
+            out[-1] += reader.decode(b"", final=True)
+        return out
 
 
 # One of each per Python worker: tasks that follow each other in a worker share what it remembers.

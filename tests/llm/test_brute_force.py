@@ -12,10 +12,10 @@ import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from shopgrain.llm import imatch, outliers, simhash, substrings
+from shopgrain.llm import bpe, imatch, outliers, simhash, substrings
 from shopgrain.llm.packing import plan, slots
 from shopgrain.llm.queries import QUERIES
-from shopgrain.llm.tokens import ByteDecoder, ByteEncoder, WordEncoder, read_ranks
+from shopgrain.llm.tokens import ByteDecoder, ByteEncoder, WordEncoder, byte_table, read_ranks
 
 SF = "/root/testdata/sf0.001"
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -225,6 +225,43 @@ def test_op5(spark, texts):
         assert not (row["base_failed"] and row["kept"])
 
 
+def test_bytes_through_the_table():
+    """Every byte has a character of its own, and every id decodes to the bytes of the file."""
+    chars = byte_table()
+    assert len(set(chars)) == 256 and max(map(ord, chars)) < 0x200
+    back = ByteDecoder(RANKS)
+    assert all(back.decode([rank]) == token for token, rank in read_ranks(RANKS).items())
+    assert back.decode([]) == b"" and back.texts([]) == []
+
+
+def test_ids_cut_inside_characters(spark):
+    own, back = ByteEncoder(RANKS, public_tokenizers.PATTERN), ByteDecoder(RANKS)
+    rng = np.random.default_rng(7)
+    signs = list("aé ß我中あ😀👍🏽𐍈1\nقلب")
+    rows, texts = [], []
+    for _ in range(300):
+        t = "".join(rng.choice(signs, rng.integers(0, 30)))
+        ids = np.frombuffer(own.encode(t), dtype="<u4")
+        cuts = np.sort(rng.integers(0, len(ids) + 1, 4))
+        rows.append(([p.tobytes() for p in np.split(ids, cuts)],))
+        texts.append(t)
+        single = back.texts([[i] for i in ids.tolist()])  # one id a part: many end inside a character
+        assert "".join(single) == t
+    assert any("" in back.texts([[i] for i in np.frombuffer(b"".join(r[0]), "<u4").tolist()]) for r in rows)
+    rows += [(None,), ([],), ([None],), ([rows[0][0][0][:0]],)]
+    df = spark.createDataFrame(rows, "parts array<binary>").repartition(3)
+    want = collections.Counter(texts)
+    got = [r for r in bpe.decode_parts(df, RANKS).collect()]
+    assert collections.Counter("".join(r["texts"]) for r in got if r["texts"] and len(r["texts"]) == 5) == want
+    assert sorted(len(r["texts"]) for r in got if r["texts"] is not None and len(r["texts"]) != 5) == [0, 1, 1]
+    assert sum(r["texts"] is None for r in got) == 1
+    half = own.encode("😀")[:4]
+    assert len(own.encode("😀")) > 4 or back.texts([np.frombuffer(half, "<u4").tolist()]) == ["😀"]
+    assert back.texts([[read_ranks(RANKS)["é".encode()[:1]]]]) == ["\ufffd"]
+    empty = spark.createDataFrame([], "parts array<binary>")
+    assert bpe.decode_parts(empty, RANKS).count() == 0
+
+
 NAMES = "g long, s0 double, s1 double, s2 double, s3 double"
 
 
