@@ -19,6 +19,7 @@ LEAST = (0.01, 0.09, 0.09, 0.25)
 PRIOR_ROWS = 20  # rows that the estimate over all rows counts for in a group's estimate
 GRID = 4096  # cells of a quantile's grid for each factor of e
 PARTS = 64  # parts in which a group's sums are added up first
+FEW_GROUPS = 50_000  # estimates that are broadcast: some 15 MB; more of them are joined by parts
 
 
 def with_base(df: DataFrame, text_col: str = "text") -> DataFrame:
@@ -112,6 +113,22 @@ def _least(i: int, j: int, value: Column) -> Column:
     return F.greatest(value, F.lit(LEAST[i])) if i == j else value
 
 
+def _in_parts(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("part", F.spark_partition_id() % PARTS)
+
+
+def _beside(rows: DataFrame, est: DataFrame, groups: int, how: str = "inner") -> DataFrame:
+    """``rows`` (g, part and more) with their group's row of ``est``.
+
+    A counted number of groups is broadcast up to ``FEW_GROUPS``. Beyond it a copy of each group's
+    row goes to every part, so that a group of any share of the rows is met in ``PARTS`` places.
+    """
+    if groups <= FEW_GROUPS:
+        return rows.join(F.broadcast(est), "g", how)
+    copies = est.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+    return rows.join(copies, ["g", "part"], how)
+
+
 def _moments(rows: DataFrame) -> DataFrame:
     """Mean and covariance per group, with the least variances on the diagonal.
 
@@ -119,7 +136,7 @@ def _moments(rows: DataFrame) -> DataFrame:
     """
     names = {f"m{i}": F.col(c) for i, c in enumerate(STATS)}
     names |= {f"x{i}{j}": F.col(STATS[i]) * F.col(STATS[j]) for i, j in _lower()}
-    parts = rows.withColumn("part", F.spark_partition_id() % PARTS).groupBy("g", "part").agg(
+    parts = rows.groupBy("g", "part").agg(
         F.count("*").alias("n"), *[F.sum(v).alias(k) for k, v in names.items()]
     )
     sums = parts.groupBy("g").agg(F.sum("n").alias("n"), *[F.sum(k).alias(k) for k in names])
@@ -200,10 +217,12 @@ def estimates(rows: DataFrame, support: float = SUPPORT, tolerance: float = TOLE
     all tasks and runs over the same rows agree; the estimates are one row per group.
     """
     d = range(len(STATS))
-    sizes = rows.groupBy("g", (F.spark_partition_id() % PARTS).alias("part")).count()
+    rows = _in_parts(rows)
+    sizes = rows.groupBy("g", "part").count()
     mid = _medians(rows, "m", [F.col(c) for c in STATS])
     mid = store(mid.join(sizes.groupBy("g").agg(F.sum("count").alias("n")), "g"), "medians")
-    away = _medians(rows.join(mid, "g"), "a", [F.abs(F.col(STATS[i]) - F.col(f"m{i}")) for i in d])
+    groups = mid.count()
+    away = _medians(_beside(rows, mid, groups), "a", [F.abs(F.col(STATS[i]) - F.col(f"m{i}")) for i in d])
     start = mid.join(away, "g").select(
         "g", "n", *[f"m{i}" for i in d],
         *[
@@ -217,10 +236,12 @@ def estimates(rows: DataFrame, support: float = SUPPORT, tolerance: float = TOLE
     discard(mid)
     fell = F.coalesce(F.col("logdet") < F.col("before") - tolerance, F.lit(False))
     while not est.where("falls").isEmpty():
-        far = rows.join(est.where("falls"), "g").select("g", *STATS, _cell(_distance()).alias("cell"))
+        far = _beside(rows, est.where("falls"), groups).select(
+            "g", "part", *STATS, _cell(_distance()).alias("cell")
+        )
         cut = store(_quantile(far, ["g"], support).withColumnRenamed("cell", "cut"), "cut")
-        inner = far.join(cut, "g").where("cell <= cut")
-        next_one = _cholesky(_moments(inner.select("g", *STATS)))
+        inner = _beside(far, cut, groups).where("cell <= cut")
+        next_one = _cholesky(_moments(inner.select("g", "part", *STATS)))
         held_one = est.select(
             "g", "n", *[F.col(c).alias(f"{c}_") for c in _names()], F.col("logdet").alias("before")
         )
@@ -251,7 +272,7 @@ def shrunk(est: DataFrame, rows: DataFrame, prior_rows: float = PRIOR_ROWS) -> D
         "g", own.alias("own"), *[(own * F.col(c) + (1 - own) * F.lit(whole[c])).alias(c) for c in kept]
     )
     drawn = store(_cholesky(drawn).select("g", "own", *_names()), "drawn")
-    far = rows.join(drawn, "g").select("g", _cell(_distance()).alias("cell"))
+    far = _beside(_in_parts(rows), drawn, drawn.count()).select("g", _cell(_distance()).alias("cell"))
     half = _quantile(far, ["g"], 0.5).select("g", (_uncell(F.col("cell")) / MIDDLE).alias("middle"))
     half = store(half, "middle")
     over_all = half.where("g = 0").first()["middle"]
@@ -285,7 +306,8 @@ def judge(
     est = estimates(rows)
     drawn = shrunk(est, rows, prior_rows)
     discard(est, rows)
-    judged = base.select("*", group.alias("g"), *transformed()).join(drawn, "g", "left")
+    placed = _in_parts(base.select("*", group.alias("g"), *transformed()))
+    judged = _beside(placed, drawn, drawn.count(), "left")
     distance = _distance() / F.col("scale")
     return judged.select(
         "row", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",

@@ -326,8 +326,11 @@ def distances(groups):
     return out
 
 
-def test_estimates_of_small_and_large_groups(spark):
-    """Sizes from one row on, groups of one value, of mostly one value, and wide ones."""
+@pytest.mark.parametrize("few", [outliers.FEW_GROUPS, 0])
+def test_estimates_of_small_and_large_groups(spark, monkeypatch, few):
+    """Sizes from one row on, groups of one value, of mostly one value, and wide ones; broadcast
+    estimates and joined ones."""
+    monkeypatch.setattr(outliers, "FEW_GROUPS", few)
     rng = np.random.default_rng(8)
     groups = {}
     for g, (size, spread) in enumerate([(1, 1), (2, 1), (5, 2), (30, 0), (60, 1), (700, 1.5)], 1):
