@@ -264,8 +264,8 @@ def shrunk(est: DataFrame, rows: DataFrame, prior_rows: float = PRIOR_ROWS) -> D
     are the measure. The overall estimate is one row, which the driver hands on.
     """
     whole = est.where("g = 0").first()
-    if whole is None:
-        return est.withColumn("scale", F.lit(1.0))
+    if whole is None:  # no rows; a table of its own, as the caller discards est
+        return store(est.select("g", *_names(), F.lit(1.0).alias("scale")), "estimates")
     own = F.when(F.col("g") == 0, 1.0).otherwise(F.col("n") / (F.col("n") + prior_rows))
     kept = [c for c in _names() if c[0] != "l"]
     drawn = est.select(
