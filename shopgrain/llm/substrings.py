@@ -7,13 +7,14 @@ from collections.abc import Iterable
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from shopgrain.llm.common import discard, per_batch, row_key, store, words_of
 
 WINDOW = 35  # words that must repeat
 SEED = 10  # words of a reference block's seed
+FACTOR = ["start", "length", "source", "place"]
 U = np.uint64
 
 
@@ -162,10 +163,13 @@ def _edge_windows(src: DataFrame, chosen: DataFrame, window: int, seed: int) ->
 
 
 def repeated_windows(src: DataFrame, window: int = WINDOW, seed: int = SEED) -> DataFrame:
-    """(k1, k2, spans): for each text with repeated windows, runs (start, windows) of their starts.
+    """(k1, k2, spans): for each text with repeated windows, runs (start, windows, source, place) of
+    their starts; the windows stand also at ``place`` of the text whose ``k1`` is ``source``.
 
     1. Index: every block of every document, by its seed's hash. Seeds that occur once drop out.
-    2. Whole blocks that occur more than once are factors: all their windows are repeated.
+    2. Whole blocks that occur more than once are factors: all their windows are repeated. The index
+       names the first and the last place of each; the source is the first, for the first itself the
+       last. Places are in one order throughout, so blocks in a row tend to have sources in a row.
     3. Factor boundaries: where a seed occurs in different blocks, one occurrence of each lists its
        windows, and windows of equal hash are counted, a block with its number of copies.
     Rows grow with the blocks and boundaries, not with pairs of copies; counts are partial before
@@ -176,11 +180,12 @@ def repeated_windows(src: DataFrame, window: int = WINDOW, seed: int = SEED) ->
     again = store(blocks.groupBy("seed").count().where("count > 1").select("seed"), "seeds")
     found = store(blocks.join(again, "seed", "left_semi"), "candidates")
     discard(blocks, again)
+    order = _order("start")
     kinds = store(
         found.groupBy("seed", "block").agg(
-            F.count("*").alias("copies"), F.first("k1").alias("k1"), F.first("k2").alias("k2"),
-            F.first("start").alias("start"), F.first("n").alias("n"),
-        ),
+            F.count("*").alias("copies"), F.max("n").alias("n"), F.min_by("k2", order).alias("k2"),
+            *_ends(order),
+        ).withColumns({"k1": F.col("first_text"), "start": _start("first_place")}),
         "kinds",
     )
     mixed = store(
@@ -189,25 +194,81 @@ def repeated_windows(src: DataFrame, window: int = WINDOW, seed: int = SEED) ->
     edges = store(kinds.join(mixed, "seed", "left_semi"), "edge-blocks")
     listed = store(_edge_windows(src, edges, window, seed), "edge-windows")
     twice = store(
-        listed.groupBy("seed", "whash").agg(F.sum("copies").alias("total")).where("total > 1")
-        .select("seed", "whash"),
+        listed.groupBy("seed", "whash")
+        .agg(F.sum("copies").alias("total"), *_ends(_order(F.col("start") + F.col("at"))))
+        .where("total > 1").drop("total"),
         "repeated-windows",
     )
-    whole = store(kinds.where("copies > 1").select("seed", "block"), "factors")
-    runs = found.join(whole, ["seed", "block"], "left_semi").select("k1", "k2", "start", "n")
+    whole = store(
+        kinds.where("copies > 1").select("seed", "block", *ENDS), "factors"
+    )
+    runs = found.join(whole, ["seed", "block"])
     single = (
-        listed.where("copies = 1").join(twice, ["seed", "whash"], "left_semi")
-        .select("k1", "k2", (F.col("start") + F.col("at")).alias("start"), F.lit(1).alias("n"))
+        listed.where("copies = 1").join(twice, ["seed", "whash"])
+        .withColumns({"start": F.col("start") + F.col("at"), "n": F.lit(1)})
     )
+    run = ["k1", "k2", "start", "n", *_source()]
     spans = store(
-        runs.union(single).groupBy("k1", "k2")
-        .agg(F.collect_list(F.struct("start", "n")).alias("spans")),
+        runs.select(*run).union(single.select(*run)).groupBy("k1", "k2")
+        .agg(F.collect_set(F.struct("start", "n", "source", "place")).alias("spans")),
         "spans",
     )
     discard(found, kinds, mixed, edges, listed, twice, whole)
     return spans
 
 
+ENDS = ["first_text", "first_place", "last_text", "last_place"]
+
+
+def _order(start: str | Column) -> Column:
+    """One number for a place: the text's hash above, the start in the low 31 bits."""
+    return F.col("k1").bitwiseAND(~0x7FFFFFFF).bitwiseOR(
+        (F.col(start) if isinstance(start, str) else start).cast("long")
+    )
+
+
+def _start(place: str) -> Column:
+    return F.col(place).bitwiseAND(0x7FFFFFFF).cast("int")
+
+
+def _ends(order: Column) -> list[Column]:
+    """The first and the last place by ``order``, as numbers only, so that they are hash-aggregated."""
+    return [
+        F.min_by("k1", order).alias("first_text"), F.min(order).alias("first_place"),
+        F.max_by("k1", order).alias("last_text"), F.max(order).alias("last_place"),
+    ]
+
+
+def _source() -> list[Column]:
+    own = (F.col("k1") == F.col("first_text")) & (F.col("start") == _start("first_place"))
+    return [
+        F.when(own, F.col("last_text")).otherwise(F.col("first_text")).alias("source"),
+        F.when(own, _start("last_place")).otherwise(_start("first_place")).alias("place"),
+    ]
+
+
+def parse_factors(
+    start: np.ndarray, n: np.ndarray, source: np.ndarray, place: np.ndarray, window: int
+) -> list[dict]:
+    """Factors from left to right: each is prolonged over the runs that follow it without a gap as long
+    as its source goes on at the same distance. ``length`` words from ``start`` on equal those of the
+    text ``source`` from ``place`` on. Neighbours share up to ``window - 1`` words at their boundary:
+    the windows across it are repeated too, or the next factor would not begin there."""
+    order = np.argsort(start, kind="stable")
+    start, n, source, place = (x[order].astype(np.int64) for x in (start, n, source, place))
+    goes_on = (
+        (start[1:] == start[:-1] + n[:-1]) & (source[1:] == source[:-1])
+        & (place[1:] - start[1:] == place[:-1] - start[:-1])
+    )
+    first = np.flatnonzero(np.concatenate([[True], ~goes_on]))
+    last = np.append(first[1:], len(start)) - 1
+    length = start[last] + n[last] + window - 1 - start[first]
+    return [
+        {"start": a, "length": m, "source": s, "place": p}
+        for a, m, s, p in zip(*(x.tolist() for x in (start[first], length, source[first], place[first])))
+    ]
+
+
 def merge_spans(start: np.ndarray, n: np.ndarray, window: int) -> list[tuple[int, int]]:
     """Word ranges covered by the windows; ranges that touch or overlap become one factor."""
     order = np.argsort(start, kind="stable")
@@ -222,11 +283,13 @@ def drop_repeated_passages(
     df: DataFrame, text_col: str = "text", id_col: str = "doc_id", window: int = WINDOW,
     seed: int = SEED, tidy: bool = True,
 ) -> DataFrame:
-    """``row`` (the input's columns), ``kept``, ``n_words``, ``n_removed``, ``factors``.
+    """``row`` (the input's columns), ``key``, ``kept``, ``n_words``, ``n_removed``, ``factors``.
 
     Each word goes that is covered by a window of ``window`` words whose sequence also starts
-    anywhere else, in the same text too; windows are judged on the input. ``factors`` lists the
-    removed word ranges. ``kept`` has the remaining words joined by one space; with ``tidy=False``
+    anywhere else, in the same text too; windows are judged on the input. ``factors`` lists
+    the copied word ranges (start, length, source, place): the same words stand at ``place`` of the row
+    whose ``key`` is ``source``. Every removed word is in one. A row that occurs only as repeats of
+    itself is its own source. ``kept`` has the remaining words joined by one space; with ``tidy=False``
     a text that loses nothing stays as it is. Null and short texts lose nothing (null: no words).
     Repeated rows are copies of each other like any others. An empty table gives no rows.
     """
@@ -239,38 +302,38 @@ def drop_repeated_passages(
     def make():
         def step(batch: pa.RecordBatch) -> Iterable[pa.RecordBatch]:
             kept, total, gone, factors = [], [], [], []
-            for text, runs in zip(batch.column(1), batch.column(2)):
+            for text, runs in zip(batch.column(2), batch.column(3)):
                 text = text.as_py()
-                words, cut = words_of(text), []
+                words, cut, found = words_of(text), [], []
                 if runs.is_valid:
-                    cut = merge_spans(
-                        *(runs.values.field(j).to_numpy(zero_copy_only=False) for j in (0, 1)), window
-                    )
+                    columns = [runs.values.field(j).to_numpy(zero_copy_only=False) for j in range(4)]
+                    cut = merge_spans(*columns[:2], window)
+                    found = parse_factors(*columns, window)
                 total.append(len(words))
                 gone.append(sum(b - a for a, b in cut))
-                factors.append([{"start": a, "length": b - a} for a, b in cut])
+                factors.append(found)
                 if not cut and not tidy:
                     kept.append(text)
                     continue
                 for a, b in reversed(cut):
                     del words[a:b]
                 kept.append(b" ".join(words).decode("utf-8", "surrogatepass"))
-            kind = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())]))
+            kind = pa.list_(pa.struct([(name, pa.int64()) for name in FACTOR]))
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0), pa.array(kept, pa.string()), pa.array(total, pa.int64()),
+                    batch.column(0), batch.column(1), pa.array(kept, pa.string()), pa.array(total, pa.int64()),
                     pa.array(gone, pa.int64()), pa.array(factors, kind),
                 ],
-                ["row", "kept", "n_words", "n_removed", "factors"],
+                ["row", "key", "kept", "n_words", "n_removed", "factors"],
             )
 
         return step
 
     rows = df.select(F.struct("*").alias("row"), *keys, F.col(text_col).cast("string").alias("t"))
-    joined = rows.join(spans, ["k1", "k2"], "left").select("row", "t", "spans")
-    factor = StructType([StructField("start", LongType()), StructField("length", LongType())])
+    joined = rows.join(spans, ["k1", "k2"], "left").select("row", F.col("k1").alias("key"), "t", "spans")
+    factor = StructType([StructField(name, LongType()) for name in FACTOR])
     out = StructType([
-        joined.schema["row"], StructField("kept", StringType()), StructField("n_words", LongType()),
+        joined.schema["row"], joined.schema["key"], StructField("kept", StringType()), StructField("n_words", LongType()),
         StructField("n_removed", LongType()), StructField("factors", ArrayType(factor)),
     ])
     return per_batch(joined, make, out)

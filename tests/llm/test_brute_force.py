@@ -72,6 +72,34 @@ def test_substrings_of_dense_repeats(spark, docs, window, seed):
     assert got == removed(made, window)
 
 
+@pytest.mark.parametrize("window,seed", [(3, 1), (5, 2)])
+def test_factors_are_copies_of_their_source(spark, docs, window, seed):
+    """Copied from its source, each factor gives the text's own words; they cover what is removed."""
+    rng = np.random.default_rng(window)
+    base = [f"w{i}" for i in range(400)]
+    made = {}
+    for i in range(40):
+        cuts = [base[a : a + rng.integers(1, 30)] for a in rng.integers(0, 380, 6)]
+        made[i] = " ".join(x for cut in cuts for x in [*cut, f"own{i}"])
+    made |= {100: made[0], 101: made[0], 102: made[1] + " " + made[1], 103: None, 104: ""}
+    texts = [*made.items(), (100, made[0])]
+    rows = substrings.drop_repeated_passages(docs(*texts), window=window, seed=seed).collect()
+    words = {r["key"]: (r["row"]["text"] or "").split() for r in rows}
+    elsewhere = 0
+    for r in rows:
+        own, covered = words[r["key"]], set()
+        assert [f["start"] for f in r["factors"]] == sorted(f["start"] for f in r["factors"])
+        for f in r["factors"]:
+            a, m, p = f["start"], f["length"], f["place"]
+            assert m >= window and own[a : a + m] == words[f["source"]][p : p + m]
+            elsewhere += (f["source"], p) != (r["key"], a)
+            covered.update(range(a, a + m))
+        assert len(covered) == r["n_removed"]
+    assert elsewhere > 40
+    whole = next(r for r in rows if r["row"]["doc_id"] == 101)
+    assert len(whole["factors"]) < 20
+
+
 def groups(prints):
     ids = sorted(prints)
     root = {i: i for i in ids}
