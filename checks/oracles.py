@@ -453,6 +453,7 @@ def oracle_sql() -> dict[str, str]:
             AS customer_sk, customer_id, version, is_current FROM ({_HISTORY})"""),
         "daily_sales": daily,
         "daily_sales_order_grain": _daily(False),
+        "daily_sales_bucketed": daily,
         "daily_sales_incremental": sql_over(daily, f"""SELECT * EXCLUDE (_processed_timestamp),
             CASE WHEN CAST(report_date AS DATE) >= CAST(({day_mark}) AS DATE)
               THEN '{AS_OF} 00:00:00' ELSE '{CUT} 00:00:00' END AS _processed_timestamp"""),
@@ -546,6 +547,13 @@ def oracle_sql() -> dict[str, str]:
         "stream_ingest_items": sql(_ENRICHED),
         "stream_ingest_orders": sql(f"""SELECT * EXCLUDE (_ingestion_timestamp, {', '.join(_TIMES)}),
             {txt(*_TIMES)}, TRUE AS from_file FROM src_orders"""),
+        "stream_late_orders": sql("""SELECT batch, COUNT(*) AS rows, COUNT(*) AS written,
+            COUNT(*) FILTER (batch = 2 AND bought < newest - INTERVAL '24' HOUR) AS late_rows,
+            CAST(CASE batch WHEN 0 THEN MAX(bought) ELSE MAX(newest) END AS VARCHAR) AS mark
+          FROM (SELECT order_purchase_timestamp AS bought, MAX(order_purchase_timestamp) OVER () AS newest,
+            CASE WHEN YEAR(order_purchase_timestamp) < 1996 THEN 0
+              WHEN YEAR(order_purchase_timestamp) > 1997 THEN 1 ELSE 2 END AS batch FROM src_orders)
+          GROUP BY batch"""),
         "stream_dedup_customers": sql(f"""SELECT {_CUSTOMER}, {txt('customer_created_at')},
             CAST(updated_at AS VARCHAR) AS _last_updated FROM customer_versions"""),
         "stream_latest_customers": sql(f"""SELECT {_CUSTOMER}, {txt('customer_created_at')},

@@ -25,6 +25,7 @@ from shopgrain.sources import marks, tables
 from shopgrain.sources.dimensions import category_translations
 from shopgrain.sources.files import CORRUPT, evolve, infer_schema, read_file_stream, with_ingest_meta
 from shopgrain.streaming import feeds
+from shopgrain.streaming.lateness import read_counted, read_counts, start_counted
 from shopgrain.streaming.latest import compact, read_latest, start_latest
 from shopgrain.streaming.sinks import run_to_end, start_append
 
@@ -514,6 +515,30 @@ def orders_table_merge(spark, sf):
     return spark.table(name)
 
 
+@_query
+def daily_sales_bucketed(spark, sf):
+    """Daily sales over tables stored by order, the orders merged and the others appended to in a second load."""
+    orders, items, payments = _orders(spark, sf), _items(spark, sf), _payments(spark, sf)
+    by_order, cut = (8, ["order_id"]), F.lit(CUT).cast("timestamp")
+    names = [_table(spark, f"bucketed_{kind}") for kind in ("orders", "items", "payments")]
+    tables.ensure_table(
+        spark, names[0], "orders_silver", scratch_path(spark, "bucketed_orders"), buckets=by_order
+    )
+    old = F.col("order_purchase_timestamp") <= cut
+    tables.append(
+        tables.conform(orders.filter(old), "orders_silver").withColumn("order_status", F.lit("old")), names[0]
+    )
+    tables.merge_partitions(
+        tables.conform(orders, "orders_silver"), names[0], ["order_id"], "order_year_month", upsert_all
+    )
+    for rows, name, first in (
+        (items, names[1], F.col("shipping_limit_date") <= cut), (payments, names[2], F.col("order_id") % 2 == 0),
+    ):
+        tables.append(rows.filter(first), name, buckets=by_order)
+        tables.append(rows.filter(~F.coalesce(first, F.lit(False))), name)
+    return sales.daily_sales(*[spark.table(name) for name in names], as_of=AS_OF)
+
+
 @_query
 def orders_table_marks(spark, sf):
     """The change feed taken into a stored table in three runs by a durable mark; the last finds nothing."""
@@ -688,6 +713,21 @@ def stream_ingest_orders(spark, sf):
     )
 
 
+@_query
+def stream_late_orders(spark, sf):
+    """Orders of three spans of years, the middle one last; how many rows each batch had and how many came
+    more than a day behind the latest order before the batch."""
+    schema = feed_schema("orders")
+    landing, out, counts, checkpoint = (scratch_path(spark, f"late_{x}") for x in ("in", "out", "counts", "checkpoint"))
+    rows, year = feed(spark, sf, "src_orders").select(*schema.fieldNames()), F.year("order_purchase_timestamp")
+    for span in (year < 1996, year > 1997, year.between(1996, 1997)):
+        rows.filter(span).write.mode("append").parquet(landing)
+        raw = read_file_stream(spark, landing, "parquet", schema, max_files=1000)
+        run_to_end(start_counted(feeds.ingest_orders(raw), out, checkpoint, "order_purchase_timestamp", counts))
+    written = read_counted(spark, out, schema).groupBy("batch").agg(F.count("*").alias("written"))
+    return read_counts(spark, counts).join(written, "batch").select("batch", "rows", "late_rows", "mark", "written")
+
+
 @_query
 def stream_dedup_customers(spark, sf):
     """Both customer loads, the second sent twice; the copies are dropped."""

@@ -7,6 +7,7 @@ ends it or drops it.
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable, Iterable, Sequence
 
@@ -19,6 +20,7 @@ from shopgrain.operators.merge import upsert
 from shopgrain.schemas import TABLES, table_schema
 from shopgrain.session import scratch_root, stored
 
+Buckets = tuple[int, Sequence[str]]  # number of buckets, columns
 FEW = 1000  # partition names that are listed in a filter or dropped by one statement
 
 
@@ -29,12 +31,23 @@ def ensure_namespaces(spark: SparkSession, names: Iterable[str], use: str | None
         spark.sql(f"USE `{use}`")
 
 
-def ensure_table(spark: SparkSession, name: str, contract: str, location: str | None = None) -> None:
-    """Create ``name`` with the columns and partitioning of a contract unless it exists."""
+def ensure_table(
+    spark: SparkSession, name: str, contract: str, location: str | None = None, *,
+    buckets: Buckets | None = None,
+) -> None:
+    """Create ``name`` with the columns and partitioning of a contract unless it exists.
+
+    ``buckets`` (number, columns) stores the rows by hash of the columns, sorted by them. Tables with the same
+    number by the same key are joined and grouped by it without moving either; every write here keeps
+    the layout, merges too. All rows of a key are in one bucket, which one task reads: take it for keys
+    of which none holds a large share, and a number for the largest partition.
+    """
     columns, partitions = TABLES[contract]
     parts = f" PARTITIONED BY ({', '.join(partitions)})" if partitions else ""
     place = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet{parts}{place}")
+    by = ", ".join(f"`{c}`" for c in buckets[1]) if buckets else ""
+    laid = f" CLUSTERED BY ({by}) SORTED BY ({by}) INTO {buckets[0]} BUCKETS" if buckets else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet{parts}{laid}{place}")
 
 
 def existing(spark: SparkSession, name: str) -> DataFrame | None:
@@ -60,19 +73,22 @@ def conform(df: DataFrame, contract: str, fill: Sequence[str] | None = None) ->
     )
 
 
-def append(df: DataFrame, name: str, *, partition_by: Sequence[str] = ()) -> int:
+def append(
+    df: DataFrame, name: str, *, partition_by: Sequence[str] = (), buckets: Buckets | None = None
+) -> int:
     """Append by column name and return the number of rows written. A new table is created with
-    ``partition_by``; columns the table does not have yet are added to it, NULL in older rows."""
+    ``partition_by`` and ``buckets`` (see ``ensure_table``); columns the table does not have yet are added to it, NULL in older rows."""
     spark = df.sparkSession
     if not spark.catalog.tableExists(name):
-        return _counted(df, lambda d: _writer(d, partition_by).saveAsTable(name))
+        return _counted(df, lambda d: _writer(d, partition_by, buckets).saveAsTable(name))
     known = set(spark.table(name).columns)
     new = [f for f in df.schema.fields if f.name not in known]
     if new:
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
         spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({columns})")
     rows = df.select(*spark.table(name).columns)
-    return _counted(rows, lambda d: _sized(d, _partitions(spark, name)).write.insertInto(name))
+    parts, laid = _partitions(spark, name), _buckets(spark, name)
+    return _counted(rows, lambda d: _sized(d, parts, laid).write.insertInto(name))
 
 
 def append_evolving(df: DataFrame, path: str, *, partition_by: Sequence[str] = ()) -> None:
@@ -85,26 +101,29 @@ def read_evolving(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", "true").parquet(path)
 
 
-def refresh(df: DataFrame, name: str, *, partition_by: Sequence[str] = ()) -> int:
+def refresh(
+    df: DataFrame, name: str, *, partition_by: Sequence[str] = (), buckets: Buckets | None = None
+) -> int:
     """Replace a table's rows, and its columns where they differ; returns the number of rows.
 
     The new state may be computed from the old one. A table without partitions gets a new folder, and
     its location is then moved there in one step: a reader sees the old or the new state, never less. The
-    folder before stays for readers that have listed it, until the next refresh. Of a partitioned
-    table the new state is stored whole, then written over the old one; a stop in between is ended
+    folder before stays for readers that have listed it, until the next refresh. Of a partitioned or
+    bucketed table the new state is stored whole, then written over the old one; a stop in between is ended
     by the next write or ``recover``.
     """
     spark = df.sparkSession
     if not spark.catalog.tableExists(name):
-        return _counted(df, lambda d: _writer(d, partition_by).saveAsTable(name))
+        return _counted(df, lambda d: _writer(d, partition_by, buckets).saveAsTable(name))
     recover(spark, name)
-    table, parts = spark.table(name), _partitions(spark, name)
+    table, parts, laid = spark.table(name), _partitions(spark, name), _buckets(spark, name)
     if {(f.name, f.dataType) for f in table.schema} != {(f.name, f.dataType) for f in df.schema}:
         return _counted(
-            stored(df, "refresh"), lambda d: _writer(d, partition_by).mode("overwrite").saveAsTable(name)
+            stored(df, "refresh"),
+            lambda d: _writer(d, partition_by, buckets or laid).mode("overwrite").saveAsTable(name),
         )
     new = df.select(*table.columns)
-    if not parts:
+    if not parts and not laid:
         return _swap(new, name)
     new.write.parquet(f"{_intent(spark, name)}/all")
     return recover(spark, name)
@@ -283,7 +302,8 @@ def _reread(df: DataFrame, spark: SparkSession) -> DataFrame:
 
 
 def _overwrite(df: DataFrame, name: str, partitions: Sequence[str], caller: SparkSession) -> int:
-    written = _counted(df, lambda d: _sized(d, partitions).write.insertInto(name, overwrite=True))
+    laid = _buckets(caller, name)
+    written = _counted(df, lambda d: _sized(d, partitions, laid).write.insertInto(name, overwrite=True))
     caller.catalog.refreshTable(name)  # it has listed the files before
     return written
 
@@ -304,12 +324,30 @@ def _partitions(spark: SparkSession, name: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
 
 
-def _writer(df: DataFrame, partition_by: Sequence[str]):
-    writer = _sized(df, partition_by).write.format("parquet")
+def _buckets(spark: SparkSession, name: str) -> Buckets | None:
+    """(number, columns) of a bucketed table."""
+    wanted = ("Num Buckets", "Bucket Columns")
+    found = dict(
+        spark.sql(f"DESCRIBE FORMATTED {name}").filter(F.col("col_name").isin(*wanted))
+        .select("col_name", "data_type").collect()
+    )
+    if not found:
+        return None
+    return int(found["Num Buckets"]), re.findall("`([^`]+)`", found["Bucket Columns"])
+
+
+def _writer(df: DataFrame, partition_by: Sequence[str], buckets: Buckets | None = None):
+    writer = _sized(df, partition_by, buckets).write.format("parquet")
+    if buckets:
+        writer = writer.bucketBy(buckets[0], *buckets[1]).sortBy(*buckets[1])
     return writer.partitionBy(*partition_by) if partition_by else writer
 
 
-def _sized(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+def _sized(df: DataFrame, partition_by: Sequence[str], buckets: Buckets | None = None) -> DataFrame:
     """Rows of a table partition brought together, so tasks do not each write a small file to
-    every partition. Rebalancing splits a large partition over several tasks and files."""
+    every partition. Rebalancing splits a large partition over several tasks and files. A bucket is
+    written by one task, as its rows' hash is the one that the shuffle goes by: one file in each
+    partition, which the reader needs not sort again."""
+    if buckets:
+        return df.repartition(buckets[0], *buckets[1])
     return df.hint("rebalance", *partition_by) if partition_by else df
