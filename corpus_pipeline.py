@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from shopgrain.llm import lines, packing, quality, simhash, substrings
 from shopgrain.llm.common import store, table
 
+# Entries that the last stage's tokenizers remember: its executors still hold what four stages left.
+REMEMBERED = 1 << 16
+
 
 def _with_text(out: DataFrame, kept: Column) -> DataFrame:
     """The columns of ``row`` with the text, and its length where there is one, replaced."""
@@ -40,7 +43,9 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces with their sequence and place there."""
     vocabulary = public_tokenizers.path("word_bpe_49k.json")
-    packed = packing.pack_documents(docs, vocabulary, limit=4096, with_ids=False)
+    packed = packing.pack_documents(
+        docs, vocabulary, limit=4096, with_ids=False, remembered=REMEMBERED
+    )
     return packed.withColumnRenamed("id", "doc_id")
 
 

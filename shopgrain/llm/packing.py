@@ -12,44 +12,53 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
 from shopgrain.llm.common import discard, per_batch, store
-from shopgrain.llm.tokens import word_encoder
+from shopgrain.llm.tokens import REMEMBERED, word_encoder
 
 PARTNERS = 8  # second lengths tried with each first one, and third ones with each pair
 STEPS = 200  # of the least-squares fit
+SENT = 4 << 20  # bytes of ids after which a task sends what it has
 
 
 def token_pieces(
     df: DataFrame, vocabulary: str, length: int = 4096, end_id: int = 1,
-    id_col: str = "doc_id", text_col: str = "text",
+    id_col: str = "doc_id", text_col: str = "text", with_ids: bool = True, remembered: int = REMEMBERED,
 ) -> DataFrame:
     """(id, piece, start, length, ids_crc32, ids): the texts' ids, an end id after each, in pieces of
-    at most ``length``. Null texts are empty: one piece of the end id."""
+    at most ``length``. Null texts are empty: one piece of the end id. Without ``with_ids`` the ids stay
+    in the task; ``remembered`` bounds what a task remembers (see ``WordEncoder``)."""
+    names = ["id", "piece", "start", "length", "ids_crc32", "ids"]
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
 
     def make():
-        encode = word_encoder(vocabulary)
+        encode = word_encoder(vocabulary, remembered)
         end = end_id.to_bytes(4, "little")
 
+        def sent(rows: list[tuple]) -> pa.RecordBatch:
+            columns = [pa.array(c, k) for c, k in zip(zip(*rows), kinds)]
+            return pa.RecordBatch.from_arrays(columns, names[: len(columns)])
+
         def step(batch: pa.RecordBatch) -> Iterable[pa.RecordBatch]:
             rows: list[tuple] = []
+            size = 0
             texts = (text.as_py() for text in batch.column(1))
             for key, ids in zip(batch.column(0).to_pylist(), encode(texts)):
                 ids += end
                 for piece, at in enumerate(range(0, len(ids), 4 * length)):
                     part = ids[at : at + 4 * length]
-                    rows.append((key, piece, at // 4, len(part) // 4, zlib.crc32(part), part))
-            names = ["id", "piece", "start", "length", "ids_crc32", "ids"]
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-            columns = [pa.array(c, k) for c, k in zip(zip(*rows), kinds)] if rows else []
-            if columns:
-                yield pa.RecordBatch.from_arrays(columns, names)
+                    row = (key, piece, at // 4, len(part) // 4, zlib.crc32(part))
+                    rows.append((*row, part) if with_ids else row)
+                size += len(ids)
+                if with_ids and size >= SENT:
+                    yield sent(rows)
+                    rows, size = [], 0
+            if rows:
+                yield sent(rows)
 
         return step
 
     src = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t"))
-    return per_batch(
-        src, make,
-        "id long, piece int, start long, length long, ids_crc32 long, ids binary",
-    )
+    schema = "id long, piece int, start long, length long, ids_crc32 long"
+    return per_batch(src, make, f"{schema}, ids binary" if with_ids else schema)
 
 
 def enumerate_patterns(counts: np.ndarray, limit: int, partners: int = PARTNERS) -> np.ndarray:
@@ -219,10 +228,11 @@ def pack(pieces: DataFrame, limit: int = 4096) -> DataFrame:
 
 
 def pack_documents(
-    df: DataFrame, vocabulary: str, limit: int = 4096, with_ids: bool = True, **columns: str
+    df: DataFrame, vocabulary: str, limit: int = 4096, with_ids: bool = True,
+    remembered: int = REMEMBERED, **columns: str,
 ) -> DataFrame:
     """Token pieces of ``df`` packed into sequences of at most ``limit`` tokens."""
-    pieces = token_pieces(df, vocabulary, limit, **columns)
-    if not with_ids:
-        pieces = pieces.drop("ids")
+    pieces = token_pieces(
+        df, vocabulary, limit, with_ids=with_ids, remembered=remembered, **columns
+    )
     return pack(store(pieces, "pieces"), limit)

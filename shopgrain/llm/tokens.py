@@ -15,6 +15,7 @@ from tokenizers import Tokenizer, models, pre_tokenizers
 from shopgrain.llm.common import words_of
 
 HELD = 1 << 18  # distinct pieces a task remembers before it starts afresh
+REMEMBERED = 1 << 19  # entries of each generation of a word encoder: some 500 MB of four full ones
 
 
 class Remembered(dict):
@@ -62,7 +63,7 @@ class WordEncoder:
     given to the library in one call, joined by spaces, and told apart by its offsets; what it does
     inside a piece, other white space included, is left to it. Latin letters and the marks after
     them are pieces of their own, and their case does not count: the vocabulary is lower case and
-    never joins letters with such marks.
+    never joins letters with such marks. ``remembered`` trades memory for time, the ids are the same.
     """
 
     _LATIN = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
@@ -70,9 +71,9 @@ class WordEncoder:
     _TOGETHER = 4 << 20  # bytes of text whose pieces are looked up together
     _CALL = 1 << 15  # bytes of one call
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, remembered: int = REMEMBERED) -> None:
         self.library = Tokenizer.from_file(path)
-        self.parts, self.pieces = Generations(1 << 19), Generations(1 << 19)
+        self.parts, self.pieces = Generations(remembered), Generations(remembered)
 
     def _encode(self, parts: list[bytes]) -> Iterator[bytes]:
         """Ids of each part, by calls over many of them."""
@@ -217,8 +218,8 @@ class ByteDecoder:
 
 
 @cache
-def word_encoder(path: str) -> WordEncoder:
-    return WordEncoder(path)
+def word_encoder(path: str, remembered: int = REMEMBERED) -> WordEncoder:
+    return WordEncoder(path, remembered)
 
 
 @cache
