@@ -43,17 +43,17 @@ def ordered(
     """
     running, totals, lag, lead = (dict(m or {}) for m in (running, totals, lag, lead))
     cols = df.columns
-    keys = _order_keys(order)
-    base = df.withColumns(
-        {"_g": F.lit(0) if group is None else F.col(group), **keys, "_tie": F.xxhash64(*cols)}
-    )
-    place = [F.col(c).asc_nulls_first() for c in ("_g", *keys, "_tie")]
-    dealt = base.repartitionByRange(*([ranges] if ranges else []), *place)
+    # All of these follow from the row, so they are computed where they are needed and not shuffled and
+    # stored beside it.
+    g, keys, tie = F.lit(0) if group is None else F.col(group), _order_keys(order), F.xxhash64(*cols)
+    place = [c.asc_nulls_first() for c in (g, *keys.values(), tie)]
+    dealt = df.repartitionByRange(*([ranges] if ranges else []), *(place if group else place[1:]))
     pieces = stored(dealt.withColumn("_p", F.spark_partition_id()), "ranges")
-    key, row_key = F.struct(*keys), F.struct(*keys, "_tie")
+    key = F.struct(*[c.alias(n) for n, c in keys.items()])
+    row_key = F.struct(*[c.alias(n) for n, c in keys.items()], tie.alias("_tie"))
 
-    offsets = _offsets(pieces, key, row_key, running, totals, rank, lag, lead)
-    within = Window.partitionBy("_p", "_g")
+    offsets = _offsets(pieces, g, key, row_key, running, totals, rank, lag, lead)
+    within = Window.partitionBy("_p", *([g] if group else []))
     in_order = within.orderBy(*place[1:])
     so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     added: dict[str, Column] = {"_n": F.row_number().over(in_order)}
@@ -72,7 +72,7 @@ def ordered(
     local = pieces.withColumns(added)
 
     joined = local.join(
-        offsets, (F.col("_p") == F.col("_op")) & F.col("_g").eqNullSafe(F.col("_og")), "left"
+        offsets, (F.col("_p") == F.col("_op")) & g.eqNullSafe(F.col("_og")), "left"
     )
     ahead = F.coalesce(F.col("_n0"), F.lit(0))
     final = {c: F.col(c) for c in cols}
@@ -113,6 +113,7 @@ def _order_keys(order: Sequence[tuple[str, str]]) -> dict[str, Column]:
 
 def _offsets(
     pieces: DataFrame,
+    g: Column,
     key: Column,
     row_key: Column,
     running: Mapping[str, str],
@@ -128,19 +129,19 @@ def _offsets(
     group has at most one row per range.
     """
     ends = pieces.groupBy("_p").agg(
-        F.min(F.struct("_g")).alias("low"), F.max(F.struct("_g")).alias("high")
+        F.min(F.struct(g.alias("_g"))).alias("low"), F.max(F.struct(g.alias("_g"))).alias("high")
     )
     seen = ends.select("_p", F.explode(F.array_distinct(F.array("low", "high"))).alias("e"))
     across = stored(
         seen.groupBy(F.col("e._g").alias("_xg")).agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("_xg"),
         "across",
     )
-    parts = pieces.join(across, F.col("_g").eqNullSafe(F.col("_xg")), "left_semi")
+    parts = pieces.join(across, g.eqNullSafe(F.col("_xg")), "left_semi")
     sums = {**running, **totals}
     last = [F.max_by(F.struct(*[F.col(v).alias(n) for n, v in lag.items()]), row_key).alias("_last_row")]
     first = [F.min_by(F.struct(*[F.col(v).alias(n) for n, v in lead.items()]), row_key).alias("_first_row")]
     held = stored(
-        parts.groupBy(F.col("_p").alias("_op"), F.col("_g").alias("_og")).agg(
+        parts.groupBy(F.col("_p").alias("_op"), g.alias("_og")).agg(
             F.count(F.lit(1)).alias("_n"),
             F.min(key).alias("_w_first"),
             *[exact_sum(v).alias(f"_s_{n}") for n, v in sums.items()],
@@ -167,7 +168,7 @@ def _offsets(
         firsts = held.select("_og", "_w_first").distinct()
         tied = (
             parts.withColumn("_key", key)
-            .join(firsts, F.col("_g").eqNullSafe(F.col("_og")) & F.col("_key").eqNullSafe(F.col("_w_first")))
+            .join(firsts, g.eqNullSafe(F.col("_og")) & F.col("_key").eqNullSafe(F.col("_w_first")))
             .groupBy(F.col("_og").alias("_tg"), F.col("_w_first").alias("_tf"), F.col("_p").alias("_tp"))
             .agg(F.count(F.lit(1)).alias("_t"))
         )
