@@ -2,68 +2,80 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from shopgrain.operators.history import latest_per_key
 
-# Settings of a query with timers. An available-now query would else run batches without
-# data for ever, waiting for its timers; they fire with the next data instead.
+# Settings of a query whose state ends by time. An available-now query would else run batches
+# without data for ever, waiting for that; it is freed with the next data instead.
 _SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.noDataMicroBatches.enabled": "false",
 }
+GROUPS = 1 << 14  # of keys whose state is one value
 
 
 class _Newer(StatefulProcessor):
-    """Lets a version through if it is later than what was seen of its key; forgets idle keys."""
+    """Lets a version through if it is later than what was seen of its key; forgets idle keys. What was
+    seen of a group of keys is one value: a call to the state's process and back serves them all."""
 
-    def __init__(self, idle_ms: int) -> None:
-        self.idle_ms = idle_ms
+    def __init__(self, key: int, columns: list[str], idle_ms: int) -> None:
+        self.key, self.columns, self.idle_ms = key, columns, idle_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        kinds = StructType([StructField("t", LongType()), StructField("h", LongType())])
-        self.seen = handle.getValueState("seen", kinds)
-
-    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        best = max(rows, key=lambda r: (r["_t"], r["_h"]))
-        seen = self.seen.get() if self.seen.exists() else None
-        if seen is None or (best["_t"], best["_h"]) > (seen[0], seen[1]):
-            self.seen.update((best["_t"], best["_h"]))
-            yield Row(**{c: v for c, v in best.asDict().items() if c not in ("_t", "_h")})
-        for at in list(self.handle.listTimers()):
-            self.handle.deleteTimer(at)
-        self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.idle_ms)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        self.seen.clear()
-        return iter(())
+        kinds = StructType([StructField("keys", BinaryType())])
+        self.seen = handle.getValueState("seen", kinds, self.idle_ms)
+
+    def handleInputRows(self, group, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        now, held = timerValues.getCurrentProcessingTimeInMs(), self.seen.get()
+        known = pickle.loads(held[0]) if held is not None else {}
+        seen = {k: v for k, v in known.items() if v[2] > now - self.idle_ms}
+        size, newer = len(self.columns), {}
+        for row in rows:
+            k, t, h = row[self.key], row[size], row[size + 1]
+            before = seen.get(k)
+            if before is None or (t, h) > before[:2]:
+                seen[k], newer[k] = (t, h, now), row
+            else:
+                seen[k] = (*before[:2], now)
+        self.seen.update((pickle.dumps(seen, pickle.HIGHEST_PROTOCOL),))
+        made = Row(*self.columns)
+        for row in newer.values():
+            yield made(*row[:size])
 
     def close(self) -> None:
         pass
 
 
-def newer_versions(versions: DataFrame, key: str, time: str, *, idle_hours: float = 24 * 30) -> DataFrame:
+def newer_versions(
+    versions: DataFrame, key: str, time: str, *, idle_hours: float = 24 * 30, groups: int = GROUPS
+) -> DataFrame:
     """The rows of a stream that are later in ``time`` than all rows of their ``key`` before them, at
     most one for each key and micro-batch; equal times are decided by a hash of the row.
 
-    State is two numbers for each key that had a row within ``idle_hours``; a timer frees it after that.
+    State is the key and three numbers for each key that had a row within ``idle_hours``; it is freed when
+    its group is met again, or with the group when none of its keys had a row for so long.
     There is no watermark, as one would drop late rows. A row of a freed key comes through whatever its
     time, so the reader must compare it with what is stored, as ``read_latest`` does: nothing is lost,
-    however late. A NULL time is the earliest of all. Rows of one key in a micro-batch meet in one task
-    and stream through it; limit the batch by ``max_files``.
+    however late. A NULL time is the earliest of all. Keys are dealt to ``groups`` by hash, which must stay
+    the same for a checkpoint; a group's state is read and written as one, so take some hundred keys for
+    each. The rows of a group in a micro-batch stream through one task; limit the batch by ``max_files``.
     """
     stamped = versions.withColumns(
-        {"_t": F.coalesce(F.unix_micros(time), F.lit(-(1 << 63))), "_h": F.xxhash64(*versions.columns)}
-    )
-    return stamped.groupBy(key).transformWithState(
-        _Newer(round(idle_hours * 3_600_000)), versions.schema, "update", "processingTime"
+        {
+            "_t": F.coalesce(F.unix_micros(time), F.lit(-(1 << 63))),
+            "_h": F.xxhash64(*versions.columns),
+            "_group": F.pmod(F.xxhash64(key), F.lit(groups)),
+        }
     )
+    newer = _Newer(versions.columns.index(key), versions.columns, round(idle_hours * 3_600_000))
+    return stamped.groupBy("_group").transformWithState(newer, versions.schema, "update", "processingTime")
 
 
 def start_latest(
