@@ -18,14 +18,44 @@ def exact_sum(value: Column | str, over: WindowSpec | None = None) -> Column:
     about what a double sum costs and a fifth of a sum of decimals. Neither half can overflow
     before 10^18 units or 10^12 rows, so one key may hold any share of the rows.
     """
-    amount = F.rint(_col(value) * float(_MICRO)).cast("bigint")
-    high = F.sum(F.shiftright(amount, _LOW_BITS))
-    low = F.sum(amount.bitwiseAND(F.lit((1 << _LOW_BITS) - 1).cast("bigint")))
+    high, low = _halves(value)
     if over is not None:
         high, low = high.over(over), low.over(over)
+    return _whole(high, low)
+
+
+def _halves(value: Column | str) -> tuple[Column, Column]:
+    amount = F.rint(_col(value) * float(_MICRO)).cast("bigint")
+    high = F.sum(F.shiftright(amount, _LOW_BITS))
+    return high, F.sum(amount.bitwiseAND(F.lit((1 << _LOW_BITS) - 1).cast("bigint")))
+
+
+def _whole(high: Column, low: Column) -> Column:
     return high.cast("decimal(20,0)") * (1 << _LOW_BITS) + low
 
 
+def exact_halves(value: Column | str, name: str) -> list[Column]:
+    """``exact_sum`` of a first of several steps, as the two longs: less than half of a decimal's bytes
+    where every row of a table passes a shuffle so. ``sum_halves`` and ``join_halves`` go on from it."""
+    high, low = _halves(value)
+    return [high.alias(f"{name}_high"), low.alias(f"{name}_low")]
+
+
+def sum_halves(name: str, *, when: Column | None = None, to: str | None = None) -> list[Column]:
+    """The halves of a group's rows (those for which ``when`` holds) added up, under the name ``to``."""
+    halves = [f"{name}_high", f"{name}_low"]
+    return [
+        F.sum(F.col(h) if when is None else F.when(when, F.col(h))).alias((to or name) + h[len(name):])
+        for h in halves
+    ]
+
+
+def join_halves(name: str) -> Column:
+    """The DECIMAL of an aggregate's halves: what ``exact_sum`` of all their rows gives."""
+    high, low = (F.sum(f"{name}_{half}") for half in ("high", "low"))
+    return _whole(high, low).cast("decimal(38,0)")
+
+
 def money(total: Column | str) -> Column:
     """A total in millionths as DOUBLE."""
     return (_col(total) * F.lit(Decimal(1) / _MICRO)).cast("double")

@@ -38,10 +38,19 @@ def incremental(
 def touched_rows(history: DataFrame, batch: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """Full history of every key that occurs in ``batch``, NULL keys too. The distinct keys are stored
     first: few are broadcast by their real size, many are joined so that a hot key can be split."""
+    return rows_of(history, touched_keys(batch, key), key)
+
+
+def touched_keys(batch: DataFrame, key: str | Sequence[str]) -> DataFrame:
+    """The distinct keys of ``batch``, stored; ``rows_of`` takes them for one history or several."""
     keys = [key] if isinstance(key, str) else list(key)
     named = [F.col(k).alias(f"_touched_{i}") for i, k in enumerate(keys)]
-    touched = stored(batch.select(*named).distinct(), "touched")
+    return stored(batch.select(*named).distinct(), "touched")
+
+
+def rows_of(history: DataFrame, touched: DataFrame, key: str | Sequence[str]) -> DataFrame:
+    """Rows of ``history`` whose key is among ``touched_keys``."""
     on = F.lit(True)
-    for i, k in enumerate(keys):
+    for i, k in enumerate([key] if isinstance(key, str) else key):
         on = on & F.col(k).eqNullSafe(F.col(f"_touched_{i}"))
     return history.join(touched, on, "left_semi")

@@ -16,7 +16,8 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, functions as F
 
 from shopgrain.functions import (
-    band, exact_sum, money, money_mean, percent, ratio, rounded_ratio, run_date, run_time,
+    band, exact_halves, join_halves, money, money_mean, percent, ratio, rounded_ratio, run_date,
+    run_time, sum_halves,
 )
 from shopgrain.operators.basket import BIG_BASKET, co_occurrence
 from shopgrain.operators.incremental import touched_rows
@@ -61,15 +62,17 @@ def product_performance(
     items = items if touched is None else touched_rows(items, touched, "product_id")
     canceled = F.col("order_status") == "canceled"
     bought_at = "order_purchase_timestamp"
-    sums = ("items", "prices", "revenue", "freight")
+    sums = ("items", "prices")
     per_buyer = (
         _bought(items, orders.select("order_id", "customer_id", bought_at, "order_status"))
         .groupBy("product_id", "customer_id")
         .agg(
             F.count(F.lit(1)).alias("orders"),
             *[F.sum(c).alias(c) for c in sums],
+            *sum_halves("revenue"),
+            *sum_halves("freight"),
             F.sum(F.when(canceled, F.col("items")).otherwise(0)).alias("return_count"),
-            F.sum(F.when(canceled, F.col("revenue"))).alias("returned"),
+            *sum_halves("revenue", when=canceled, to="returned"),
             F.max(bought_at).alias("last"),
             F.min(bought_at).alias("first"),
         )
@@ -77,7 +80,8 @@ def product_performance(
     per_product = per_buyer.groupBy("product_id").agg(
         F.sum("orders").alias("total_orders"),
         F.count("customer_id").alias("unique_buyers"),
-        *[F.sum(c).alias(c) for c in (*sums, "return_count", "returned")],
+        *[F.sum(c).alias(c) for c in (*sums, "return_count")],
+        *[join_halves(c).alias(c) for c in ("revenue", "freight", "returned")],
         F.datediff(F.max("last"), F.min("first")).alias("product_lifetime_days"),
     )
     measured = (
@@ -119,8 +123,8 @@ def _bought(items: DataFrame, orders: DataFrame) -> DataFrame:
     reduced = items.groupBy("order_id", "product_id").agg(
         F.count(F.lit(1)).alias("items"),
         F.count("price").alias("prices"),
-        exact_sum("price").alias("revenue"),
-        exact_sum("freight_value").alias("freight"),
+        *exact_halves("price", "revenue"),
+        *exact_halves("freight_value", "freight"),
     )
     return reduced.join(orders, "order_id")
 
@@ -141,11 +145,11 @@ def inventory_analytics(
     per_month = (
         _bought(items, orders.select("order_id", "customer_id", sale_month))
         .groupBy(*month, "customer_id")
-        .agg(F.count(F.lit(1)).alias("orders"), F.sum("revenue").alias("revenue"))
+        .agg(F.count(F.lit(1)).alias("orders"), *sum_halves("revenue"))
         .groupBy(*month)
         .agg(
             F.sum("orders").alias("orders"),
-            F.sum("revenue").alias("revenue"),
+            *sum_halves("revenue"),
             F.count("customer_id").alias("buyers"),
         )
     )
@@ -156,8 +160,8 @@ def inventory_analytics(
         F.stddev_samp("orders").alias("stddev_monthly_orders"),
         F.max("orders").alias("peak_monthly_orders"),
         F.min("orders").alias("low_monthly_orders"),
-        F.sum("revenue").alias("revenue"),
-        F.count("revenue").alias("revenue_months"),
+        join_halves("revenue").alias("revenue"),
+        F.count("revenue_high").alias("revenue_months"),
         F.sum("buyers").alias("total_buyers"),
     )
     spread = F.coalesce(F.col("stddev_monthly_orders"), F.lit(0.0))

@@ -8,10 +8,11 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shopgrain.functions import (
-    band, exact_sum, money, money_mean, percent, ratio, rounded_ratio, run_date, run_time,
+    band, exact_halves, exact_sum, join_halves, money, money_mean, percent, ratio, rounded_ratio,
+    run_date, run_time, sum_halves,
 )
 from shopgrain.operators.distinct import beside, distinct_counts
-from shopgrain.operators.incremental import touched_rows
+from shopgrain.operators.incremental import rows_of, touched_keys, touched_rows
 from shopgrain.operators.ordered import ordered
 from shopgrain.session import stored
 
@@ -172,27 +173,27 @@ def place_state(
     never built. ``touched`` (with order_id) limits the state to those orders' part.
     """
     if touched is not None:
-        touched = stored(touched.select("order_id").distinct(), "touched")
-        orders, items = (touched_rows(side, touched, "order_id") for side in (orders, items))
+        return _state_of(touched_keys(touched, "order_id"), customers, orders, items)
     located = customers.filter("is_current").select("customer_id", *PLACE)
     reduced = items.groupBy("order_id", "seller_id").agg(
         F.count(F.lit(1)).alias("items"),
         F.count("price").alias("prices"),
-        exact_sum("price").alias("revenue"),
+        *exact_halves("price", "revenue"),
     )
+    # The place joins the orders, of which there are fewer than of their items.
     sold = stored(
         orders.select("order_id", "customer_id", "is_delayed", "delivery_delay_days")
-        .join(reduced, "order_id")
-        .join(located, "customer_id"),
+        .join(located, "customer_id")
+        .join(reduced, "order_id"),
         "sold",
     )
     delayed = F.coalesce(F.col("is_delayed"), F.lit(False))
     per_order = sold.groupBy(*PLACE, "customer_id", "order_id", "is_delayed", "delivery_delay_days").agg(
-        *[F.sum(c).alias(c) for c in ("items", "prices", "revenue")]
+        *[F.sum(c).alias(c) for c in ("items", "prices")], *sum_halves("revenue")
     )
     per_customer = per_order.groupBy(*PLACE, "customer_id").agg(
         F.count(F.lit(1)).alias("orders"),
-        F.sum("revenue").alias("revenue"),
+        join_halves("revenue").alias("revenue"),
         F.sum("prices").alias("prices"),
         F.sum(F.coalesce(F.col("delivery_delay_days"), F.lit(0)) * F.col("items")).alias("delay_days"),
         F.sum(F.when(F.col("delivery_delay_days").isNotNull(), F.col("items")).otherwise(0)).alias("timed"),
@@ -206,6 +207,11 @@ def place_state(
     )
 
 
+def _state_of(keys: DataFrame, customers: DataFrame, orders: DataFrame, items: DataFrame) -> DataFrame:
+    """The part of a ``place_state`` of the orders in ``keys``, as ``touched_keys`` gives them."""
+    return place_state(customers, *[rows_of(side, keys, "order_id") for side in (orders, items)])
+
+
 def place_changes(
     before: tuple[DataFrame, DataFrame, DataFrame],
     after: tuple[DataFrame, DataFrame, DataFrame],
@@ -218,8 +224,8 @@ def place_changes(
     orders of customers who moved. Only these orders are read on either side.
     """
     sums = [c for c in _PLACE_SUMS]
-    old = place_state(*before, touched=touched)
-    new = place_state(*after, touched=touched)
+    keys = touched_keys(touched, "order_id")
+    old, new = _state_of(keys, *before), _state_of(keys, *after)
     return new.unionByName(old.withColumns({c: -F.col(c) for c in sums}))
 
 
