@@ -519,7 +519,7 @@ def orders_table_merge(spark, sf):
 def daily_sales_bucketed(spark, sf):
     """Daily sales over tables stored by order, the orders merged and the others appended to in a second load."""
     orders, items, payments = _orders(spark, sf), _items(spark, sf), _payments(spark, sf)
-    by_order, cut = (8, ["order_id"]), F.lit(CUT).cast("timestamp")
+    by_order, cut = tables.buckets_for(["order_id"], orders, items, payments), F.lit(CUT).cast("timestamp")
     names = [_table(spark, f"bucketed_{kind}") for kind in ("orders", "items", "payments")]
     tables.ensure_table(
         spark, names[0], "orders_silver", scratch_path(spark, "bucketed_orders"), buckets=by_order

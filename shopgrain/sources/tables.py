@@ -22,6 +22,7 @@ from shopgrain.session import scratch_root, stored
 
 Buckets = tuple[int, Sequence[str]]  # number of buckets, columns
 FEW = 1000  # partition names that are listed in a filter or dropped by one statement
+BUCKET_ROWS = 2_000_000  # of a bucket, which one task reads, groups and joins
 
 
 def ensure_namespaces(spark: SparkSession, names: Iterable[str], use: str | None = None) -> None:
@@ -50,6 +51,12 @@ def ensure_table(
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet{parts}{laid}{place}")
 
 
+def buckets_for(keys: Sequence[str], *tables: DataFrame, least: int = 8, rows: int = BUCKET_ROWS) -> Buckets:
+    """One layout for ``tables`` that are joined by ``keys``: so many buckets, ``least`` or more, that one
+    of the longest table holds some ``rows`` rows, whatever its length. Counts the tables."""
+    return max(least, *[-(-t.count() // rows) for t in tables]), list(keys)
+
+
 def existing(spark: SparkSession, name: str) -> DataFrame | None:
     """The table, or None before the first run; any other error is raised."""
     return spark.table(name) if spark.catalog.tableExists(name) else None
