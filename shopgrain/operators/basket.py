@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from shopgrain.session import stored
 
 BIG_BASKET = 500  # up to here a basket's pairs are cheap to list
+TASK_PAIRS = 1 << 20  # listed by a task, which may hold them all to count them
 
 
 def co_occurrence(
@@ -22,12 +23,16 @@ def co_occurrence(
     still meet: in the smallest basket they share, neither can be sitting out, as it would then sit
     out of every larger shared basket too. Pairs that met get the baskets sat out of added back by
     key lookups, so the counts are exact; a pair that never met is below the threshold.
+
+    The baskets are dealt to so many tasks that each lists some ``TASK_PAIRS`` pairs: their number follows
+    the pairs and not the bytes of the members, from which a task's pairs cannot be told.
     """
     m = members.select(F.col(basket).alias("_b"), F.col(item).alias("_i"))
     sizes = m.groupBy("_b").agg(F.count(F.lit(1)).alias("_size"))
+    parts, largest = _parts(sizes)
+    if min_count < 2 or largest <= big_basket:
+        return _meetings(m.repartition(parts, "_b")).filter(F.col("co_occurrence_count") >= min_count)
     big = stored(sizes.filter(F.col("_size") > big_basket), "big_baskets")
-    if min_count < 2 or big.isEmpty():
-        return _meetings(m).filter(F.col("co_occurrence_count") >= min_count)
 
     big_members = stored(m.join(big, "_b"), "big_basket_items")
     largest_first = Window.partitionBy("_i").orderBy(F.col("_size").desc(), "_b")
@@ -38,7 +43,9 @@ def co_occurrence(
         .select("_b", "_i"),
         "sat_out",
     )
-    met = stored(_meetings(m.join(sat_out, ["_b", "_i"], "left_anti")), "pairs_met")
+    listed = m.join(sat_out, ["_b", "_i"], "left_anti")
+    parts, _ = _parts(listed.groupBy("_b").agg(F.count(F.lit(1)).alias("_size")))
+    met = stored(_meetings(listed.repartition(parts, "_b")), "pairs_met")
     added = (
         _sat_out_by(met, sat_out, "item_a", "item_b")
         .unionByName(_sat_out_by(met, sat_out, "item_b", "item_a"))
@@ -56,6 +63,16 @@ def co_occurrence(
     )
 
 
+def _parts(sizes: DataFrame) -> tuple[int, int]:
+    """Number of parts of which each lists some ``TASK_PAIRS`` pairs, and the size of the largest basket.
+    A basket is in one part, so pairs beyond ``TASK_PAIRS`` of its own ask for no more parts."""
+    size = F.col("_size").cast("double")
+    pairs = F.sum(F.least(size * (size - 1) / 2, F.lit(float(TASK_PAIRS))))
+    found = sizes.agg(pairs.alias("pairs"), F.max("_size").alias("largest")).first()
+    least = sizes.sparkSession.sparkContext.defaultParallelism
+    return max(least, int((found["pairs"] or 0) // TASK_PAIRS) + 1), found["largest"] or 0
+
+
 def _meetings(m: DataFrame) -> DataFrame:
     """Item pairs (a < b) with the number of baskets both are listed in."""
     return (
