@@ -249,7 +249,7 @@ def order_items_incremental(spark, sf):
     new = F.coalesce(F.col("shipping_limit_date") >= F.lit(BATCH).cast("timestamp"), F.lit(False))
     stored = cleaned.order_items_silver(items.filter(~new), as_of=AS_OF)
     fresh = cleaned.order_items_silver(items, touched=items.filter(new), as_of=AS_OF)
-    return upsert_all(stored, fresh, ["order_id", "order_item_id"])
+    return upsert_all(stored, fresh, ["order_id", "order_item_id"], deal="order_id")
 
 
 @_query

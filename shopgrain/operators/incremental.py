@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from shopgrain.session import stored
 
 EPOCH = "1970-01-01"
+FEW = 1_000_000  # touched keys that are looked up before rows move
 
 
 def high_water_mark(target: DataFrame | None, col: str, kind: str = "timestamp") -> Column:
@@ -54,3 +55,19 @@ def rows_of(history: DataFrame, touched: DataFrame, key: str | Sequence[str]) ->
     for i, k in enumerate([key] if isinstance(key, str) else key):
         on = on & F.col(k).eqNullSafe(F.col(f"_touched_{i}"))
     return history.join(touched, on, "left_semi")
+
+
+def are_few(touched: DataFrame) -> bool:
+    """Whether rows should be picked by these ``touched_keys`` before anything else is done with them (Spark
+    broadcasts so many or moves few), or after they have moved by the key in any case. Runs a job."""
+    return touched.limit(FEW + 1).count() <= FEW
+
+
+def dealt_rows_of(history: DataFrame, touched: DataFrame, key: str) -> DataFrame:
+    """``rows_of``, dealt out by ``key`` (``repartition``): a row moves once for this and for what follows by the
+    key. Touched keys are distinct, so the join lets no row come twice; a semi-join would be done before the
+    dealing, and move the rows for itself."""
+    rows = history.repartition(key).join(touched, F.col(key) == F.col("_touched_0")).drop("_touched_0")
+    if touched.filter(F.col("_touched_0").isNull()).isEmpty():
+        return rows
+    return rows.unionByName(history.filter(F.col(key).isNull()).repartition(key))

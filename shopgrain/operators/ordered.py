@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from shopgrain.functions.numeric import exact_sum, money
 from shopgrain.session import stored
@@ -29,23 +29,32 @@ def ordered(
     lag: Mapping[str, str] | None = None,
     lead: Mapping[str, str] | None = None,
     ranges: int | None = None,
+    ties: Sequence[str] | None = None,
+    whole: bool = False,
 ) -> DataFrame:
     """Add ordered columns per ``group`` (the whole table when None).
 
     ``order`` lists (column, "asc" | "desc"), NULLs first for asc and last for desc; ``running``
     and ``totals`` map an output name to the money column summed, ``lag`` and ``lead`` to the column
     whose value in the row before or after is given. Rows that tie in ``order`` come in the order of a
-    hash of the row, so ties are split over ranges too; ``rank`` counts them as equal.
+    hash of the row (of its columns ``ties``), so ties are split over ranges too; ``rank`` counts them as equal.
 
     The number of ranges is Spark's number of shuffle partitions, which adaptive execution fits to the
     size of the data, or ``ranges``. The rows are stored once in ranges and shuffled once more by
     (range, group). Runs jobs. An empty table gives no rows.
+
+    ``whole``: no group is heavy (``heavy_keys``), so a task orders whole groups. Nothing is stored and no job
+    runs; rows that are dealt out by the group (``repartition``) stay where they are, others are shuffled once.
     """
     running, totals, lag, lead = (dict(m or {}) for m in (running, totals, lag, lead))
     cols = df.columns
     # All of these follow from the row, so they are computed where they are needed and not shuffled and
     # stored beside it.
-    g, keys, tie = F.lit(0) if group is None else F.col(group), _order_keys(order), F.xxhash64(*cols)
+    g, keys, tie = F.lit(0) if group is None else F.col(group), _order_keys(order), F.xxhash64(*(ties or cols))
+    if whole:
+        within = Window.partitionBy(g)
+        ranked, in_order = (within.orderBy(*by) for by in (keys.values(), (*keys.values(), tie)))
+        return _whole(df, within, ranked, in_order, row_number, rank, running, totals, lag, lead)
     place = [c.asc_nulls_first() for c in (g, *keys.values(), tie)]
     dealt = df.repartitionByRange(*([ranges] if ranges else []), *(place if group else place[1:]))
     pieces = stored(dealt.withColumn("_p", F.spark_partition_id()), "ranges")
@@ -99,6 +108,31 @@ def ordered(
     return joined.select(*[c.alias(n) for n, c in final.items()])
 
 
+def _whole(
+    df: DataFrame,
+    within: WindowSpec,
+    ranked: WindowSpec,
+    in_order: WindowSpec,
+    row_number: str | None,
+    rank: str | None,
+    running: Mapping[str, str],
+    totals: Mapping[str, str],
+    lag: Mapping[str, str],
+    lead: Mapping[str, str],
+) -> DataFrame:
+    so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    added: dict[str, Column] = {}
+    if row_number:
+        added[row_number] = F.row_number().over(in_order)
+    if rank:
+        added[rank] = F.rank().over(ranked)
+    added |= {name: money(exact_sum(value, so_far)) for name, value in running.items()}
+    added |= {name: money(exact_sum(value, within)) for name, value in totals.items()}
+    added |= {name: F.lag(value).over(in_order) for name, value in lag.items()}
+    added |= {name: F.lead(value).over(in_order) for name, value in lead.items()}
+    return df.select(*df.columns, *[c.alias(n) for n, c in added.items()])
+
+
 def _order_keys(order: Sequence[tuple[str, str]]) -> dict[str, Column]:
     """Ascending sort keys; a descending number becomes (is NULL, negated)."""
     keys: dict[str, Column] = {}

@@ -9,8 +9,11 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shopgrain.functions import exact_sum, money_mean, ratio, run_time
+from shopgrain.operators.heavy import apart, heavy_keys
 from shopgrain.operators.history import latest_per_key, scd2_apply, scd2_current, scd2_splice
-from shopgrain.operators.incremental import incremental, touched_rows
+from shopgrain.operators.incremental import (
+    are_few, dealt_rows_of, incremental, rows_of, touched_keys, touched_rows,
+)
 from shopgrain.operators.merge import differs, upsert
 from shopgrain.operators.ordered import ordered
 from shopgrain.session import stored
@@ -159,27 +162,53 @@ def order_items_silver(
     """Items with their place in the order (by price) and their seller's average price.
 
     ``touched`` (a batch of items) limits the result to the rows the batch changes: its orders, and
-    the orders of its sellers, whose average moves in all of them. ``splitting`` is passed to ``ordered``.
+    the orders of its sellers, whose average moves in all of them. ``splitting`` is passed to ``ordered``; without
+    it only heavy orders go by ranges, and the others are dealt out by order_id in the result.
     """
-    sellers = bronze.groupBy("seller_id").agg(
-        money_mean(exact_sum("price"), F.count("price")).alias("avg_seller_price")
+    sellers = stored(
+        bronze.groupBy("seller_id").agg(
+            money_mean(exact_sum("price"), F.count("price")).alias("avg_seller_price")
+        ),
+        "seller_prices",
     )
-    items = bronze
+    keys = None
     if touched is not None:
         of_sellers = touched_rows(bronze, touched, "seller_id").select("order_id")
-        changed = of_sellers.union(touched.select("order_id"))
-        items = stored(touched_rows(bronze, changed, "order_id"), "touched_items")
-    items = ordered(
-        with_freight_ratio(items),
-        "order_id",
-        [("price", "asc"), ("order_item_id", "asc")],
-        row_number="item_rank",
-        running={"running_total": "price"},
-        totals={"order_total": "price"},
-        **splitting,
-    )
+        keys = touched_keys(of_sellers.union(touched.select("order_id")), "order_id")
+
+    def priced(items: DataFrame) -> DataFrame:
+        return items.join(sellers, "seller_id", "left")
+
+    def placed(items: DataFrame, **how) -> DataFrame:
+        return ordered(
+            with_freight_ratio(items),
+            "order_id",
+            [("price", "asc"), ("order_item_id", "asc")],
+            row_number="item_rank",
+            running={"running_total": "price"},
+            totals={"order_total": "price"},
+            ties=[*bronze.columns, "freight_ratio"],
+            **how,
+        )
+
+    def in_place(items: DataFrame) -> DataFrame:
+        """Items get their seller's price while they are narrow, then move by order once for all the rest."""
+        if keys is None or are_few(keys):
+            items = items if keys is None else rows_of(items, keys, "order_id")
+            return placed(priced(items).repartition("order_id"), whole=True)
+        return placed(dealt_rows_of(priced(items), keys, "order_id"), whole=True)
+
+    def by_ranges(items: DataFrame) -> DataFrame:
+        if keys is not None:
+            items = stored(rows_of(items, keys, "order_id"), "touched_items")
+        return priced(placed(items, **splitting))
+
+    if any(splitting.values()):
+        items = by_ranges(bronze)
+    else:
+        items = apart(bronze, "order_id", heavy_keys(bronze, "order_id"), in_place, by_ranges)
     variance = F.col("price") - F.col("avg_seller_price")
-    return items.join(stored(sellers, "seller_prices"), "seller_id", "left").select(
+    return items.select(
         "order_id",
         "order_item_id",
         "product_id",

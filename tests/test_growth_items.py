@@ -1,0 +1,102 @@
+"""Item rows of an incremental run move by order once, whatever the step; heavy orders are still split."""
+
+import random
+
+import pytest
+from helpers import plan, rows
+from pyspark.sql import functions as F
+
+from shopgrain.operators import incremental
+from shopgrain.operators.heavy import heavy_keys
+from shopgrain.operators.incremental import dealt_rows_of, rows_of, touched_keys
+from shopgrain.operators.merge import upsert_all
+from shopgrain.plans import cleaned
+
+KEYS = ["order_id", "order_item_id"]
+SCHEMA = (
+    "order_id BIGINT, order_item_id BIGINT, product_id BIGINT, seller_id BIGINT, shipping_limit_date TIMESTAMP,"
+    " price DOUBLE, freight_value DOUBLE, new BOOLEAN"
+)
+
+
+def shop(spark, orders, hot=0.0, odd=False):
+    rnd = random.Random(orders)
+    out = []
+    for i in range(3 * orders):
+        order = -1 if rnd.random() < hot else i % orders
+        order = None if odd and i % 1000 == 0 else order
+        item = 1 if odd and i % 700 == 0 else i
+        out.append((order, item, i % 7, rnd.randrange(60), None, rnd.randrange(1, 900) / 100, 1.5, i % 50 == 0))
+    return spark.createDataFrame(out + out[:20] * odd, SCHEMA).repartition(5)
+
+
+def merged(items, **how):
+    old = cleaned.order_items_silver(items.filter("NOT new").drop("new"), as_of="2020-01-01", **how)
+    batch = items.filter("new").drop("new")
+    new = cleaned.order_items_silver(items.drop("new"), touched=batch, as_of="2020-01-01", **how)
+    return old, new
+
+
+@pytest.fixture
+def joined_by_shuffles(spark, monkeypatch):
+    monkeypatch.setattr(incremental, "FEW", 0)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_items_move_once_by_seller_and_once_by_order(spark, joined_by_shuffles):
+    items = shop(spark, 1500)
+    got = upsert_all(*merged(items), KEYS, deal="order_id")
+    text = plan(got)
+    above, below = text.split("Union", 1)
+    assert "Exchange" not in above
+    # On each side the items and the prices by seller and the items by order; the touched orders.
+    assert below.count("Exchange hashpartitioning") == 7
+    assert not [f for f in got.inputFiles() if "/ranges-" in f or "/touched_items-" in f]
+    want = cleaned.order_items_silver(items.drop("new"), as_of="2020-01-01", ranges=4)
+    assert rows(got, *want.columns) == rows(want)
+
+
+@pytest.mark.parametrize("few", [0, 10**6])
+@pytest.mark.parametrize("hot", [0.0, 0.3])
+def test_heavy_orders_null_orders_and_repeats_as_by_ranges(spark, monkeypatch, hot, few):
+    monkeypatch.setattr(incremental, "FEW", few)
+    items = shop(spark, 1100, hot, odd=True)
+    for got, want in zip(merged(items), merged(items, ranges=6)):
+        assert rows(got) == rows(want)
+
+
+def test_heavy_keys(spark):
+    df = spark.range(9000).selectExpr("CASE WHEN id < 900 THEN 5 WHEN id < 950 THEN NULL ELSE id END AS k")
+    want = df.filter("k = 5 OR k IS NULL").select(F.xxhash64("k")).distinct().collect()
+    assert heavy_keys(df, "k") == sorted(r[0] for r in want)
+    assert heavy_keys(df.filter("k > 5"), "k") == [] and heavy_keys(df.limit(0), "k") == []
+
+
+@pytest.mark.parametrize("dealt", [True, False])
+def test_rows_matched_in_place_as_by_the_join(spark, dealt):
+    """NULL keys, keys that repeat on either side, sides of very different size and order of columns."""
+    target = spark.range(40).selectExpr("IF(id % 9 = 0, NULL, id % 11) AS a", "id % 3 AS b", "'old' AS v", "id AS n")
+    source = spark.range(5000).selectExpr(
+        "'new' AS v", "IF(id % 10 = 0, NULL, id % 1700) AS a", "id AS n", "id % 2 AS b", "id * 2 AS more"
+    )
+    sides = [df.repartition("a") if dealt else df for df in (target, source)]
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2KB")
+    try:
+        got = upsert_all(*sides, ["a", "b"], deal="a")
+        want = upsert_all(target, source, ["a", "b"])
+        assert got.columns == want.columns and got.dtypes == want.dtypes
+        assert rows(got) == rows(want)
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+
+
+@pytest.mark.parametrize("null", [True, False])
+def test_dealt_rows_are_the_touched_ones(spark, null):
+    history = spark.range(60).selectExpr("IF(id % 7 = 0, NULL, id % 13) AS k", "id")
+    batch = spark.range(9).selectExpr(f"IF(id > 6, {'NULL' if null else 99}, id % 4) AS k")
+    keys = touched_keys(batch, "k")
+    assert rows(dealt_rows_of(history, keys, "k")) == rows(rows_of(history, keys, "k"))
