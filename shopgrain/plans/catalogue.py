@@ -1,11 +1,11 @@
 """Product performance, inventory and cross-selling.
 
 No aggregate here counts several distinct columns beside its sums, which would copy every row with
-all its aggregate buffers per counted column: sums and distinct keys are reduced apart. Each is
-partially aggregated before its shuffle, so a hot product sends one row per map task. No aggregate
-right after the join on order_id groups by order_id, as it would keep that join's partitions and so
-keep adaptive execution from splitting a hot order. The category is joined on at product grain,
-after the facts are reduced.
+all its aggregate buffers per counted column: sums and distinct keys are reduced apart. Rows of light
+keys move once by order and once by product. Those of heavy ones are partially aggregated before each
+shuffle, so a hot product sends one row per map task; and no aggregate right after their join on order_id
+groups by order_id, as it would keep that join's partitions and so keep adaptive execution from splitting
+a hot order. The category is joined on at product grain, after the facts are reduced.
 """
 
 from __future__ import annotations
@@ -20,7 +20,8 @@ from shopgrain.functions import (
     run_time, sum_halves,
 )
 from shopgrain.operators.basket import BIG_BASKET, co_occurrence
-from shopgrain.operators.incremental import touched_rows
+from shopgrain.operators.heavy import apart, heavy_keys, is_heavy
+from shopgrain.operators.incremental import touched_keys, touched_rows
 from shopgrain.session import stored
 
 AsOf = datetime | date | str | None
@@ -59,31 +60,23 @@ def product_performance(
     """Sales, returns (items of canceled orders), velocity and tiers per product.
 
     ``touched`` (a batch of items) recomputes only its products, over their full history."""
-    items = items if touched is None else touched_rows(items, touched, "product_id")
-    canceled = F.col("order_status") == "canceled"
     bought_at = "order_purchase_timestamp"
-    sums = ("items", "prices")
-    per_buyer = (
-        _bought(items, orders.select("order_id", "customer_id", bought_at, "order_status"))
-        .groupBy("product_id", "customer_id")
-        .agg(
-            F.count(F.lit(1)).alias("orders"),
-            *[F.sum(c).alias(c) for c in sums],
-            *sum_halves("revenue"),
-            *sum_halves("freight"),
-            F.sum(F.when(canceled, F.col("items")).otherwise(0)).alias("return_count"),
-            *sum_halves("revenue", when=canceled, to="returned"),
-            F.max(bought_at).alias("last"),
-            F.min(bought_at).alias("first"),
-        )
+    facts = orders.select(
+        "order_id", "customer_id", bought_at, (F.col("order_status") == "canceled").alias("canceled")
     )
-    per_product = per_buyer.groupBy("product_id").agg(
-        F.sum("orders").alias("total_orders"),
-        F.count("customer_id").alias("unique_buyers"),
-        *[F.sum(c).alias(c) for c in (*sums, "return_count")],
-        *[join_halves(c).alias(c) for c in ("revenue", "freight", "returned")],
-        F.datediff(F.max("last"), F.min("first")).alias("product_lifetime_days"),
+    # A product's rows move once, unless it is heavy: then they are added up per buyer before they meet.
+    per_product = apart(
+        _bought(items, facts),
+        "product_id",
+        heavy_keys(items, "product_id"),
+        lambda rows: _sold(rows.repartition("product_id"), bought_at),
+        lambda rows: _sold(rows, bought_at),
     )
+    if touched is not None:
+        # Spark looks few keys up before the items move, and many here, where nothing moves but they. Products
+        # without a key are left out below.
+        keys = touched_keys(touched, "product_id")
+        per_product = per_product.join(keys, F.col("product_id") == F.col("_touched_0"), "left_semi")
     measured = (
         per_product
         .join(products.select("product_id", F.col(CATEGORY).alias("category")), "product_id")
@@ -114,19 +107,54 @@ def product_performance(
     )
 
 
+def _sold(bought: DataFrame, bought_at: str) -> DataFrame:
+    """The sums and distinct buyers of each product."""
+    canceled, sums = F.col("canceled"), ("items", "prices")
+    per_buyer = bought.groupBy("product_id", "customer_id").agg(
+        F.count(F.lit(1)).alias("orders"),
+        *[F.sum(c).alias(c) for c in sums],
+        *sum_halves("revenue"),
+        *sum_halves("freight"),
+        F.sum(F.when(canceled, F.col("items")).otherwise(0)).alias("return_count"),
+        *sum_halves("revenue", when=canceled, to="returned"),
+        F.max(bought_at).alias("last"),
+        F.min(bought_at).alias("first"),
+    )
+    return per_buyer.groupBy("product_id").agg(
+        F.sum("orders").alias("total_orders"),
+        F.count("customer_id").alias("unique_buyers"),
+        *[F.sum(c).alias(c) for c in (*sums, "return_count")],
+        *[join_halves(c).alias(c) for c in ("revenue", "freight", "returned")],
+        F.datediff(F.max("last"), F.min("first")).alias("product_lifetime_days"),
+    )
+
+
 def _bought(items: DataFrame, orders: DataFrame) -> DataFrame:
     """One row per order and product with the sums of its items, beside the order's columns.
 
     Its rows count a product's distinct orders, and those per customer its distinct buyers, so each
-    fact is scanned and joined once. An order's items are reduced in the map tasks first.
+    fact is scanned and joined once. Items move by order once, as they are, for both steps; those of heavy
+    orders are reduced first, in the map tasks too, so that the join can be split. Runs jobs.
     """
-    reduced = items.groupBy("order_id", "product_id").agg(
-        F.count(F.lit(1)).alias("items"),
-        F.count("price").alias("prices"),
-        *exact_halves("price", "revenue"),
-        *exact_halves("freight_value", "freight"),
+    key = "order_id"
+    heavy = sorted({*heavy_keys(items, key), *heavy_keys(orders, key)})
+
+    def reduced(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(key, "product_id").agg(
+            F.count(F.lit(1)).alias("items"),
+            F.count("price").alias("prices"),
+            *exact_halves("price", "revenue"),
+            *exact_halves("freight_value", "freight"),
+        )
+
+    light = orders.filter(~is_heavy(key, heavy)) if heavy else orders
+    return apart(
+        items,
+        key,
+        heavy,
+        lambda rows: reduced(rows.repartition(key)).join(light, key),
+        lambda rows: reduced(rows).join(orders.filter(is_heavy(key, heavy)), key),
     )
-    return reduced.join(orders, "order_id")
 
 
 def inventory_analytics(
